@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dirspark.llm.common import documents, nullsafe, settle, text_of, words_of
+from dirspark.llm.common import WORD, documents, nullsafe, settle, text_of, words_of
 
 #: Least standard deviation of each statistic, in thousandths, added to every scatter: for statistics that are constant in clean text.
 FLOORS = (500, 50, 350, 100, 100)
@@ -35,6 +35,12 @@ WINDOW = 8
 GROUP = ["lang_key", "source_key"]
 
 
+def without(text: Column, characters: str) -> Column:
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
+
+
 def base_statistics(docs: DataFrame, carry: list[str]) -> DataFrame:
     """n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and base_failed of each row.
 
@@ -43,21 +49,24 @@ def base_statistics(docs: DataFrame, carry: list[str]) -> DataFrame:
     text = text_of()
     rows = docs.select(*carry, text.alias("whole")).withColumn("words", words_of(F.col("whole")))
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
-    hashes = F.when(F.col("n_words") >= WINDOW, F.transform(F.sequence(F.lit(1), F.col("n_words").cast("int") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW)))).otherwise(F.expr("cast(array() as array<bigint>)"))
-    lines = F.filter(F.split("whole", "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
     whole = F.col("whole")
     rows = rows.select(
         *carry,
         "n_words",
-        F.length(F.translate(whole, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length(whole) - F.length(F.translate(whole, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        lines.alias("lines"),
-        hashes.alias("hashes"),
+        F.length(without(whole, " \t\n\x0b\x0c\r")).cast("long").alias("word_chars"),
+        (F.length(whole) - F.length(without(whole, "#*$%&|<>"))).cast("long").alias("n_symbols"),
+        F.filter(F.split("whole", "\n"), lambda x: F.rlike(x, F.lit(WORD))).alias("lines"),
+        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
+    # Hashes of 1 word become hashes of 2, 4 and 8 words: each pass pairs an array with itself, moved.
+    for step in (1, 2, 4):
+        moved = F.expr(f"slice(hashes, {step + 1}, greatest(size(hashes) - {step}, 0))")
+        pairs = F.zip_with(F.expr(f"slice(hashes, 1, greatest(size(hashes) - {step}, 0))"), moved, lambda a, b: F.xxhash64(a, b))
+        rows = rows.withColumn("hashes", pairs)
     rows = rows.withColumn("n_lines", F.size("lines").cast("long")).withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
     # Only rows with a repeated window are sorted: (hash, position), then neighbours with equal hashes.
     repeated = F.size(F.array_distinct("hashes")) < F.size("hashes")
-    rows = rows.withColumn("sorted_windows", F.when(repeated, F.array_sort(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    rows = rows.withColumn("sorted_windows", F.when(repeated, F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     both = F.zip_with(F.expr("slice(sorted_windows, 2, size(sorted_windows) - 1)"), F.expr("slice(sorted_windows, 1, size(sorted_windows) - 1)"), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.expr("cast(array() as array<int>)")))
     rows = rows.withColumn("starts", F.array_sort(F.array_distinct(F.flatten(both))))
     covered = F.aggregate(F.zip_with(F.expr("slice(starts, 2, size(starts) - 1)"), F.expr("slice(starts, 1, size(starts) - 1)"), lambda b, a: F.least(F.lit(WINDOW), b - a)), F.lit(WINDOW), lambda s, x: s + x)
