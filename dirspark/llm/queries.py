@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from dirspark.llm import mixing, quality
+from dirspark.llm import bpe, mixing, neardup, quality, tokenfiles
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_mix": mixing.op1_mix,
+        "op3_token_files": tokenfiles.op3_token_files,
+        "op4_bpe": bpe.op4_bpe,
+        "op5_neardup": neardup.op5_neardup,
         "op8_quality": quality.op8_quality,
     }
 
