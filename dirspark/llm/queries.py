@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from dirspark.llm import bpe, mixing, neardup, quality, tokenfiles
+from dirspark.llm import bpe, mixing, neardup, quality, suffixes, tokenfiles
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op1_mix": mixing.op1_mix,
+        "op2_suffixes": suffixes.op2_suffixes,
         "op3_token_files": tokenfiles.op3_token_files,
         "op4_bpe": bpe.op4_bpe,
         "op5_neardup": neardup.op5_neardup,
