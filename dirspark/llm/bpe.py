@@ -335,31 +335,14 @@ class Decoder:
         yield self.finish()
 
 
-def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids (little-endian 32-bit integers) and decoded of each row.
+def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens and SHA-256 of the ids and of the decoded text of each row.
 
     Null and empty texts have no ids and decode to the empty text. Row for row: repeated and null doc_ids
     stay as they are, other columns aren't read. No shuffle.
     """
     path = path or tokenizer_path()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = merges_of(path)
-        encoder = Encoder(merges)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [encoder.encode(t) for t in part.column(1).to_pylist()]
-                texts = ["".join(Decoder(merges).decode(x)) for x in ids]
-                yield pa.record_batch([part.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, decoded string")
-
-
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """n_tokens and SHA-256 of the ids and of the decoded text, taken where they are made."""
-    path = path or tokenizer_path()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = merges_of(path)
         encoder = Encoder(merges)
@@ -377,6 +360,23 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def encode_rows(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids (little-endian 32-bit integers) and text, decoded from the ids."""
+    path = path or tokenizer_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merges = merges_of(path)
+        encoder = Encoder(merges)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = [encoder.encode(t) for t in part.column(3).to_pylist()]
+                texts = ["".join(Decoder(merges).decode(x)) for x in ids]
+                yield pa.record_batch([*part.columns[:3], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["doc_id", "lang", "source", "n_tokens", "ids", "text"])
+
+    return docs.select("doc_id", "lang", "source", "text").mapInArrow(run, "doc_id long, lang string, source string, n_tokens long, ids binary, text string")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text that they decode to."""
     return digests(documents(spark, sf_dir))

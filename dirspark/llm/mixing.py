@@ -104,7 +104,8 @@ def mix(docs: DataFrame, weight: Column | None = None, max_epochs: int = MAX_EPO
     """The mixed corpus, with the columns of docs: a row for each epoch that takes a document.
 
     The document at a budget's edge is cut after its last word taken. Rows of size 0 are taken by
-    no mix. Columns named like this module's own are kept apart in a struct while the plan is made.
+    no mix. Columns named like this module's own are kept apart in a struct while the plan is made;
+    n_chars, where there is such a column, follows a cut text.
     """
     names = docs.columns
     packed = docs.select("doc_id", "text", "source", F.struct(*names).alias("mixed_row"))
@@ -113,7 +114,8 @@ def mix(docs: DataFrame, weight: Column | None = None, max_epochs: int = MAX_EPO
     copies = F.filter(F.concat(copies, F.array("part")), lambda n: n > 0)
     rows = plan.where("taken > 0").withColumn("words_taken", F.explode(copies))
     whole = F.col("words_taken") == F.col("size")
-    return rows.select(*[F.when(whole, F.col("text")).otherwise(first_words()).alias(n) if n == "text" else F.col("mixed_row")[n].alias(n) for n in names])
+    new = {"text": F.when(whole, F.col("text")).otherwise(first_words()), "n_chars": F.when(whole, F.col("mixed_row")["n_chars"]).otherwise(F.length(first_words())) if "n_chars" in names else None}
+    return rows.select(*[(new[n] if n in new else F.col("mixed_row")[n]).alias(n) for n in names])
 
 
 def first_words() -> Column:

@@ -1,16 +1,16 @@
 """MinHash near-dedup with bottom-k sketches from one hash function.
 
-A document's set of shingle hashes is kept as its K smallest values, in order. Documents with equal sets are one
-class. Inverted lists of retained values generate candidates: the key of a list is two values that
-follow each other in a sketch. Two sets of similarity 0.75 or more share such a pair unless no two neighbours among
-the K smallest values of their union are common (chance below 1e-15 with K = 64; for sets that their sketches hold
-whole, never), while documents that only have a common line or passage seldom do.
+A document's set of shingle hashes is kept as its K smallest values, in order (their first 32 bits). Documents with
+equal sets are one class. Inverted lists of retained values generate candidates: the key of a list is two values that
+follow each other among the LISTED smallest. Two sets of similarity 0.75 or more share such a pair unless no two neighbours
+among the LISTED smallest values of their union are common (chance below 1e-15; for sets that their sketches
+hold whole, never), while documents that only have a common line or passage seldom do.
 
 Lists may be long, so a list never yields all its pairs. First its members are paired with the two smallest of
 it. Candidates pass the union-sketch estimate, then the exact Jaccard index of the whole sets. In lists of more than
 three whose members are still in more than one component, the pairs across components are then
-compared by their sketches, block by block inside tasks, and those that pass are verified. So every pair
-that shares a key is either compared or known to be connected.
+compared by their sketches inside tasks, each pair in its first common list only, and those that pass are verified.
+So every pair that shares a key is either compared or known to be connected.
 """
 
 from __future__ import annotations
@@ -22,18 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dirspark.llm.common import documents, settle
+from dirspark.llm.common import documents, settle, text_of
 from dirspark.llm.components import components
 from dirspark.llm.shingles import PLACES, mixed, shingle_sets
 
-K = 64
+K, LISTED = 128, 64
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Pairs below this estimate from K values aren't verified: 6 standard deviations below 0.75.
-LEAST_ESTIMATE = 0.40
+#: Pairs whose estimate lies so many standard deviations below 0.75 aren't verified.
+DEVIATIONS = 6.5
 #: Bytes of text hashed at once.
 STEP_BYTES = 1 << 20
-TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+TOP = np.uint32(0xFFFFFFFF)
 
 
 def in_steps(batch: pa.RecordBatch, column: int = 1) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -58,7 +58,7 @@ def set_id(s: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for empty sets) and sketch of each row."""
+    """doc_id, n_shingles, set_id (null for empty sets), sketch and text_id (a hash of the text) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,11 +66,17 @@ def sketches(docs: DataFrame) -> DataFrame:
                 sets = shingle_sets(texts)
                 ids = [set_id(s) if len(s) else None for s in sets]
                 yield pa.record_batch(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.array([s[:K].tobytes() for s in sets], pa.binary())],
-                    ["doc_id", "n_shingles", "set_id", "sketch"],
+                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.array([(s[:K] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary()), batch.column(2).slice(a, b - a)],
+                    ["doc_id", "n_shingles", "set_id", "sketch", "text_id"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_id long, sketch binary")
+    rows = docs.select("doc_id", "text", F.xxhash64(text_of()).alias("text_id"))
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_id long, sketch binary, text_id long")
+
+
+def keys_of(sketch: np.ndarray) -> np.ndarray:
+    v = sketch[:LISTED].astype(np.uint64)
+    return mixed(v[:-1] * PLACES[7] + v[1:] * PLACES[8]) if len(v) > 1 else mixed(v)
 
 
 def postings(reps: DataFrame) -> DataFrame:
@@ -78,8 +84,7 @@ def postings(reps: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [np.frombuffer(x, dtype=np.uint64) for x in batch.column(2).to_pylist()]
-            keys = [mixed(v[:-1] * PLACES[7] + v[1:] * PLACES[8]) if len(v) > 1 else v for v in values]
+            keys = [keys_of(np.frombuffer(x, dtype=np.uint32)) for x in batch.column(2).to_pylist()]
             counts = [len(x) for x in keys]
             if sum(counts):
                 repeat = lambda c: np.repeat(np.asarray(batch.column(c)), counts)  # noqa: B023, E731
@@ -132,11 +137,18 @@ def first_pairs(lists: DataFrame) -> DataFrame:
 def padded(values: list[bytes]) -> np.ndarray:
     out = np.full((len(values), K), TOP)
     for i, x in enumerate(values):
-        v = np.frombuffer(x, dtype=np.uint64)
+        v = np.frombuffer(x, dtype=np.uint32)
         out[i, : len(v)] = v
     return out
 
 
+def threshold(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """The least estimate that is verified: values are drawn from a union of bounded size without being put back."""
+    j = PERCENT / 100
+    union = np.maximum((n_a + n_b) / (1 + j), 2)
+    return j - 1e-9 - DEVIATIONS * np.sqrt(j * (1 - j) / K * np.maximum(union - K, 0) / (union - 1))
+
+
 def union_estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The share of common values among the K smallest of each union; exact where the sketches hold the sets."""
     both = np.sort(np.concatenate([a, b], axis=1), axis=1)
@@ -150,17 +162,17 @@ def union_estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs that pass the union-sketch estimate, with it."""
-    of = lambda c: reps.select(F.col("set_id").alias(c), F.col("sketch").alias(f"s{c}"))
+    of = lambda c: reps.select(F.col("set_id").alias(c), F.col("sketch").alias(f"s{c}"), F.col("n_shingles").alias(f"n{c}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 j = union_estimate(padded(part.column(2).to_pylist()), padded(part.column(3).to_pylist()))
-                ok = pa.array(j >= LEAST_ESTIMATE)
+                ok = pa.array(j >= threshold(np.asarray(part.column(4)), np.asarray(part.column(5))))
                 yield pa.record_batch([part.column(0).filter(ok), part.column(1).filter(ok), pa.array(j).filter(ok)], ["a", "b", "j"])
 
-    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, j double")
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long, j double")
 
 
 def fetch_sets(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
@@ -204,17 +216,34 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
     rows = members.join(reps.select(F.col("set_id").alias("node"), F.col("n_shingles").alias("n"), "sketch"), "node").select("key", "node", "label", "n", "sketch")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def pairs_of(nodes: list, labels: list, sizes: list, sk: list) -> Iterator[pa.RecordBatch]:
+    def pairs_of(key: int, nodes: list, labels: list, sizes: list, sk: list) -> Iterator[pa.RecordBatch]:
         node, label, size, values = np.array(nodes), np.array(labels), np.array(sizes), padded(sk)
+        keys = np.zeros((len(node), LISTED), dtype=np.uint64)
+        for i, x in enumerate(sk):
+            own = keys_of(np.frombuffer(x, dtype=np.uint32))
+            keys[i, : len(own)] = own
+        bits = np.zeros((len(node), 1024), dtype=bool)
+        for k in range(K):
+            used = values[:, k] != TOP
+            bits[np.flatnonzero(used), values[used, k] * np.uint32(2654435761) >> np.uint32(22)] = True
+        bits = np.packbits(bits, axis=1).view(np.uint64)
+        this = np.array([key]).view(np.uint64)[0]
         for i in range(len(node) - 1):
             j = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & (100 * np.minimum(size[i + 1 :], size[i]) >= PERCENT * np.maximum(size[i + 1 :], size[i])))
             for at in range(0, len(j), 4096):
                 part = j[at : at + 4096]
-                # A cheap bound first: values of i that the others hold.
-                held = np.isin(values[part], values[i][values[i] != TOP]).sum(axis=1)
-                part = part[held >= LEAST_ESTIMATE * np.minimum(K, size[part]) / 2]
-                part = part[union_estimate(np.repeat(values[i : i + 1], len(part), axis=0), values[part]) >= LEAST_ESTIMATE] if len(part) else part
+                least = threshold(size[part], size[i])
+                # A cheap bound first: sketches hold the common values that the estimate counts; bits may coincide.
+                near = np.bitwise_count(bits[part] & bits[i]).sum(axis=1, dtype=np.int64) >= 0.8 * least * np.minimum(K, size[part])
+                part, least = part[near], least[near]
+                if not len(part):
+                    continue
+                # Each pair in its first common list only.
+                held = np.isin(keys[part], keys[i][keys[i] != 0])
+                first = keys[part, held.argmax(axis=1)] == this
+                part, least = part[first], least[first]
                 if len(part):
+                    part = part[union_estimate(np.repeat(values[i : i + 1], len(part), axis=0), values[part]) >= least]
                     yield pa.record_batch([pa.array(np.minimum(node[part], node[i])), pa.array(np.maximum(node[part], node[i]))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,17 +251,17 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
         for batch in batches:
             for k, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if k != key:
-                    yield from pairs_of(*held) if key is not None else ()
+                    yield from pairs_of(key, *held) if key is not None else ()
                     key, held = k, ([], [], [], [])
                 for x, v in zip(held, row, strict=True):
                     x.append(v)
         if key is not None:
-            yield from pairs_of(*held)
+            yield from pairs_of(key, *held)
 
     return rows.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, with_text_id: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of docs.
 
     Null and empty texts, and texts of white space, have no shingles, link with nothing and are kept. Rows with
@@ -261,12 +290,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         nodes = late.select(F.col("a").alias("node")).union(late.select("b")).distinct()
         more = sets.unionByName(fetch_sets(nodes.join(sets.select("node"), "node", "left_anti"), reps, docs))
         labels = components(verified(late, more), labels)
-    named = rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", "n_shingles", "set_id", F.coalesce("label", "set_id").alias("label"))
+    named = rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", "n_shingles", "text_id", F.coalesce("label", "set_id").alias("label"))
     smallest = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest"))
-    out = named.join(smallest, "label", "left").select("doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
+    out = named.join(smallest, "label", "left").select("doc_id", "n_shingles", *["text_id"] * with_text_id, F.coalesce("smallest", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of docs that near_duplicates() keeps, with the columns of docs. Equal rows with one id all stay."""
+    verdicts = near_duplicates(docs.select("doc_id", "text"), with_text_id=True)
+    dropped = settle(verdicts.where("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("text_id").alias("gone_text")).distinct(), "dropped")
+    same = docs["doc_id"].eqNullSafe(dropped["gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == dropped["gone_text"])
+    return docs.join(dropped, same, "left_anti")
+
+
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends aren't known to be connected."""
     of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))

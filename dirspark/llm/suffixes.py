@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dirspark.llm.bwt import Shard, merge
-from dirspark.llm.common import documents, settle, text_of
+from dirspark.llm.common import WORD, documents, settle, text_of
 from dirspark.llm.shingles import BYTE_VALUES, mixed, powers
 
 WIDTH = 50
@@ -35,8 +35,9 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 LARGEST = np.iinfo(np.int64).max
 
 
-def text_id(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text (null as empty) and text_id, a hash of it."""
+    return docs.select("doc_id", text_of().alias("text")).withColumn("text_id", F.xxhash64("text"))
 
 
 def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -102,8 +103,9 @@ def anchors_by_part(docs: DataFrame, n_parts: int) -> DataFrame:
             return pa.record_batch([pa.array(part[at]), cut(high), cut(ids)], ["part", "high", "texts"])
 
         for batch in batches:
-            for _, _, texts in in_steps(batch, 0):
-                texts = {i: t for t in texts if len(t) >= WIDTH and (i := text_id(t)) not in met}
+            for a, b, texts in in_steps(batch, 0):
+                ids = batch.column(1).slice(a, b - a).to_pylist()
+                texts = {i: t for i, t in zip(ids, texts, strict=True) if len(t) >= WIDTH and i not in met}
                 met.update(texts)
                 ids = np.array(list(texts), dtype=np.int64)
                 anchors, of, *_ = stretches(list(texts.values()))
@@ -115,7 +117,7 @@ def anchors_by_part(docs: DataFrame, n_parts: int) -> DataFrame:
         if held:
             yield send()
 
-    return docs.select(text_of().alias("text")).mapInArrow(run, "part int, high binary, texts binary")
+    return keyed(docs).select("text", "text_id").mapInArrow(run, "part int, high binary, texts binary")
 
 
 def shared_anchors(parts: DataFrame) -> DataFrame:
@@ -155,7 +157,7 @@ def shared_anchors(parts: DataFrame) -> DataFrame:
 
 
 def cut_stretches(wanted: DataFrame, n_parts: int) -> DataFrame:
-    """From (doc_id, text_id, text, anchors of each part): the stretches with these anchors, packed by part."""
+    """From (doc_id, text, anchors of each part): the stretches with these anchors, packed by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -173,11 +175,9 @@ def cut_stretches(wanted: DataFrame, n_parts: int) -> DataFrame:
                 yield pa.record_batch([pa.array([part[o[0]]], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], ["part", "key", "doc", "start", "length", "bytes"])
 
         for batch in batches:
-            for a, b, texts in in_steps(batch, 2):
-                docs, want = np.asarray(batch.column(0).slice(a, b - a)), batch.column(1).slice(a, b - a).to_pylist()
-                mine = batch.column(3).slice(a, b - a).to_pylist()
-                ok = [i for i, t in enumerate(texts) if text_id(t) == want[i]]
-                texts, mine, docs = [texts[i] for i in ok], [np.frombuffer(b"".join(mine[i]), dtype=np.uint64) for i in ok], docs[ok]
+            for a, b, texts in in_steps(batch, 1):
+                docs = np.asarray(batch.column(0).slice(a, b - a))
+                mine = [np.frombuffer(b"".join(x), dtype=np.uint64) for x in batch.column(2).slice(a, b - a).to_pylist()]
                 anchors, of, start, count, data = stretches(texts)
                 sent, keep = compound(anchors, n_parts), np.zeros(len(anchors), dtype=bool)
                 ends = np.searchsorted(of, np.arange(len(texts) + 1))
@@ -321,26 +321,55 @@ def left_over(text: bytes, ranges: list[bytes]) -> tuple[bytes, int, int]:
 
 
 def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text_id, n_bytes, sha, first_doc) of each row, and (first_doc, text_id, ranges) of texts that lose bytes."""
+    """(doc_id, text_id, n_bytes, sha, first_doc) of each row, and (doc_id, text_id, ranges) of texts that lose bytes."""
     spark = docs.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array([text_id(t) for t in texts], pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t).hexdigest() for t in texts])], ["doc_id", "text_id", "n_bytes", "sha"])
-
-    rows = settle(docs.select("doc_id", "text").mapInArrow(described, "doc_id long, text_id long, n_bytes long, sha string"), "rows")
+    rows = keyed(docs).select("doc_id", "text_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    rows = settle(rows, "rows")
     # The first document of each text stands for it. Rows without an id come before and after none.
     firsts = settle(rows.where("doc_id IS NOT NULL").groupBy("text_id").agg(F.min("doc_id").alias("first_doc")), "firsts")
     parts = anchors_by_part(docs, n_parts).repartition(n_parts, "part").sortWithinPartitions("part")
     shared = shared_anchors(parts).groupBy("text_id").agg(F.collect_list("anchors").alias("anchors"))
     shared = settle(shared.join(firsts, "text_id").select(F.col("first_doc").alias("doc_id"), "text_id", "anchors"), "shared")
-    wanted = docs.select("doc_id", text_of().alias("text")).join(shared, "doc_id").select("doc_id", "text_id", "text", "anchors")
+    wanted = keyed(docs).join(shared, ["doc_id", "text_id"]).dropDuplicates(["doc_id", "text_id"]).select("doc_id", "text", "anchors")
     cut = cut_stretches(wanted, n_parts).repartition(n_parts, "part").sortWithinPartitions("part")
-    ranges = found_ranges(cut).groupBy("doc_id").agg(F.collect_list("ranges").alias("ranges"))
-    ranges = settle(ranges.join(shared.select("doc_id", "text_id"), "doc_id").select(F.col("doc_id").alias("first_doc"), "text_id", "ranges"), "ranges")
-    return rows.join(firsts, "text_id", "left"), ranges
+    ranges = found_ranges(cut).join(shared.select("doc_id", "text_id"), "doc_id").groupBy("doc_id", "text_id").agg(F.collect_list("ranges").alias("ranges"))
+    return rows.join(firsts, "text_id", "left"), settle(ranges, "ranges")
+
+
+def edited(docs: DataFrame, ranges: DataFrame) -> DataFrame:
+    """doc_id, text_id, n, spans, kept and remaining of the texts with ranges."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                got = [left_over(t.encode(), r) for t, r in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                kept, n, spans = zip(*got, strict=True) if got else ((), (), ())
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(spans, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array(kept, pa.binary())], ["doc_id", "text_id", "n", "spans", "kept", "remaining"])
+
+    texts = keyed(docs).join(ranges, ["doc_id", "text_id"]).dropDuplicates(["doc_id", "text_id"])
+    return texts.select("doc_id", "text_id", "text", "ranges").mapInArrow(cut, "doc_id long, text_id long, n long, spans long, kept string, remaining binary")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """docs with the repeated bytes cut out of text, and without the rows of which no word is left.
+
+    Characters that a cut splits go with it. n_chars, where there is such a column, follows the text of changed rows.
+    """
+    cut = deduplicate(docs.select("doc_id", "text")).where("n_removed > 0").select(F.col("doc_id").alias("cut_id"), F.col("text_id").alias("cut_text"), "remaining").dropDuplicates(["cut_id", "cut_text"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = [x.decode(errors="ignore") for x in batch.column(2).to_pylist()]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(left, pa.string())], ["cut_id", "cut_text", "left_text"])
+
+    cut = settle(cut.mapInArrow(read, "cut_id long, cut_text long, left_text string"), "cut")
+    same = (docs["doc_id"] == cut["cut_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == cut["cut_text"])
+    joined = docs.join(cut, same, "left").where(cut["left_text"].isNull() | F.rlike(cut["left_text"], F.lit(WORD)))
+    new = {"text": F.coalesce(cut["left_text"], docs["text"]), "n_chars": F.when(cut["left_text"].isNull(), docs["n_chars"]).otherwise(F.length(cut["left_text"])) if "n_chars" in docs.columns else None}
+    return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -351,26 +380,12 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     than each other; rows with a null doc_id lose nothing and make no other lose anything. Only doc_id and text are read.
     """
     rows, ranges = repeated_ranges(docs)
+    out = rows.join(edited(docs, ranges), ["doc_id", "text_id"], "left")
     gone = (F.col("doc_id") > F.col("first_doc")) & (F.col("n_bytes") >= WIDTH)
-    lost = ranges.select("first_doc", "text_id", "ranges")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                out = []
-                for doc, want, text, ranges in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
-                    if text_id(text := text.encode()) == want:
-                        kept, n, spans = left_over(text, ranges)
-                        out.append((doc, want, n, spans, hashlib.sha256(kept).hexdigest(), kept))
-                columns = zip(*out, strict=True) if out else [[]] * 6
-                yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)], ["doc_id", "text_id", "n", "spans", "kept", "remaining"])
-
-    texts = docs.select("doc_id", text_of().alias("text")).join(lost.withColumnRenamed("first_doc", "doc_id"), "doc_id").select("doc_id", "text_id", "text", "ranges")
-    edited = texts.mapInArrow(cut, "doc_id long, text_id long, n long, spans long, kept string, remaining binary").dropDuplicates(["doc_id", "text_id"])
-    out = rows.join(edited, ["doc_id", "text_id"], "left")
     whole = F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n", F.lit(0)))
     return out.select(
         "doc_id",
+        "text_id",
         "n_bytes",
         whole.cast("long").alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
@@ -381,4 +396,4 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
 def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to earlier documents."""
-    return deduplicate(documents(spark, sf_dir)).drop("remaining")
+    return deduplicate(documents(spark, sf_dir)).drop("remaining", "text_id")
