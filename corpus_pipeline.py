@@ -1,8 +1,62 @@
-"""The corpus pipeline: STAGES in order, each written as Parquet and reread as the next one's docs."""
+"""The corpus pipeline: STAGES in order, each written as Parquet and reread as the next one's docs.
 
+All stages but the last return the columns of documents. Each takes (spark, docs, sf_dir) and works on all that its
+predecessor kept.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dirspark.llm import bpe, mixing, neardup, quality, suffixes
+from dirspark.llm.common import shared_dir
+
+#: The BPE stage and the near-duplicate components have no SQL form; tests hold the stages against plain versions.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one with the smallest id. Rows with a null id stay unless a row with an id is in their group."""
+    return neardup.keep_first(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes in strings that an earlier document has are cut out; documents of which nothing is left go."""
+    return suffixes.without_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are taken, and taken again, until each source has its share of the words."""
+    return mixing.mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each document taken, and the text that they decode to."""
+    return bpe.encode_rows(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", quality_rules),
+    ("near-duplicate removal", near_dedup),
+    ("suffix-array dedup", suffix_dedup),
+    ("mixing to target weights", mix_sources),
+    ("BPE encoding", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on documents. Each stage's rows are written below the shared folder, so a lost executor costs no earlier stage."""
+    folder = shared_dir(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{folder}/stage{k}")
+        docs = spark.read.parquet(f"{folder}/stage{k}")
+    return docs.select(*[F.col(c) for c in docs.columns])
