@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from dirspark.llm import bpe, mixing, neardup, quality, suffixes, tokenfiles
+from dirspark.llm import audio, bpe, mixing, neardup, quality, suffixes, tokencounts, tokenfiles, toolcalls, warc
 
 
 def queries() -> dict[str, Callable]:
@@ -14,12 +14,18 @@ def queries() -> dict[str, Callable]:
         "op3_token_files": tokenfiles.op3_token_files,
         "op4_bpe": bpe.op4_bpe,
         "op5_neardup": neardup.op5_neardup,
+        "op6_token_counts": tokencounts.op6_token_counts,
+        "op7_warc": warc.op7_warc,
         "op8_quality": quality.op8_quality,
+        "op9_tool_calls": toolcalls.op9_tool_calls,
+        "op10_audio": audio.op10_audio,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix": mixing.ORACLE,
+        "op6_token_counts": tokencounts.ORACLE,
+        "op7_warc": warc.ORACLE,
         "op8_quality": quality.ORACLE,
     }
