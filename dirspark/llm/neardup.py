@@ -26,7 +26,9 @@ from dirspark.llm.common import documents, settle, text_of
 from dirspark.llm.components import components
 from dirspark.llm.shingles import PLACES, mixed, shingle_sets
 
-K, LISTED = 128, 64
+K, LISTED = 256, 64
+#: Members of a list that are compared at once; longer lists are dealt out as pairs of blocks.
+BLOCK = 4096
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Pairs whose estimate lies so many standard deviations below 0.75 aren't verified.
@@ -212,11 +214,16 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def across(members: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of different components within each list of members(key, node, label) that pass the estimate."""
-    rows = members.join(reps.select(F.col("set_id").alias("node"), F.col("n_shingles").alias("n"), "sketch"), "node").select("key", "node", "label", "n", "sketch")
+    """Pairs (a, b, j) of different components within each list of members(key, node, label, size) that pass the estimate."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label")
+    rows = dealt.join(reps.select(F.col("set_id").alias("node"), F.col("n_shingles").alias("n"), "sketch"), "node").select("key", "low", "high", "block", "node", "label", "n", "sketch")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def pairs_of(key: int, nodes: list, labels: list, sizes: list, sk: list) -> Iterator[pa.RecordBatch]:
+    def pairs_of(key: tuple, in_block: list, nodes: list, labels: list, sizes: list, sk: list) -> Iterator[pa.RecordBatch]:
+        block, two = np.array(in_block), key[1] != key[2]
         node, label, size, values = np.array(nodes), np.array(labels), np.array(sizes), padded(sk)
         keys = np.zeros((len(node), LISTED), dtype=np.uint64)
         for i, x in enumerate(sk):
@@ -227,9 +234,9 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
             used = values[:, k] != TOP
             bits[np.flatnonzero(used), values[used, k] * np.uint32(2654435761) >> np.uint32(22)] = True
         bits = np.packbits(bits, axis=1).view(np.uint64)
-        this = np.array([key]).view(np.uint64)[0]
+        this = np.array([key[0]]).view(np.uint64)[0]
         for i in range(len(node) - 1):
-            j = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & (100 * np.minimum(size[i + 1 :], size[i]) >= PERCENT * np.maximum(size[i + 1 :], size[i])))
+            j = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & ((block[i + 1 :] != block[i]) | (not two)) & (100 * np.minimum(size[i + 1 :], size[i]) >= PERCENT * np.maximum(size[i + 1 :], size[i])))
             for at in range(0, len(j), 4096):
                 part = j[at : at + 4096]
                 least = threshold(size[part], size[i])
@@ -243,22 +250,25 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
                 first = keys[part, held.argmax(axis=1)] == this
                 part, least = part[first], least[first]
                 if len(part):
-                    part = part[union_estimate(np.repeat(values[i : i + 1], len(part), axis=0), values[part]) >= least]
-                    yield pa.record_batch([pa.array(np.minimum(node[part], node[i])), pa.array(np.maximum(node[part], node[i]))], ["a", "b"])
+                    estimate = union_estimate(np.repeat(values[i : i + 1], len(part), axis=0), values[part])
+                    part, estimate = part[estimate >= least], estimate[estimate >= least]
+                    yield pa.record_batch([pa.array(np.minimum(node[part], node[i])), pa.array(np.maximum(node[part], node[i])), pa.array(estimate)], ["a", "b", "j"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, ([], [], [], [])
+        key, held = None, ([], [], [], [], [])
         for batch in batches:
-            for k, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if k != key:
+            for k, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (k, low, high) != key:
                     yield from pairs_of(key, *held) if key is not None else ()
-                    key, held = k, ([], [], [], [])
+                    key, held = (k, low, high), ([], [], [], [], [])
                 for x, v in zip(held, row, strict=True):
                     x.append(v)
         if key is not None:
             yield from pairs_of(key, *held)
 
-    return rows.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
+    order = ["key", "low", "high"]
+    return rows.repartition(n, *order).sortWithinPartitions(*order, "node").mapInArrow(run, "a long, b long, j double").dropDuplicates(["a", "b"])
+
 
 
 def near_duplicates(docs: DataFrame, with_text_id: bool = False) -> DataFrame:
@@ -269,33 +279,37 @@ def near_duplicates(docs: DataFrame, with_text_id: bool = False) -> DataFrame:
     unless a row with an id is in their component. Rows with the same doc_id are judged each by its text.
     Only doc_id and text are read.
     """
-    rows = settle(sketches(docs), "sketches")
-    reps = settle(rows.where("set_id IS NOT NULL AND doc_id IS NOT NULL").dropDuplicates(["set_id"]), "reps")
+    rows = settle(sketches(docs).drop("sketch"), "rows")
+    # One row stands for each set. Sketches are made again for these rather than kept for all.
+    firsts = rows.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
+    reps = settle(sketches(docs).drop("text_id").join(settle(firsts, "firsts"), ["doc_id", "set_id"]).dropDuplicates(["set_id"]), "reps")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = settle(first_pairs(postings(reps).repartition(n, "key").sortWithinPartitions("key", "set_id")), "pairs")
     pairs = settle(estimated(found.where("key IS NULL").select("a", "b").distinct(), reps), "estimated")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = fetch_sets(nodes, reps, docs)
-    # First the likeliest partner of each set; most other pairs are then known to be connected.
-    best = pairs.groupBy("b").agg(F.max(F.struct("j", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-    links = settle(verified(best, sets), "links")
-    labels = components(links)
-    rest = settle(apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), labels), "rest")
-    if not rest.isEmpty():
-        labels = components(verified(rest, sets), labels)
+    labels = linked(pairs, sets, None)
     members = found.where("key IS NOT NULL").select("key", F.col("a").alias("node")).join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    open_lists = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    open_lists = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y").select("key", "size")
     late = settle(across(members.join(open_lists, "key"), reps).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "late")
     if not late.isEmpty():
         nodes = late.select(F.col("a").alias("node")).union(late.select("b")).distinct()
         more = sets.unionByName(fetch_sets(nodes.join(sets.select("node"), "node", "left_anti"), reps, docs))
-        labels = components(verified(late, more), labels)
+        labels = linked(late, more, labels)
     named = rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", "n_shingles", "text_id", F.coalesce("label", "set_id").alias("label"))
     smallest = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest"))
     out = named.join(smallest, "label", "left").select("doc_id", "n_shingles", *["text_id"] * with_text_id, F.coalesce("smallest", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
+def linked(pairs: DataFrame, sets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Labels after the pairs (a, b, j) are verified: the likeliest partner of each set first, then what is not yet connected."""
+    best = settle(pairs.groupBy("b").agg(F.max(F.struct("j", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"), "best")
+    labels = components(verified(best, sets), labels)
+    rest = settle(apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), labels), "rest")
+    return labels if rest.isEmpty() else components(verified(rest, sets), labels)
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of docs that near_duplicates() keeps, with the columns of docs. Equal rows with one id all stay."""
     verdicts = near_duplicates(docs.select("doc_id", "text"), with_text_id=True)
