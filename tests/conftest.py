@@ -1,4 +1,17 @@
 import sys
 from pathlib import Path
 
+import pytest
+from pyspark.sql import SparkSession
+
 sys.path.insert(0, str(Path(__file__).parents[1]))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).config("spark.driver.memory", "4g").getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return session
