@@ -283,9 +283,21 @@ def found_ranges(parts: DataFrame) -> DataFrame:
         part, held = None, [[], [], [], [], []]
         kinds = (np.uint64, np.int64, "<u4", "<u4", np.uint8)
 
-        def found() -> pa.RecordBatch:
+        def found() -> Iterator[pa.RecordBatch]:
+            """In chunks of whole keys, so that what is worked on has a bounded size."""
             key, doc, start, length, data = (np.concatenate(x) for x in held)
-            doc, a, b = earlier_windows(key, doc, start.astype(np.int64), length.astype(np.int64), data)
+            length = length.astype(np.int64)
+            first, order = np.cumsum(length) - length, np.argsort(key, kind="stable")
+            size, keys, a = np.cumsum(length[order]), key[order], 0
+            while a < len(order):
+                b = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + MERGE_BYTES, side="right")))
+                b = int(np.searchsorted(keys, keys[b - 1], side="right"))
+                o = order[a:b]
+                part = np.concatenate([data[i : i + n] for i, n in zip(first[o].tolist(), length[o].tolist(), strict=True)])
+                yield told(*earlier_windows(key[o], doc[o], start[o].astype(np.int64), length[o], part))
+                a = b
+
+        def told(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
             order = np.argsort(doc, kind="stable")
             doc, pairs = doc[order], np.stack([a, b + WIDTH - 1], axis=1)[order].astype("<u4")
             at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, dtype=np.int64)
@@ -295,13 +307,13 @@ def found_ranges(parts: DataFrame) -> DataFrame:
         for batch in batches:
             for p, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if p != part and part is not None:
-                    yield found()
+                    yield from found()
                     held = [[], [], [], [], []]
                 part = p
                 for x, v, kind in zip(held, packed, kinds, strict=True):
                     x.append(np.frombuffer(v, dtype=kind))
         if held[0]:
-            yield found()
+            yield from found()
 
     return parts.mapInArrow(run, "doc_id long, ranges binary")
 
