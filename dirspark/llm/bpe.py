@@ -18,6 +18,7 @@ import bisect
 import codecs
 import hashlib
 import json
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -39,6 +40,8 @@ RUNS = {"letter": regex.compile(r"\p{L}*"), "number": regex.compile(r"\p{N}*"),
 #: Stand-ins for characters of each class, in an agreed block.
 STAND_IN = {"letter": ord("é"), "number": ord("²"), "other": ord("±"), "space": 0xA0}
 LONG_WORD = 1 << 14
+#: Blanks that the white space around them may claim.
+AMONG_SPACES = re.compile(r"\s (?:\s|\Z)")
 
 
 def tokenizer_path(name: str = FILE) -> str:
@@ -91,7 +94,7 @@ class Merges:
         self.right_edge, self.left_edge = ({t: self._edge(made, t, side) for t in self.id_of.values()} for side in (1, 0))
         self.follows: dict[int, bool] = {}
         self.classes = Classes(path)
-        self.odd = regex.compile(f"[^\\x00-{chr(AGREED - 1)}]")
+        self.odd = re.compile(f"[^\\x00-{chr(AGREED - 1)}]")
         self.in_special = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.special_length = max(map(len, self.special), default=1)
 
@@ -105,6 +108,13 @@ class Merges:
                 return tuple(out)
             ends, token = made[token][2], made[token][side]
 
+    @lru_cache(maxsize=1)  # noqa: B019
+    def token_bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All tokens' bytes in a row, and each id's first place and size there; one more id, without bytes, stands for unknown ones."""
+        parts = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 2)]
+        size = np.array([len(x) for x in parts], dtype=np.int64)
+        return np.frombuffer(b"".join(parts), dtype=np.uint8), np.cumsum(size) - size, size
+
     def may_follow(self, a: int, b: int) -> bool:
         """Whether no merge crosses the border of a and b. Of equal merges the left one goes first."""
         key = a << 20 | b
@@ -145,6 +155,12 @@ def merges_of(path: str) -> Merges:
     return Merges(path)
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """One for each Python worker, so that what it remembers serves all its tasks."""
+    return Encoder(merges_of(path))
+
+
 class WordTransducer:
     """Encodes one word, fed in parts; the ids that became stable come back at once."""
 
@@ -201,44 +217,89 @@ class WordTransducer:
         return out
 
 
+class Memo(dict):
+    """A dict that makes what it lacks and keeps two generations of so many entries."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        if (out := self.old.get(key)) is None:
+            out = self.make(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = out
+        return out
+
+
 class Encoder:
-    """Encodes a text that comes in chunks; feed() and finish() return ids as little-endian 32-bit integers."""
+    """Encodes a text that comes in chunks; feed() and finish() return ids as little-endian 32-bit integers.
+
+    What comes before a blank never depends on what follows it, unless it stands among other white space; so texts are
+    cut there, and the encodings of such stretches and of words are remembered.
+    """
 
-    #: Encodings of whole words are remembered, two generations of so many.
-    REMEMBERED = 200_000
+    REMEMBERED = 450_000
+    #: Longer words and stretches aren't remembered.
+    SHORT = 64
 
     def __init__(self, merges: Merges):
-        self.m, self.young, self.old = merges, {}, {}
+        self.m = merges
+        self.word_ids = Memo(self.encode_word, self.REMEMBERED // 4)
+        self.stretches = Memo(self._stretch_ids, self.REMEMBERED)
         self.reset()
 
     def reset(self) -> None:
         self.text, self.open, self.kind = "", None, ""
 
-    def word(self, word: str) -> bytes:
-        if (out := self.old.get(word)) is None:
+    def encode_word(self, word: str) -> bytes:
+        """A long word goes through the streaming transducer; a short one lies within the lookahead as a whole."""
+        data = word.encode()
+        if len(data) > self.SHORT:
             t = WordTransducer(self.m)
-            out = np.array(t.feed(word.encode()) + t.finish(), dtype="<u4").tobytes()
-        if len(word) <= 64:
-            if len(self.young) >= self.REMEMBERED:
-                self.old, self.young = self.young, {}
-            self.young[word] = out
-        return out
+            return self._ids(t.feed(data) + t.finish())
+        id_of, bytes_of, may_follow, longest = self.m.id_of, self.m.bytes_of, self.m.may_follow, self.m.longest
+        out, at, n, dead = [], 0, len(data), set()
+        size = min(n, longest)
+        while at < n:  # the longest token that may follow; a place from which none does is never come to again
+            while size:
+                t = id_of.get(data[at : at + size])
+                if t is not None and at + size not in dead and (not out or may_follow(out[-1], t)):
+                    break
+                size -= 1
+            if size:
+                out.append(t)
+                at += size
+                size = min(n - at, longest)
+            else:
+                dead.add(at)
+                back = len(bytes_of[out.pop()])
+                at, size = at - back, back - 1
+        return self._ids(out)
 
     def spans(self, text: str) -> list[str]:
-        if not self.m.odd.search(text):
+        if text.isascii() or not self.m.odd.search(text):
             return WORDS.findall(text)
         return [text[x.start() : x.end()] for x in WORDS.finditer(text.translate(self.m.classes))]
 
+    def _stretch_ids(self, text: str) -> bytes:
+        """Most stretches are one word: a blank and letters."""
+        if (text[1:] if text[:1] == " " else text).isalpha() and (text.isascii() or not self.m.odd.search(text)):
+            return self.encode_word(text)
+        return self.words(self.spans(text))
+
     def words(self, words: list[str]) -> bytes:
-        get, word = self.young.get, self.word
-        out = []
-        for w in words:
-            ids = get(w)
-            if ids is None:
-                ids = word(w)
-                get = self.young.get
-            out.append(ids)
-        return b"".join(out)
+        ids, short = self.word_ids, self.SHORT
+        return b"".join([ids[w] if len(w) <= short else self.encode_word(w) for w in words])
+
+    def whole(self, text: str) -> bytes:
+        """All ids of a text without special tokens."""
+        if "\0" in text or AMONG_SPACES.search(text):
+            return self.words(self.spans(text))
+        ids, short = self.stretches, self.SHORT
+        return b"".join([ids[t] if len(t) <= short else self.words(self.spans(t)) for t in text.replace(" ", "\0 ").split("\0")])
 
     def feed(self, chunk: str) -> bytes:
         self.text += chunk
@@ -307,6 +368,8 @@ class Encoder:
     def encode(self, text: str | None, chunk: int = 1 << 16) -> bytes:
         """All ids of a text. Null and the empty text have none."""
         text = text or ""
+        if len(text) <= chunk and not self.m.in_special.search(text):
+            return self.whole(text)
         parts = [self.feed(text[i : i + chunk]) for i in range(0, len(text), chunk)]
         return b"".join([*parts, self.finish()])
 
@@ -318,12 +381,15 @@ class Decoder:
     """
 
     def __init__(self, merges: Merges):
-        self.bytes_of = merges.bytes_of
+        self.table, self.first, self.size = merges.token_bytes()
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> str:
-        get = self.bytes_of.get
-        return self.machine.decode(b"".join([get(i, b"") for i in ids]))
+        ids = np.minimum(np.asarray(ids, dtype=np.int64), len(self.size) - 1)
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        place = np.repeat(self.first[ids] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        return self.machine.decode(self.table[place].tobytes())
 
     def finish(self) -> str:
         return self.machine.decode(b"", final=True)
@@ -331,7 +397,7 @@ class Decoder:
     def decode(self, ids: bytes, step: int = 1 << 16) -> Iterator[str]:
         numbers = np.frombuffer(ids, dtype="<u4")
         for i in range(0, len(numbers), step):
-            yield self.feed(numbers[i : i + step].tolist())
+            yield self.feed(numbers[i : i + step])
         yield self.finish()
 
 
@@ -344,8 +410,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = merges_of(path)
-        encoder = Encoder(merges)
+        merges, encoder = merges_of(path), encoder_of(path)
         for batch in batches:
             n, of_ids, of_text = [], [], []
             for text in batch.column(1).to_pylist():
@@ -365,8 +430,7 @@ def encode_rows(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = merges_of(path)
-        encoder = Encoder(merges)
+        merges, encoder = merges_of(path), encoder_of(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -1,7 +1,7 @@
 """Token files: raw id payloads with a minimal perfect hash index.
 
 A shard is two files. NAME.bin holds the ids of its documents, one after another, as little-endian unsigned
-32-bit integers. NAME.idx holds the offsets and a minimal perfect hash of the document keys: levels of bits
+integers of 16 bits where the vocabulary allows it, else of 32. NAME.idx holds the offsets and a minimal perfect hash of the document keys: levels of bits
 in which each key that is alone in its slot sets a bit, the rest going on to the next level. A key's
 number is the count of bits before its own, so a lookup takes a few bit tests whatever the size. A
 fingerprint of each key is stored at its number, so foreign keys are told apart (but for one in 2^32).
@@ -111,13 +111,13 @@ def key_of(ids: np.ndarray, null: np.ndarray) -> np.ndarray:
 
 
 class ShardIndex:
-    """The index of one shard: records in order, and for each distinct key its first record and number of records."""
+    """The index of one shard: records in order, for each distinct key its first record and number of records, and bytes for an id."""
 
-    def __init__(self, offsets: np.ndarray, ids: np.ndarray, null: np.ndarray, phash: PerfectHash, first: np.ndarray, count: np.ndarray):
-        self.offsets, self.ids, self.null, self.phash, self.first, self.count = offsets, ids, null, phash, first, count
+    def __init__(self, offsets: np.ndarray, ids: np.ndarray, null: np.ndarray, phash: PerfectHash, first: np.ndarray, count: np.ndarray, width: int):
+        self.offsets, self.ids, self.null, self.phash, self.first, self.count, self.width = offsets, ids, null, phash, first, count, width
 
     @classmethod
-    def of(cls, ids: np.ndarray, null: np.ndarray, sizes: np.ndarray) -> ShardIndex:
+    def of(cls, ids: np.ndarray, null: np.ndarray, sizes: np.ndarray, width: int = 4) -> ShardIndex:
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("<i8")
         keys = key_of(ids, null)
         distinct, first, count = np.unique(keys, return_index=True, return_counts=True)
@@ -125,11 +125,11 @@ class ShardIndex:
         at = phash.number(distinct)
         by_number = np.empty((2, len(distinct)), dtype="<i8")
         by_number[0, at], by_number[1, at] = first, count
-        return cls(offsets, ids.astype("<i8"), null.astype("u1"), phash, by_number[0], by_number[1])
+        return cls(offsets, ids.astype("<i8"), null.astype("u1"), phash, by_number[0], by_number[1], width)
 
     def to_bytes(self) -> bytes:
         p = self.phash
-        parts = [self.offsets, self.ids, self.null, self.first, self.count, p.prints, p.rest.astype("<u8"), *(x.astype("<u8") for x in p.levels)]
+        parts = [np.array([self.width], dtype="u1"), self.offsets, self.ids, self.null, self.first, self.count, p.prints, p.rest.astype("<u8"), *(x.astype("<u8") for x in p.levels)]
         head = MAGIC + struct.pack("<I", len(parts)) + b"".join(struct.pack("<2sQ", x.dtype.str[1:].encode(), x.nbytes) for x in parts)
         return head + b"".join(x.tobytes() for x in parts)
 
@@ -143,8 +143,8 @@ class ShardIndex:
             kind, size = struct.unpack_from("<2sQ", data, 12 + 10 * k)
             parts.append(np.frombuffer(data, dtype="<" + kind.decode(), count=size // int(kind[1:]), offset=at))
             at += size
-        offsets, ids, null, first, count, prints, rest, *levels = parts
-        return cls(offsets, ids, null, PerfectHash(list(levels), rest, prints), first, count)
+        width, offsets, ids, null, first, count, prints, rest, *levels = parts
+        return cls(offsets, ids, null, PerfectHash(list(levels), rest, prints), first, count, int(width[0]))
 
     def records(self, ids: np.ndarray, null: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First record and number of records of each key; (-1, 0) for keys that the shard lacks."""
@@ -177,7 +177,7 @@ def get(uri: str, name: str) -> bytes:
 
 
 class LibraryEncoder(Splitter):
-    """Words as the transducer splits them; each new word is encoded by the tokenizers library and remembered."""
+    """Texts cut into words as the transducer cuts them; each word new to a task is encoded by the tokenizers library."""
 
     def __init__(self, path: str):
         super().__init__(merges_of(path))
@@ -187,26 +187,15 @@ class LibraryEncoder(Splitter):
         self.library.no_truncation()
         self.library.no_padding()
 
-    def batch(self, texts: list[str | None]) -> list[bytes]:
-        split, new = [], {}
-        for text in texts:
-            text, words, at = text or "", [], 0
-            for hit in self.m.in_special.finditer(text):
-                words += [*self.spans(text[at : hit.start()]), hit[0]]
-                at = hit.end()
-            words += self.spans(text[at:] if at else text)
-            split.append(words)
-            new.update(dict.fromkeys(w for w in words if w not in self.young))
-        found = {w: self.old[w] for w in new if w in self.old}
-        missing = [w for w in new if w not in found]
-        for w, e in zip(missing, self.library.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            found[w] = np.array(e.ids, dtype="<u4").tobytes()
-        young = self.young
-        out = [b"".join([young[w] if w in young else found[w] for w in words]) for words in split]
-        young.update((w, x) for w, x in found.items() if len(w) <= 64)
-        if len(young) >= self.REMEMBERED:
-            self.old, self.young = young, {}
-        return out
+    def encode_word(self, word: str) -> bytes:
+        return np.array(self.library.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def encode(self, text: str | None, chunk: int = 0) -> bytes:
+        out, at, text = [], 0, text or ""
+        for hit in self.m.in_special.finditer(text):
+            out += [self.whole(text[at : hit.start()]), np.array([self.m.special[hit[0]]], dtype="<u4").tobytes()]
+            at = hit.end()
+        return b"".join([*out, self.whole(text[at:] if at else text)])
 
 
 @lru_cache(maxsize=1)
@@ -214,59 +203,79 @@ def library_encoder(path: str) -> LibraryEncoder:
     return LibraryEncoder(path)
 
 
-def encoded(docs: DataFrame, path: str, end: int = END) -> DataFrame:
-    """doc_id and ids of each row, with the end id."""
+def encoded(docs: DataFrame, path: str, end: int = END, bounds: list[int] = ()) -> DataFrame:
+    """shard, doc_id and ids of each row, with the end id. Ids are 16-bit integers where all of the tokenizer's fit."""
+    edges = np.array(bounds, dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder, last = library_encoder(path), np.array([end], dtype="<u4").tobytes()
+        kind = "<u2" if max(encoder.m.bytes_of) < 1 << 16 else "<u4"
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = encoder.batch(part.column(1).to_pylist())
-                yield pa.record_batch([part.column(0), pa.array([x + last for x in ids], pa.binary())], ["doc_id", "ids"])
+                keys = part.column(0).cast(pa.int64())
+                null = np.asarray(keys.is_null())
+                shard = np.where(null, 0, np.searchsorted(edges, np.asarray(keys.fill_null(0)), side="right"))
+                ids = [np.frombuffer(encoder.encode(t) + last, dtype="<u4").astype(kind).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.record_batch([pa.array(shard, pa.int32()), keys, pa.array(ids, pa.binary()), pa.array([int(kind[2])] * len(ids), pa.int32())], ["shard", "doc_id", "ids", "width"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "shard int, doc_id long, ids binary, width int")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+def shard_bounds(docs: DataFrame, n_shards: int) -> list[int]:
+    """Where to cut the range of doc_ids: approximate quantiles, one number for each shard."""
+    if n_shards < 2:
+        return []
+    (found,) = docs.agg(F.percentile_approx("doc_id", [k / n_shards for k in range(1, n_shards)], 10 * n_shards)).first()
+    return sorted(set(found or []))
 
 
-def write(ids: DataFrame, uri: str, n_shards: int | None = None) -> DataFrame:
-    """Write (doc_id, ids) as token files below uri; returns a row for each file: shard, part, first id's number, and so on.
+def write(docs: DataFrame, uri: str, path: str, n_shards: int | None = None) -> DataFrame:
+    """Encode docs and write token files below uri; returns a row for each file: shard, part, name, and counts.
 
-    Rows are range-partitioned by doc_id and, among equal ones, by a hash of the ids, so that a repeated doc_id
-    is split, too. A task cuts its range into files of about SHARD_BYTES. Null doc_ids come first.
+    Shards are ranges of doc_id, so shard after shard is in ascending order. Documents are encoded once, before the
+    shuffle. A task cuts a shard into files of about SHARD_BYTES. Null doc_ids come first; equal ones are ordered by their ids' bytes.
     """
-    spark = ids.sparkSession
-    n_shards = n_shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = ids.withColumn("tie", F.xxhash64("ids"))
-    dealt = keyed.repartitionByRange(n_shards, F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie", "ids").select("doc_id", "ids")
+    n_shards = n_shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = encoded(docs, path, bounds=shard_bounds(docs, n_shards))
+    dealt = ids.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        shard, attempt = context.partitionId(), f"{context.stageId()}-{context.taskAttemptId()}"
-        told, held, size = [], [], 0
+        attempt = f"{context.stageId()}-{context.taskAttemptId()}"
+        told, held, size, shard, number = [], [], 0, None, 0
 
         def flush() -> None:
-            nonlocal held, size
-            name = f"shard-{shard:06d}-{len(told):05d}"
-            keys = pa.concat_arrays([x.column(0) for x in held])
-            payload = [v for x in held for v in x.column(1).to_pylist()]
+            nonlocal held, size, number
+            name = f"shard-{shard:06d}-{number:05d}"
+            keys = pa.concat_arrays([x.column(1) for x in held])
+            payload = [v for x in held for v in x.column(2).to_pylist()]
+            width = held[0].column(3)[0].as_py()
             null = np.asarray(keys.is_null())
-            index = ShardIndex.of(np.asarray(keys.fill_null(0)).astype(np.int64), null, np.array([len(x) // 4 for x in payload], dtype=np.int64))
+            index = ShardIndex.of(np.asarray(keys.fill_null(0)).astype(np.int64), null, np.array([len(x) // width for x in payload], dtype=np.int64), width)
             put(uri, f"{name}.bin", payload, attempt)
             put(uri, f"{name}.idx", [index.to_bytes()], attempt)
-            told.append((shard, len(told), name, len(payload), size // 4))
-            held, size = [], 0
+            told.append((shard, number, name, len(payload), size // width))
+            held, size, number = [], 0, number + 1
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                held.append(part := batch.slice(at, 1024))
-                size += sum(map(len, part.column(1).to_pylist()))
-                if size >= SHARD_BYTES:
-                    flush()
+            shards = np.asarray(batch.column(0))
+            cuts = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(shards)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a < b and shards[a] != shard:
+                    if held:
+                        flush()
+                    shard, number = int(shards[a]), 0
+                for at in range(a, b, 1024):
+                    held.append(part := batch.slice(at, min(1024, b - at)))
+                    size += sum(map(len, part.column(2).to_pylist()))
+                    if size >= SHARD_BYTES:
+                        flush()
         if held:
             flush()
         if told:
@@ -281,19 +290,20 @@ def placed(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))
 
 
-def scan(manifest: DataFrame, uri: str, fold: Callable[[memoryview], int]) -> DataFrame:
-    """Read all files back: doc_id, start, n_tokens and fold(payload) of each record, found through the index."""
+def scan(manifest: DataFrame, uri: str, fold: Callable[[bytes], int]) -> DataFrame:
+    """Read all files back: doc_id, start, n_tokens and fold(ids as 32-bit integers) of each record, found through the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                index, payload = ShardIndex.from_bytes(get(uri, f"{name}.idx")), memoryview(get(uri, f"{name}.bin"))
+                index, payload = ShardIndex.from_bytes(get(uri, f"{name}.idx")), get(uri, f"{name}.bin")
                 distinct = np.unique(np.rec.fromarrays([index.null, index.ids]))
                 first, count = index.records(distinct.f1.astype(np.int64), distinct.f0.astype(bool))
                 order = np.argsort(first)
                 records = np.repeat(first[order], count[order]) + np.concatenate([np.arange(c) for c in count[order]] or [np.zeros(0, np.int64)])
                 begin, end = index.offsets[records], index.offsets[records + 1]
-                folds = [fold(payload[4 * b : 4 * e]) for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
+                ids = np.frombuffer(payload, dtype=f"<u{index.width}")
+                folds = [fold(ids[b:e].astype("<u4").tobytes()) for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
                 keys = pa.array(index.ids[records], pa.int64(), mask=index.null[records].astype(bool))
                 yield pa.record_batch([keys, pa.array(begin + start, pa.int64()), pa.array(end - begin, pa.int64()), pa.array(folds, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
@@ -312,15 +322,16 @@ def lookup(uri: str, names: list[str], doc_id: int | None) -> list[bytes]:
         fs, path = opened(uri)
         with fs.open_input_file(posixpath.join(path, f"{name}.bin")) as f:
             for k in range(first, first + count):
-                f.seek(4 * int(index.offsets[k]))
-                out.append(f.read(4 * int(index.offsets[k + 1] - index.offsets[k])))
+                f.seek(index.width * int(index.offsets[k]))
+                raw = f.read(index.width * int(index.offsets[k + 1] - index.offsets[k]))
+                out.append(np.frombuffer(raw, dtype=f"<u{index.width}").astype("<u4").tobytes())
     return out
 
 
 def write_manifest(manifest: DataFrame, uri: str) -> None:
     """manifest.json: the files that count, in order. One short entry for each file."""
     files = [x.asDict() for x in placed(manifest).orderBy("shard", "part").toLocalIterator()]
-    put(uri, "manifest.json", [json.dumps({"format": "token ids, little-endian unsigned 32-bit", "files": files}).encode()], "driver")
+    put(uri, "manifest.json", [json.dumps({"format": "token ids, little-endian unsigned, of the width that each index tells", "files": files}).encode()], "driver")
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,6 +340,6 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     Null and empty texts hold the end id alone. An empty table gives no files and no rows.
     """
     uri = f"{shared_dir(spark)}/tokens"
-    manifest = write(encoded(documents(spark, sf_dir), tokenizer_path()), uri)
+    manifest = write(documents(spark, sf_dir), uri, tokenizer_path())
     write_manifest(manifest, uri)
     return scan(manifest, uri, zlib.crc32)

@@ -22,7 +22,7 @@ def texts():
     alphabets = ["ab", "aeth \n", "'sldmvetr ", "   \n\t　x", "éèñ ß", "01 2³", "!?'.-#$ a", "日本語テ 한", "<|endoftext|> a", "՘₏\U00010940\U0003fc36 a1!", "\U0001f600‍́a ", "\x85\xa0\x1c\x1f b "]
     for k in range(2500):
         yield "".join(rng.choice(rng.choice(alphabets) if k % 3 else alphabets[k % len(alphabets)]) for _ in range(rng.randrange(60)))
-    yield from ["", " ", "<|endoftext|>", "a<|endoftext|>", "  <|endoftext|>  b", "x" * 40000, " " * 40000 + "y", "ab" * 20000 + " c", "é" * 30000, "\n" * 20001, "=" * 33333 + "'ll", "7" * 20000 + "a"]
+    yield from ["", " ", "<|endoftext|>", "a<|endoftext|>", "  <|endoftext|>  b", "x" * 40000, " " * 40000 + "y", "a   b  c \n d\n  e \n", "a\n ", "x\0y z", " \u3000 b",  "ab" * 20000 + " c", "é" * 30000, "\n" * 20001, "=" * 33333 + "'ll", "7" * 20000 + "a"]
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 1 << 16])

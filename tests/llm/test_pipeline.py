@@ -1,7 +1,11 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+from tokenizers import Tokenizer
+
 import corpus_pipeline
+from dirspark.llm.common import settle
 from dirspark.llm import bpe, mixing, neardup, quality, suffixes
 from test_neardup import brute as brute_components
 from test_suffixes import brute as brute_suffixes
@@ -19,28 +23,28 @@ def corpus(spark):
     return spark.createDataFrame([(*r, len(r[1] or "")) for r in doc_rows()], COLUMNS)
 
 
-def test_stages_follow_each_other(spark, tmp_path):
-    docs = corpus(spark)
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
+def test_stages_follow_each_other(spark):
+    docs, out = corpus(spark), []
     names = docs.columns
-    kept = quality.keep_good(docs)
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(settle(stage(spark, out[-1] if out else settle(docs), "")))
+    kept, single, cut, mixed, encoded = out
+    assert all(df.columns == names for df in out[:-1])
     verdicts = quality.quality(docs, ["doc_id", "text"]).where("kept").select("doc_id", "text")
-    assert kept.columns == names and Counter(kept.select("doc_id", "text").collect()) == Counter(verdicts.collect())
-    single = neardup.keep_first(kept)
-    alive = {(d, n) for d, n, c, ok in brute_components([(r.doc_id, r.text) for r in kept.collect()]) if ok}
-    assert single.columns == names and {r.doc_id for r in single.collect()} == {d for d, _ in alive}
-    cut = suffixes.without_repeats(single)
+    assert Counter(kept.select("doc_id", "text").collect()) == Counter(verdicts.collect())
+    alive = {d for d, n, c, ok in brute_components([(r.doc_id, r.text) for r in kept.collect()]) if ok}
+    assert {r.doc_id for r in single.collect()} == alive
     want = {(d, n - gone) for d, n, gone, _, _ in brute_suffixes([(r.doc_id, r.text) for r in single.collect()]) if n > gone}
-    assert cut.columns == names and {(r.doc_id, len(r.text.encode())) for r in cut.collect()} == want
-    mixed = mixing.mix(cut)
+    assert {(r.doc_id, len(r.text.encode())) for r in cut.collect()} == want
     plan = {(r.doc_id, r.text): r for r in mixing.plan_mix(cut, ["doc_id", "text"]).collect()}
     taken = defaultdict(int)
     for r in mixed.collect():
         taken[r.doc_id] += len(words(r.text))
-    assert mixed.columns == names and dict(taken) == {d: r.taken for (d, _), r in plan.items() if r.taken}
-    out = bpe.encode_rows(mixed)
-    assert Counter(r.text for r in out.collect()) == Counter(r.text for r in mixed.collect())
-    assert Counter(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == Counter(map(tuple, out.collect()))
+    assert dict(taken) == {d: r.taken for (d, _), r in plan.items() if r.taken}
+    library = Tokenizer.from_file(bpe.tokenizer_path())
+    for r in encoded.collect():
+        assert np.frombuffer(r.ids, dtype="<u4").tolist() == library.encode(r.text, add_special_tokens=False).ids
+    assert Counter(r.text for r in encoded.collect()) == Counter(r.text for r in mixed.collect())
 
 
 def test_empty(spark, tmp_path):

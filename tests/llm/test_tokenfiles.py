@@ -19,7 +19,7 @@ def expected(rows):
 
 def test_files_hold_what_the_library_encodes(spark, docs):
     uri = f"{shared_dir(spark)}/tokens"
-    manifest = tf.write(tf.encoded(docs, tokenizer_path()), uri, 3)
+    manifest = tf.write(docs, uri, tokenizer_path(), 3)
     tf.write_manifest(manifest, uri)
     got = tf.scan(manifest, uri, zlib.crc32).collect()
     want = expected([r for r in docs.collect()])
@@ -48,6 +48,6 @@ def test_perfect_hash():
 
 def test_empty_table(spark, no_docs):
     uri = f"{shared_dir(spark)}/tokens"
-    manifest = tf.write(tf.encoded(no_docs, tokenizer_path()), uri, 3)
+    manifest = tf.write(no_docs, uri, tokenizer_path(), 3)
     tf.write_manifest(manifest, uri)
     assert tf.scan(manifest, uri, zlib.crc32).count() == 0
