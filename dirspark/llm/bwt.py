@@ -75,17 +75,43 @@ def compact(*keys: np.ndarray) -> list[np.ndarray]:
     return [table[k] for k in keys]
 
 
-def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of all shards (numbered one shard after another) in the order of their first depth bytes, and the common
-    prefix of each row with the one before it, depth at most."""
-    parts, first = [s.rows() for s in shards], 0
-    pair = np.concatenate([p[1] for p in parts])
-    own = np.concatenate([p[3] for p in parts])
-    leads = []
+def joined_rows(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row of all shards, one shard after another: the two bytes before, the row that starts with them (-1: none), and own."""
+    parts, first, leads = [s.rows() for s in shards], 0, []
     for s, p in zip(shards, parts, strict=True):
         leads.append(np.where(p[2] >= 0, p[2] + first, -1))
         first += s.n
-    leads = np.concatenate(leads).astype(np.int32)
+    return np.concatenate([p[1] for p in parts]), np.concatenate(leads).astype(np.int32), np.concatenate([p[3] for p in parts])
+
+
+def repeated_intervals(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the merged order that share their first depth bytes (an even number) with another row, and where each interval of equals starts.
+
+    The same refinement as merge(), without the rows that are already alone: whatever starts with other bytes before a row
+    that is alone is alone, too, and leaving rows out doesn't change the order of the others.
+    """
+    pair, leads, _ = joined_rows(shards)
+    (key_of,) = compact(pair)
+    rows, block, starts = np.arange(len(pair), dtype=np.int32), np.zeros(len(pair), dtype=np.int32), np.zeros(0, dtype=np.int64)
+    for _ in range(0, depth, 2):
+        moving = leads[rows] >= 0
+        source = rows[moving]
+        order = np.argsort(key_of[source], kind="stable")
+        source, was = source[order], block[moving][order]
+        key = key_of[source]
+        new = np.ones(len(source) + 1, dtype=bool)
+        new[1:-1] = (key[1:] != key[:-1]) | (was[1:] != was[:-1])
+        held = ~(new[:-1] & new[1:])
+        rows, first = leads[source[held]], new[:-1][held]
+        block, starts = np.cumsum(first, dtype=np.int32), np.flatnonzero(first)
+    return rows, starts
+
+
+def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of all shards (numbered one shard after another) in the order of their first depth bytes, and the common
+    prefix of each row with the one before it, depth at most."""
+    pair, leads, own = joined_rows(shards)
+    first = len(pair)
     fixed = np.flatnonzero(own >= 0).astype(np.int32)
     fixed_key, key_of = compact(own[fixed], pair)
     first_byte = np.unique(np.concatenate([own[fixed], pair])) >> 9

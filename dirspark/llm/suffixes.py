@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dirspark.llm.bwt import Shard, merge
+from dirspark.llm.bwt import Shard, repeated_intervals
 from dirspark.llm.common import WORD, documents, settle, text_of
 from dirspark.llm.shingles import BYTE_VALUES, mixed, powers
 
@@ -207,22 +207,19 @@ def window_minima(data: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.n
         if first[i + 1] - first[cuts[-1]] > SHARD_BYTES and i > cuts[-1]:
             cuts.append(i)
     shards = [Shard(data[first[a] : first[b]], length[a:b]) for a, b in zip(cuts, [*cuts[1:], len(length)], strict=True)]
-    rows, common = merge(shards, WIDTH)
+    rows, starts = repeated_intervals(shards, WIDTH)
     # Rows to bytes of data: an end mark follows each string.
     place, base = [], 0
     for s in shards:
         place.append(s.order + base)
         base += s.n
-    place = np.concatenate(place)[rows]
     string = np.repeat(np.arange(len(length)), length + 1)
     offset = np.arange(len(string)) - np.repeat(first[:-1] + np.arange(len(length)), length + 1)
-    full = offset + WIDTH <= np.repeat(length, length + 1)
-    at = np.flatnonzero(common < WIDTH)
-    of_row = np.where(full[place], doc[string[place]], LARGEST)
-    least = np.repeat(np.minimum.reduceat(of_row, at), np.diff([*at, len(rows)]))
-    out = np.full(len(string), LARGEST)
-    out[place] = np.where(full[place], least, LARGEST)
-    return out[offset < np.repeat(length, length + 1)]
+    out = np.where(offset + WIDTH <= length[string], doc[string], LARGEST)
+    if len(rows):
+        place = np.concatenate(place)[rows]
+        out[place] = np.repeat(np.minimum.reduceat(doc[string[place]], starts), np.diff([*starts, len(rows)]))
+    return out[offset < length[string]]
 
 
 def distinct_strings(key: np.ndarray, data: np.ndarray, length: np.ndarray) -> np.ndarray:

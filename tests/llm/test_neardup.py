@@ -1,6 +1,7 @@
 import random
 import re
 
+from dirspark.llm import neardup
 from dirspark.llm.neardup import near_duplicates
 
 
@@ -57,6 +58,12 @@ def test_equals_all_pairs(spark):
     assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
 
 
+def test_long_lists_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 6)
+    rows = corpus()
+    assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
 def test_nulls_ties_and_other_columns(docs):
     assert run(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
 
