@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from dirspark.llm.common import settle
 from dirspark.llm import bpe, mixing, neardup, quality, suffixes
+from rows import doc_rows
 from test_neardup import brute as brute_components
 from test_suffixes import brute as brute_suffixes
 
@@ -18,8 +19,6 @@ def words(t):
 
 
 def corpus(spark):
-    from conftest import doc_rows
-
     return spark.createDataFrame([(*r, len(r[1] or "")) for r in doc_rows()], COLUMNS)
 
 
