@@ -555,7 +555,7 @@ def bounded(spark, sf):
 
 @query("g5_way_centroids", "SELECT o_orderkey AS way, round(avg(l_quantity), 6) AS lat, round(avg(l_discount), 6) AS lon FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")
 def ways(spark, sf):
-    items = read(spark, sf, "lineitem").withColumn("node", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    items = read(spark, sf, "lineitem").withColumn("node", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount"))
     nodes = items.select("node", F.col("l_quantity").alias("lat"), F.col("l_discount").alias("lon"))
     out = geography.way_centroids(items.groupBy(F.col("l_orderkey").alias("way")).agg(F.collect_list("node").alias("node_ids")), nodes.dropDuplicates(["node"]))
     return out.select("way", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
