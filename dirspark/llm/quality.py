@@ -173,14 +173,18 @@ def judge(rows: DataFrame, factors: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that quality() keeps, with the columns of docs.
 
-    Verdicts are found on numbers alone and joined back by the documents' ids and texts' hashes, so
-    that no text is shuffled for an estimate.
+    Verdicts are found on numbers alone and joined back by id, hash of the text, language and source, so no
+    text is shuffled for an estimate and no filter is pushed down into the statistics.
     """
-    names = docs.columns
-    packed = docs.select("text", "lang", "source", F.struct(*names).alias("row"))
-    rows = base_statistics(packed.select("row", "text", nullsafe("lang").alias("lang_key"), nullsafe("source").alias("source_key")), ["row", *GROUP]).selectExpr("*", *(f"{x} AS x{i}" for i, x in enumerate(STATISTICS)))
-    numbers = settle(rows.where("NOT base_failed").select(*GROUP, *[f"x{i}" for i in range(P)]), "statistics")
-    return judge(rows.where("NOT base_failed"), estimate(numbers)).where("kept").select("row.*")
+    keys = {"lang_key": nullsafe("lang"), "source_key": nullsafe("source"), "text_id": F.xxhash64(text_of())}
+    judged = docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()])
+    rows = base_statistics(judged, ["doc_id", *keys]).selectExpr("*", *(f"{x} AS x{i}" for i, x in enumerate(STATISTICS)))
+    rows = settle(rows, "statistics")
+    rejected = judge(rows, estimate(rows.where("NOT base_failed"))).where("NOT kept").select("doc_id", *keys).distinct()
+    gone = settle(rejected.toDF("gone_id", "gone_lang", "gone_source", "gone_text"), "rejected")
+    own = lambda c: F.coalesce(F.concat(F.lit("="), docs[c].cast("string")), F.lit(""))
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_text"])
+    return docs.join(gone, same & (own("lang") == gone["gone_lang"]) & (own("source") == gone["gone_source"]), "left_anti")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
