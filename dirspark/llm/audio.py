@@ -5,8 +5,9 @@ four lookups; sixteen filters compare rectangles, and each difference, quantised
 packed 32-bit integer. Recordings are aligned through equal integers: an inverted list of integers pairs frames, the differences of
 their places form a histogram for each pair of recordings, and the best offset is confirmed by the share of differing bits.
 
-Recordings with equal fingerprints are one class, and only classes are paired. Integers in so many classes that they tell nothing
-are paired by two neighbouring integers instead of one, so long lists fall apart and none is dropped.
+Recordings with equal fingerprints are one class, and only classes are paired. Queries and classes are dealt out as pairs of blocks.
+A task has both blocks whole and counts every equal integer, however common, so a common integer is spread over all
+tasks and its pairs of frames are never rows.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ LEVELS = (-0.4, 0.05, 0.4)
 GRAY = (0, 1, 3, 2)
 MOST_ERRORS = 0.25
 LEAST_FRAMES = 4
-#: Lists in more classes than this are taken by pairs of integers.
-LONG_LIST = 64
+#: Frames in a block of queries or classes, about, and pairs of equal frames that are counted at once.
+BLOCK_FRAMES, STEP_HITS = 1 << 21, 1 << 20
 
 
 @lru_cache(maxsize=2)
@@ -98,58 +99,111 @@ def prints_of(recordings: DataFrame, rate: int = RATE) -> DataFrame:
     return recordings.select("rec_id", "samples").mapInArrow(run, "rec_id long, n_frames long, prints binary")
 
 
-def frames_of(classes: DataFrame, pairs: bool) -> DataFrame:
-    """class_id, place and value of each distinct integer (or pair of neighbours) of each class."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, places, values = [], [], []
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                v = np.frombuffer(raw, dtype="<u4").astype(np.int64)
-                v = v[:-1] << 32 | v[1:] if pairs else v
-                ids.append(np.full(len(v), k))
-                places.append(np.arange(len(v), dtype=np.int32))
-                values.append(v)
-            join = lambda x, t: pa.array(np.concatenate(x) if x else [], t)
-            yield pa.record_batch([join(ids, pa.int64()), join(places, pa.int32()), join(values, pa.int64())], ["class_id", "place", "value"])
-
-    return classes.select("class_id", "prints").mapInArrow(run, "class_id long, place int, value long")
+def steps(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of items whose sizes add up to at most most; a larger item is a run of its own."""
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, "right")))
+        yield a, b
+        a = b
+
+
+def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For items of so many parts: the item of each part, and the part's place in it."""
+    item = np.repeat(np.arange(len(counts)), counts)
+    return item, np.arange(len(item)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+class Prints:
+    """The fingerprints of a block's recordings, one after another."""
+
+    def __init__(self, ids: list[int], raw: list[bytes]) -> None:
+        self.ids = np.array(ids, dtype=np.int64)
+        self.sizes = np.array([len(x) // 4 for x in raw], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.values = np.frombuffer(b"".join(raw), dtype="<u4")
+        self.owner, self.place = spread(self.sizes)
+
+
+def best_offsets(q: Prints, k: Prints) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Query, class (as numbers in their blocks) and the most frequent offset (ties: the smallest) of all pairs that share an integer."""
+    order = np.argsort(k.values, kind="stable")
+    ranked = k.values[order]
+    low = np.searchsorted(ranked, q.values, "left")
+    hits = np.searchsorted(ranked, q.values, "right") - low
+    longest = int(q.sizes.max())
+    span = longest + int(k.sizes.max())
+    of_query = np.add.reduceat(hits, q.starts)
+    for a, b in steps(of_query, STEP_HITS):
+        first, end = q.starts[a], q.starts[b - 1] + q.sizes[b - 1]
+        codes, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        for c, d in steps(hits[first:end], STEP_HITS):
+            frame, nth = spread(hits[first + c : first + d])
+            frame += first + c
+            at = order[low[frame] + nth]
+            other = q.ids[q.owner[frame]] != k.ids[k.owner[at]]
+            frame, at = frame[other], at[other]
+            found, n = np.unique((q.owner[frame] * len(k.ids) + k.owner[at]) * span + (k.place[at] - q.place[frame] + longest), return_counts=True)
+            codes, inverse = np.unique(np.concatenate([codes, found]), return_inverse=True)
+            counts = np.bincount(inverse, np.concatenate([counts, n]), len(codes)).astype(np.int64)
+        pair, offset = codes // span, codes % span - longest
+        rank = np.lexsort((offset, -counts, pair))
+        pair, offset = pair[rank], offset[rank]
+        top = np.flatnonzero(np.diff(pair, prepend=-1))
+        yield pair[top] // len(k.ids), pair[top] % len(k.ids), offset[top]
+
+
+def confirmed(q: Prints, k: Prints) -> Iterator[pa.RecordBatch]:
+    """The rows of align() for a block of queries and a block of classes."""
+    for x, y, offset in best_offsets(q, k):
+        start = np.maximum(0, -offset)
+        n = np.minimum(q.sizes[x], k.sizes[y] - offset) - start
+        enough = n >= LEAST_FRAMES
+        x, y, offset, start, n = (v[enough] for v in (x, y, offset, start, n))
+        for a, b in steps(n, STEP_HITS):
+            pair, nth = spread(n[a:b])
+            own = (q.starts[x] + start)[a:b][pair] + nth
+            theirs = (k.starts[y] + start + offset)[a:b][pair] + nth
+            errors = np.bincount(pair, np.bitwise_count(q.values[own] ^ k.values[theirs]), b - a).astype(np.int64)
+            ok = np.flatnonzero(errors <= MOST_ERRORS * 32 * n[a:b])
+            yield pa.record_batch([pa.array(q.ids[x[a + ok]]), pa.array(k.ids[y[a + ok]]), pa.array(offset[a + ok].astype(np.int32)), pa.array(n[a + ok]), pa.array(errors[ok])], ["query_class", "class_id", "offset", "n_frames", "bit_errors"])
 
 
 def align(queries: DataFrame, classes: DataFrame) -> DataFrame:
-    """query_class, class_id, offset, n_frames and bit_errors of pairs of classes that align. Rows: class_id, prints.
+    """query_class, class_id, offset, n_frames and bit_errors of pairs of classes that align. Rows: class_id, prints (not empty).
 
     The offset is the histogram's most frequent one (ties: the smallest); frames that overlap at it are compared.
     """
-    def hits(pairs: bool, allowed: DataFrame | None) -> DataFrame:
-        index, asked = frames_of(classes, pairs), frames_of(queries, pairs)
-        if allowed is not None:
-            index = index.join(allowed, "value", "left_semi")
-        left = asked.select(F.col("class_id").alias("query_class"), F.col("place").alias("q_place"), "value")
-        return left.join(index, "value").where("query_class <> class_id").groupBy("query_class", "class_id", (F.col("place") - F.col("q_place")).alias("offset")).agg(F.count(F.lit(1)).alias("n"))
-
-    values = frames_of(classes, False).groupBy("value").agg(F.count_distinct("class_id").alias("n"))
-    short = settle(values.where(F.col("n").between(2, LONG_LIST)).select("value"), "short")
-    histogram = hits(False, short).unionByName(hits(True, None)).groupBy("query_class", "class_id", "offset").agg(F.sum("n").alias("n"))
-    best = histogram.groupBy("query_class", "class_id").agg(F.min_by("offset", F.struct(-F.col("n"), F.col("offset"))).alias("offset"))
-    of = lambda df, c: df.select(F.col("class_id").alias(c), F.col("prints").alias(f"{c}_prints"))
-    joined = best.join(of(queries, "query_class"), "query_class").join(of(classes, "class_id"), "class_id")
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frames = F.coalesce(F.sum(F.length("prints")), F.lit(0)) / 4
+    blocks = lambda df: -(-int(df.agg(frames).first()[0]) // BLOCK_FRAMES)
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    of_queries = max(1, blocks(queries))
+    of_classes = max(1, blocks(classes), -(-n // of_queries))
+
+    def dealt(df: DataFrame, own: str, many: int, other: str, others: int, is_query: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("class_id"), F.lit(many)).cast("int")
+        rows = df.select("class_id", "prints", block.alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
+        return rows.select("q_block", "k_block", F.lit(is_query).alias("is_query"), "class_id", "prints")
+
+    rows = dealt(queries, "q_block", of_queries, "k_block", of_classes, True).unionByName(dealt(classes, "k_block", of_classes, "q_block", of_queries, False))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, (([], []), ([], []))
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            return confirmed(Prints(*held[1]), Prints(*held[0])) if held[0][0] and held[1][0] else iter(())
+
         for batch in batches:
-            out = []
-            for q, k, offset, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a, b = np.frombuffer(a, dtype="<u4"), np.frombuffer(b, dtype="<u4")
-                start, end = max(0, -offset), min(len(a), len(b) - offset)
-                n = end - start
-                if n >= LEAST_FRAMES:
-                    errors = int(np.bitwise_count(a[start:end] ^ b[start + offset : end + offset]).sum())
-                    if errors <= MOST_ERRORS * 32 * n:
-                        out.append((q, k, offset, n, errors))
-            columns = zip(*out, strict=True) if out else [[]] * 5
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["query_class", "class_id", "offset", "n_frames", "bit_errors"])
+            for q_block, k_block, is_query, class_id, prints in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (q_block, k_block) != key:
+                    yield from pairs()
+                    key, held = (q_block, k_block), (([], []), ([], []))
+                held[is_query][0].append(class_id)
+                held[is_query][1].append(prints)
+        yield from pairs()
 
-    return joined.select("query_class", "class_id", "offset", "query_class_prints", "class_id_prints").mapInArrow(confirm, "query_class long, class_id long, offset int, n_frames long, bit_errors long")
+    order = ["q_block", "k_block"]
+    return rows.repartition(n, *order).sortWithinPartitions(*order).mapInArrow(run, "query_class long, class_id long, offset int, n_frames long, bit_errors long")
 
 
 def match_recordings(recordings: DataFrame, is_query: str) -> DataFrame:
@@ -161,7 +215,7 @@ def match_recordings(recordings: DataFrame, is_query: str) -> DataFrame:
     prints = settle(prints_of(recordings), "prints")
     named = prints.where("n_frames > 0 AND rec_id IS NOT NULL").groupBy("prints").agg(F.min("rec_id").alias("class_id"))
     named = settle(named, "classes")
-    queries = prints.where(f"rec_id IS NOT NULL AND ({is_query})").select("prints").distinct().join(named, "prints")
+    queries = settle(prints.where(f"rec_id IS NOT NULL AND ({is_query})").select("prints").distinct().join(named, "prints"), "queries")
     found = align(queries, named)
     rate = F.col("bit_errors") / (32.0 * F.col("n_frames"))
     best = found.groupBy("class_id").agg(F.min(F.struct(rate.alias("rate"), (-F.col("n_frames")).alias("less"), "query_class", "offset", "bit_errors", "n_frames")).alias("m"), F.count(F.lit(1)).alias("n_matches"))

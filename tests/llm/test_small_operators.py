@@ -196,6 +196,51 @@ def test_index_finds_what_brute_force_finds(spark):
     assert want and hit >= 0.9 * want
 
 
+def brute_alignments(prints, queries):
+    out = []
+    for q in queries:
+        for k in prints:
+            offsets = Counter(j - i for i, x in enumerate(prints[q]) for j, y in enumerate(prints[k]) if x == y)
+            if k == q or not offsets:
+                continue
+            offset = min(offsets, key=lambda o: (-offsets[o], o))
+            both = [(int(prints[q][i]), int(prints[k][i + offset])) for i in range(len(prints[q])) if 0 <= i + offset < len(prints[k])]
+            errors = sum((x ^ y).bit_count() for x, y in both)
+            if len(both) >= audio.LEAST_FRAMES and errors <= audio.MOST_ERRORS * 32 * len(both):
+                out.append((q, k, offset, len(both), errors))
+    return sorted(out)
+
+
+def common_prints():
+    rng = np.random.default_rng(6)
+    base, prints = rng.integers(0, 1 << 32, 12, dtype=np.uint32), {}
+    for i in range(100):  # every other frame has a bit of its own changed: equal integers stand alone, each in 100 classes
+        p = base.copy()
+        p[1::2] ^= np.uint32(1) << rng.integers(0, 32, 6).astype(np.uint32)
+        prints[i] = p[rng.integers(0, 3) :]
+    prints |= {100 + i: rng.choice(base[:3], 9) for i in range(20)}  # many offsets
+    return prints
+
+
+@pytest.mark.parametrize("block", [1 << 21, 150])
+def test_common_integers_are_kept(spark, monkeypatch, block):
+    monkeypatch.setattr(audio, "BLOCK_FRAMES", block, raising=False)
+    prints = common_prints()
+    df = spark.createDataFrame([(i, p.tobytes()) for i, p in prints.items()], "class_id long, prints binary")
+    got = sorted(map(tuple, audio.align(df.where("class_id % 10 = 0"), df).collect()))
+    want = brute_alignments(prints, range(0, 120, 10))
+    assert got == want and len(want) >= 900
+
+
+@pytest.mark.parametrize("step", [1, 20, 3000])
+def test_counting_in_steps(monkeypatch, step):
+    monkeypatch.setattr(audio, "STEP_HITS", step)
+    prints = common_prints()
+    block = lambda ids: audio.Prints(list(ids), [prints[i].tobytes() for i in ids])
+    got = sorted(tuple(r.values()) for batch in audio.confirmed(block(range(0, 120, 10)), block(prints)) for r in batch.to_pylist())
+    assert got == brute_alignments(prints, range(0, 120, 10))
+
+
 @pytest.mark.parametrize("value,schema,want", [(1, {"type": "integer"}, None), (True, {"type": "integer"}, "$: not integer"), ([1, "a"], {"type": "array", "items": {"type": "number"}}, "$[1]: not number"), ("b", {"enum": ["a"]}, "$: not in enum")])
 def test_faults(value, schema, want):
     assert toolcalls.fault(value, schema) == want
