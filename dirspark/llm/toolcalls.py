@@ -171,7 +171,7 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = F.size(F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != F.lit("")))
     search = F.length(F.regexp_extract(t, r"[^\x20\x09-\x0D]+", 0)) >= 3
     after = F.when(F.col("turn") >= 2, F.concat(F.lit("$c"), (F.col("turn") - 2).cast("string")))
-    told = F.when(search, F.to_json(F.struct(F.left(t, F.lit(500)).alias("query"), after.alias("after")))).otherwise(F.to_json(F.struct(n.alias("words"), after.alias("after"))))
+    told = F.when(search, F.to_json(F.struct(t.alias("query"), after.alias("after")))).otherwise(F.to_json(F.struct(n.alias("words"), after.alias("after"))))
     asked = turns.where("role = 'user'").select("conv_id", F.concat(F.lit("c"), F.col("turn").cast("string")).alias("call_id"), F.col("turn").alias("seq"), F.when(search, "search").otherwise("summarise").alias("tool"), told.alias("arguments"))
     answered = turns.where("role = 'assistant'").select("conv_id", F.concat(F.lit("c"), (F.col("turn") - 1).cast("string")).alias("call_id"), F.col("turn").alias("seq"), F.col("text").alias("content"))
     return asked, answered

@@ -152,6 +152,14 @@ def test_calls(spark):
     assert toolcalls.link_calls(spark.createDataFrame(calls, "conv_id long, call_id string, seq long, tool string, arguments string").where("false"), spark.createDataFrame(results, "conv_id long, call_id string, seq long, content string"), toolcalls.SCHEMAS).count() == 0
 
 
+def test_long_turns_are_whole_arguments(spark):
+    turns = [(1, 0, "user", "word " * 200 + "a"), (2, 0, "user", "word " * 200 + "b"), (1, 1, "assistant", "yes")]
+    calls, results = toolcalls.conversation_calls(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    got = {r.conv_id: r for r in toolcalls.link_calls(calls, results, toolcalls.SCHEMAS).collect()}
+    assert all(json.loads(got[c].arguments) == json.loads(got[c].json)["arguments"] == {"query": t} for c, _, role, t in turns if role == "user")
+    assert got[1].arguments != got[2].arguments and got[1].problem == "$.query: too long"
+
+
 # audio
 def sound(seed, n=4 * audio.RATE):
     rng = np.random.default_rng(seed)
