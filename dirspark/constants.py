@@ -1,4 +1,4 @@
-"""Rule tables. Longer ones (tag maps, full keyword rules) come as DataFrames or lists from the user."""
+"""Rule tables. Longer ones (tag maps) come as DataFrames or lists from the user."""
 
 from __future__ import annotations
 
@@ -14,35 +14,87 @@ EXCLUDED = (
 # Whole tokens that decide before the rules.
 EXTRA_TOKENS = {"bookstore": "printing-and-stationery", "spas": "salons-and-spas", "gyms": "beauty-and-wellness", "banks": "professional-services"}
 
-# The leading keyword rules, in order; None is recognised but no merchant. A full list is a parameter of the operators.
+# The keyword rules, in order; None is recognised but no merchant.
 KEYWORD_RULES = [
     (("pharmac", "drugstore", "chemist", "medical_supply"), "medical-stores-and-pharmacies"),
-    (("hospital", "clinic", "doctor", "dentist"), "hospitals-and-clinics"),
+    (("hospital", "clinic", "doctor", "dentist", "physician", "surgeon", "diagnostic", "pathology", "nursing", "physiotherap", "ayurved", "homeopath", "optometr", "health_and_medical", "medical_center", "eye_care", "dermatolog", "pediatric", "gynecolog", "orthoped", "cardiolog", "psychiatr", "laborator"), "hospitals-and-clinics"),
     (("veterinar", "pet_", "_pet", "animal"), "pet-stores-and-pet-services"),
-    (("bakery", "bakeries", "cake", "sweet_shop"), "bakeries-and-sweets"),
-    (("restaurant", "cafe", "coffee", "food_court", "pub"), "restaurants-and-food"),
-    (("hotel", "resort", "lodge", "guest_house"), "hotels-and-accommodation"),
-    (("grocery", "supermarket", "kirana", "convenience_store"), "grocery-and-kirana"),
-    (("mobile_phone", "cell_phone", "smartphone"), "mobile-stores"),
-    (("computer", "laptop"), "computer-and-laptop-stores"),
-    (("electronics", "appliance"), "electronics-stores"),
-    (("hardware", "building_material", "steel", "tiles"), "hardware-stores"),
-    (("furniture", "mattress", "home_decor"), "furniture-stores"),
-    (("clothing", "apparel", "boutique", "fashion"), "clothing-stores"),
-    (("jewel", "goldsmith"), "jewellery-stores"),
-    (("salon", "spa", "barber"), "salons-and-spas"),
-    (("gas_station", "petrol", "fuel"), "petrol-stations"),
-    (("automotive_repair", "car_repair", "garage"), "car-repair"),
-    (("car_dealer", "automotive", "vehicle"), "automobile-services"),
-    (("school",), "schools"),
-    (("college", "university"), "colleges"),
+    (("bakery", "bakeries", "cake", "sweet_shop", "confection", "dessert", "patisserie", "ice_cream", "chocolat"), "bakeries-and-sweets"),
+    (("restaurant", "cafe", "coffee", "food_court", "dhaba", "canteen", "bar_", "_bar", "pub", "brewery", "juice", "tea_", "fast_food", "pizza", "biryani", "catering", "food_and_drink", "eatery", "diner", "bistro", "tiffin"), "restaurants-and-food"),
+    (("hotel", "resort", "lodge", "guest_house", "hostel", "accommodation", "homestay", "motel", "bnb", "serviced_apartment"), "hotels-and-accommodation"),
+    (("grocery", "supermarket", "kirana", "convenience_store", "provision", "greengrocer", "butcher", "fish_market", "dairy", "beverage_store", "liquor", "wine_shop", "food_store", "general_store", "departmental"), "grocery-and-kirana"),
+    (("mobile_phone", "cell_phone", "smartphone", "telecom_store"), "mobile-stores"),
+    (("computer", "laptop", "it_store", "software_development", "information_technology", "web_design", "app_develop", "data_", "cyber"), "computer-and-laptop-stores"),
+    (("electronics", "appliance", "television", "audio", "camera_store"), "electronics-stores"),
+    (("hardware", "building_material", "cement", "sanitary", "tiles", "paint_store", "plywood", "timber", "steel", "glass_", "construction_material"), "hardware-stores"),
+    (("electrical_store", "electrical_supply", "lighting"), "electrical-stores"),
+    (("furniture", "mattress", "home_decor", "interior_design", "furnishing", "carpet", "curtain", "kitchenware", "houseware"), "furniture-stores"),
+    (("clothing", "apparel", "boutique", "garment", "saree", "textile", "fabric", "fashion", "tailor", "readymade", "uniform"), "clothing-stores"),
+    (("shoe_", "footwear", "sandal"), "footwear-stores"),
+    (("jewel", "goldsmith", "silversmith", "watch_store", "gems"), "jewellery-stores"),
+    (("salon", "spa", "barber", "hair_", "nail_", "massage", "parlour", "parlor"), "salons-and-spas"),
+    (("beauty", "cosmetic", "gym", "fitness", "yoga", "wellness", "slimming", "meditation"), "beauty-and-wellness"),
+    (("gas_station", "petrol", "fuel", "cng", "lpg", "charging_station"), "petrol-stations"),
+    (("tyre", "tire", "battery_store"), "tyre-and-battery-stores"),
+    (("motorcycle_repair", "bike_repair", "two_wheeler_repair", "scooter_repair"), "bike-repair"),
+    (("automotive_repair", "car_repair", "car_wash", "auto_repair", "garage", "vehicle_repair", "denting"), "car-repair"),
+    (("car_dealer", "motorcycle_dealer", "automotive", "auto_parts", "vehicle", "driving_school", "car_rental", "truck", "tractor_dealer"), "automobile-services"),
+    (("preschool", "kindergarten", "elementary_school", "high_school", "primary_school", "secondary_school", "school"), "schools"),
+    (("college", "university", "institute_of", "polytechnic"), "colleges"),
+    (("tutoring", "coaching", "test_prep", "computer_coaching", "tuition"), "tuition-and-coaching"),
+    (("education", "training", "library", "learning", "academy", "driving_range"), "education-and-training"),
+    (("plumb",), "plumbing-services"),
+    (("electrician", "electrical_service", "electrical_contractor"), "electrical-services"),
+    (("cleaning", "housekeeping", "pest_control", "sanitation"), "cleaning-services"),
+    (("laundry", "dry_clean", "home_service", "carpenter", "handyman", "gardening", "home_improvement", "appliance_repair"), "home-services"),
     (("repair", "servicing", "maintenance"), "repair-services"),
-    (("real_estate", "property", "builder"), "property-services"),
-    (("travel", "visa", "ticket"), "travel-services"),
-    (("manufactur", "factory", "industrial"), "local-manufacturers"),
-    (("bank", "financial", "insurance", "consult"), "professional-services"),
+    (("courier", "post_office", "logistics", "packers", "movers", "delivery_service", "freight", "shipping"), "courier-and-parcel-services"),
+    (("real_estate", "property", "home_developer", "builder", "apartment_rental", "land_", "estate_agent", "construction_services", "architect_"), "property-services"),
+    (("travel", "tour_", "_tours", "tourist_information", "visa", "ticket"), "travel-services"),
+    (("event", "wedding", "banquet", "party", "photograph", "videograph", "dj_", "cinema", "theatre", "entertainment", "amusement"), "event-services"),
+    (("printing", "stationery", "photocopy", "xerox", "book_store", "bookshop", "internet_cafe", "cyber_cafe", "graphic_design", "advertising"), "printing-and-stationery"),
+    (("gift", "florist", "flower", "toy_", "handicraft", "souvenir", "art_"), "gift-stores"),
+    (("agricultur", "farm", "seed", "fertilizer", "pesticide", "nursery_plant", "irrigation", "poultry", "dairy_farm"), "agricultural-supplies"),
+    (("wholesale", "distributor", "supplier", "trading_company", "importer", "exporter"), "wholesale-businesses"),
+    (("manufactur", "factory", "industrial", "fabrication", "workshop_", "mill_", "processing", "engineering_works"), "local-manufacturers"),
+    (("bank", "credit_union", "financial", "insurance", "loan", "lawyer", "legal", "accountant", "tax_", "chartered", "consult", "notary", "auditor", "broker", "professional_services", "business_services", "recruit", "staffing", "hr_", "marketing", "agency", "office_", "corporate", "company", "coworking"), "professional-services"),
+    (("eyewear", "optician", "optical"), "hospitals-and-clinics"),
+    (("physical_therapy", "naturopath", "counseling_and_mental_health", "chiroprac", "acupunctur", "rehabilitation", "wellness_program", "nutritionist", "dietitian"), "hospitals-and-clinics"),
+    (("tattoo", "makeup_artist", "mehendi", "piercing", "waxing", "threading", "skin_care", "hair_removal"), "beauty-and-wellness"),
+    (("caterer", "catering", "bar", "lounge", "banquet_food"), "restaurants-and-food"),
+    (("auto_detailing", "car_detailing", "vehicle_wash"), "car-repair"),
+    (("engineering_services", "architectural_designer", "surveying", "drafting", "interior_designer", "landscap"), "professional-services"),
+    (("telecommunications", "internet_service_provider", "cable_provider", "money_transfer", "payment_service", "atm_service", "currency"), "professional-services"),
+    (("business_to_business", "b2b_", "commercial_equipment", "industrial_equipment", "energy_equipment", "machinery"), "wholesale-businesses"),
+    (("chemical_plant", "manufacturing_plant", "production_facility", "refinery", "packaging", "textile_mill"), "local-manufacturers"),
+    (("astrolog", "psychic", "numerolog", "vastu", "palmist", "priest_service"), "professional-services"),
+    (("music_production", "recording_studio", "arts_and_crafts", "art_gallery", "dance_studio", "event_venue", "concert_venue", "party_supplies"), "event-services"),
+    (("tours", "tour_operator", "tour_agency", "holiday"), "travel-services"),
     (("social_service_organizations", "non_governmental_association", "community_center"), None),
-    (("shopping", "store", "shop", "market", "mall"), "other-local-businesses"),
+    (("home_business", "home_baker", "homemade"), "home-businesses"),
+    (("shopping", "store", "shop", "market", "mall", "retail", "outlet", "bazaar"), "other-local-businesses"),
+]
+
+# Trade words in Indian scripts, in order and case-sensitive; a later match overrides an earlier one where the category differs.
+SCRIPT_RULES = [
+    (r"ज्योतिष|ज्योतिषी|జ్యోతిష్య|జ్యోతిష్యాలయ|ஜோதிட|ಜ್ಯೋತಿಷ", "professional-services", "astrologer", "SERVICE_PROVIDER"),
+    (r"मेडिकल|मेडिकल्स|दवाखाना|औषध|फार्मेसी|మెడికల్|మెడికల్స్|ఔషధ|மருந்தக|ಮೆಡಿಕಲ್|മെഡിക്കൽ|ওষুধ|મેડિકલ", "medical-stores-and-pharmacies", "chemist", "RETAIL_STORE"),
+    (r"अस्पताल|चिकित्सालय|क्लिनिक|दवाखाना|ఆసుపత్రి|ఆస్పత్రి|క్లినిక్|மருத்துவமனை|ಆಸ್ಪತ್ರೆ|ആശുപത്രി|হাসপাতাল", "hospitals-and-clinics", "clinic", "SERVICE_PROVIDER"),
+    (r"होटल|रेस्टोरेंट|ढाबा|भोजनालय|मेस|హోటల్|రెస్టారెంట్|భోజన|మెస్|உணவகம்|ஹோட்டல்|ಹೋಟೆಲ್|ഹോട്ടൽ|হোটেল|રેસ્ટોરન્ટ", "restaurants-and-food", "restaurant", "FOOD_SERVICE"),
+    (r"बेकरी|मिठाई|स्वीट्स|బేకరీ|స్వీట్|మిఠాయి|பேக்கரி|ಬೇಕರಿ|ബേക്കറി|মিষ্টি", "bakeries-and-sweets", "sweets", "FOOD_SERVICE"),
+    (r"किराना|जनरल स्टोर|परचून|राशन|కిరాణా|జనరల్ స్టోర్|மளிகை|ಕಿರಾಣಿ|പലചരക്ക്|মুদি", "grocery-and-kirana", "kirana-store", "RETAIL_STORE"),
+    (r"कपड़ा|वस्त्र|साड़ी|रेडीमेड|బట్టల|వస్త్ర|చీరల|துணி|ಬಟ್ಟೆ|തുണി|কাপড়", "clothing-stores", "clothing-store", "RETAIL_STORE"),
+    (r"ज्वेलर्स|ज्वैलर्स|सोनार|జ్యువెల్లర్|నగల|ஜவுளி|ನಗ|ജ്വല്ലറി|গহনা", "jewellery-stores", "jewellery-store", "RETAIL_STORE"),
+    (r"हार्डवेयर|लोहा|सीमेंट|హార్డ్‌వేర్|ఇనుము|சிமெண்ட்|ಹಾರ್ಡ್‌ವೇರ್", "hardware-stores", "hardware-store", "RETAIL_STORE"),
+    (r"इलेक्ट्रॉनिक|इलेक्ट्रिक|ఎలక్ట్రిక్|ఎలక్ట్రానిక్|மின்|ಎಲೆಕ್ಟ್ರಿಕ್", "electronics-stores", "electronics-store", "RETAIL_STORE"),
+    (r"मोबाइल|మొబైల్|மொபைல்|ಮೊಬೈಲ್|മൊബൈൽ|মোবাইল", "mobile-stores", "mobile-phone-store", "RETAIL_STORE"),
+    (r"फर्नीचर|ఫర్నిచర్|மரச்சாமான்|ಪೀಠೋಪಕರಣ|ഫർണിച്ചർ", "furniture-stores", "furniture-store", "RETAIL_STORE"),
+    (r"सैलून|ब्यूटी|पार्लर|సెలూన్|బ్యూటీ|పార్లర్|அழகு|ಸಲೂನ್|ബ്യൂട്ടി", "salons-and-spas", "salon", "SERVICE_PROVIDER"),
+    (r"दर्जी|टेलर|సైదర్|టైలర్|தையல்|ಟೈಲರ್|തയ്യൽ|দর্জি", "tailoring-and-boutiques", "tailor", "SERVICE_PROVIDER"),
+    (r"गैरेज|मोटर्स|वर्कशॉप|గ్యారేజ్|మోటార్స్|ಗ್ಯಾರೇಜ್", "car-repair", "car-service", "SERVICE_PROVIDER"),
+    (r"विद्यालय|पाठशाला|स्कूल|పాఠశాల|విద్యాలయ|స్కూల్|பள்ளி|ಶಾಲೆ|സ്കൂൾ|বিদ্যালয়", "schools", "school", "INSTITUTION"),
+    (r"मंडप|टेंट|शादी|కళ్యాణ|టెంట్|మండప|மண்டப|ಮಂಟಪ", "event-services", "tent-house", "SERVICE_PROVIDER"),
+    (r"पेट्रोल पंप|पेट्रोल|పెట్రోల్|பெட்ரோல்|ಪೆಟ್ರೋಲ್", "petrol-stations", "petrol-station", "RETAIL_STORE"),
 ]
 
 # Name corrections, in order; a later match overrides an earlier one where the category differs.

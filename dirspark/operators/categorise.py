@@ -66,14 +66,21 @@ def by_joined_text(primary: Column, alternates: Column, rules: list | None = Non
 
 def fold_name_rules(rows: DataFrame, rules: list[tuple[str, str, str, str]] | None = None, ignore_case: bool = True) -> DataFrame:
     """Rules one after another on category, subcategory and business_type: each fires only where the category differs."""
-    state = F.struct("category", "subcategory", "business_type")
+    matched = []
     for pattern, category, sub, kind in C.NAME_RULES if rules is None else rules:
-        fires = F.rlike("display_name", F.lit("(?i)" * ignore_case + pattern)) & ~state["category"].eqNullSafe(F.lit(category))
-        state = F.when(fires, F.struct(F.lit(category).alias("category"), F.lit(sub).alias("subcategory"), F.lit(kind).alias("business_type"))).otherwise(state)
+        to = F.struct(F.lit(category).alias("category"), F.lit(sub).alias("subcategory"), F.lit(kind).alias("business_type"))
+        matched.append(F.when(F.rlike("display_name", F.lit("(?i)" * ignore_case + pattern)), to))
+    start = F.struct(*[F.col(c).cast("string").alias(c) for c in ("category", "subcategory", "business_type")])
+    state = F.aggregate(F.array(*matched), start, lambda s, r: F.when(r.isNull() | s["category"].eqNullSafe(r["category"]), s).otherwise(r))
     others = [c for c in rows.columns if c not in ("category", "subcategory", "business_type")]
     return rows.select(*others, state.alias("_s")).select(*others, "_s.category", "_s.subcategory", "_s.business_type")
 
 
+def by_script(rows: DataFrame) -> DataFrame:
+    """The rules for names in Indian scripts."""
+    return fold_name_rules(rows, C.SCRIPT_RULES, ignore_case=False)
+
+
 def mark_utilities(rows: DataFrame) -> DataFrame:
     return rows.withColumn("business_type", F.when(F.rlike("display_name", F.lit("(?i)" + C.UTILITY_NAME)), "PUBLIC_SERVICE").otherwise(F.col("business_type")))
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from dirspark import constants as C
 from dirspark.functions import contact, geo, ident, text
 from dirspark.operators import categorise, directory, geography, quality
 from dirspark.plans.queries import QUERIES, SQL
@@ -168,3 +169,17 @@ def test_leads_have_a_breakdown(spark):
     rows = lead_rows(spark, SF)
     found = directory.leads(rows, directory.coverage_gaps(directory.coverage(rows)), rows.limit(0), spark.createDataFrame([], "public_phone string"), 5).collect()
     assert len(found) == 5 and all(json.loads(r.score_breakdown)["total"] == r.score for r in found)
+
+
+def test_all_category_rules_are_built_in(spark):
+    assert len(C.KEYWORD_RULES) == 57 and sum(len(keys) for keys, _ in C.KEYWORD_RULES) == 416 and len(C.SCRIPT_RULES) == 18
+    want = {"physician": "hospitals-and-clinics", "diagnostic_center": "hospitals-and-clinics", "ayurvedic": "hospitals-and-clinics", "lighting": "electrical-stores", "plumber": "plumbing-services", "home_baker": "home-businesses", "footwear": "footwear-stores", "community_center": None, "bazaar": "other-local-businesses"}
+    rows = spark.createDataFrame([(k, [None]) for k in want], "first string, others array<string>")
+    assert {r["first"]: r.category for r in categorise.by_keywords(rows, "first", "others").collect()} == want
+    assert {r["first"]: r.c for r in rows.select("first", categorise.by_joined_text(F.col("first"), F.col("others")).alias("c")).collect()} == want
+
+
+def test_script_rules(spark):
+    names = {"శ్రీ శివశక్తి జ్యోతిష్యాలయం": ("professional-services", "astrologer"), "राम मेडिकल": ("medical-stores-and-pharmacies", "chemist"), "दवाखाना": ("hospitals-and-clinics", "clinic"), "किराना मोबाइल": ("mobile-stores", "mobile-phone-store"), "राशन": ("grocery-and-kirana", "old"), "Ram Stores": ("grocery-and-kirana", "old")}
+    rows = spark.createDataFrame([(n, "grocery-and-kirana", "old", "x") for n in names], "display_name string, category string, subcategory string, business_type string")
+    assert {r.display_name: (r.category, r.subcategory) for r in categorise.by_script(rows).collect()} == names
