@@ -233,6 +233,9 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
         for k in range(K):
             used = values[:, k] != TOP
             bits[np.flatnonzero(used), values[used, k] * np.uint32(2654435761) >> np.uint32(22)] = True
+        held_values = (values != TOP).sum(axis=1)
+        # Values that fall on a bit another value of the set has: so many common ones may not show at most.
+        hidden = held_values - bits.sum(axis=1)
         bits = np.packbits(bits, axis=1).view(np.uint64)
         this = np.array([key[0]]).view(np.uint64)[0]
         for i in range(len(node) - 1):
@@ -240,8 +243,9 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
             for at in range(0, len(j), 4096):
                 part = j[at : at + 4096]
                 least = threshold(size[part], size[i])
-                # A cheap bound first: sketches hold the common values that the estimate counts; bits may coincide.
-                near = np.bitwise_count(bits[part] & bits[i]).sum(axis=1, dtype=np.int64) >= 0.8 * least * np.minimum(K, size[part])
+                # A cheap bound first: the estimate counts common values that both sketches hold, out of as many as the larger has at least.
+                common = np.bitwise_count(bits[part] & bits[i]).sum(axis=1, dtype=np.int64) + np.minimum(hidden[part], hidden[i])
+                near = common >= least * np.maximum(held_values[part], held_values[i])
                 part, least = part[near], least[near]
                 if not len(part):
                     continue

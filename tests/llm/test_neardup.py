@@ -1,8 +1,11 @@
 import random
 import re
 
+import numpy as np
+
 from dirspark.llm import neardup
 from dirspark.llm.neardup import near_duplicates
+from dirspark.llm.shingles import shingle_sets
 
 
 def brute(rows):
@@ -70,3 +73,31 @@ def test_nulls_ties_and_other_columns(docs):
 
 def test_empty(no_docs):
     assert run(no_docs) == []
+
+
+def test_bits_that_coincide_lose_no_link(spark):
+    """Sets of 4 shingles with 3 in common, of which two fall on one of the 1024 bits, in one list of over three sets."""
+    rng, found = random.Random(12), []
+    bit = lambda v: int(np.uint32(v) * np.uint32(2654435761) >> np.uint32(22))
+    sketch = lambda t: (shingle_sets([t.encode()])[0] >> np.uint64(32)).astype(np.uint32)
+    with np.errstate(over="ignore"):
+        while len(found) < 3:
+            w = [f"w{rng.randrange(10**6)}" for _ in range(7)]
+            v = sketch(" ".join(w))
+            if len({bit(x) for x in v}) < 3:
+                found.append((w, v))
+    lists = []
+    for w, v in found:
+        for _ in range(400):  # the same three shingles and another, which is the largest value: both keys are shared
+            longer = [*w, f"x{rng.randrange(10**6)}"]
+            x = sketch(" ".join(longer))
+            if x[:3].tolist() == v.tolist() and bit(x[3]) not in {bit(y) for y in v}:
+                lists.append((w, v, longer, x))
+                break
+    assert lists
+    for w, v, longer, x in lists:
+        rows = [(i, n, values) for i, (n, values) in enumerate([(3, v), (4, x)])]
+        reps = spark.createDataFrame([(i, n, values.tobytes()) for i, n, values in rows], "set_id long, n_shingles long, sketch binary")
+        key = int(neardup.keys_of(v)[:1].view(np.int64)[0])
+        members = spark.createDataFrame([(key, i, i, 2) for i in range(2)], "key long, node long, label long, size long")
+        assert [(r.a, r.b, r.j) for r in neardup.across(members, reps).collect()] == [(0, 1, 0.75)]
