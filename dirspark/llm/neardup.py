@@ -179,7 +179,7 @@ def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def fetch_sets(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """set_id and the whole set of each node, from the text of one document that has it."""
-    ids = settle(nodes.join(reps.select(F.col("set_id").alias("node"), "doc_id"), "node").select("doc_id", "node"), "wanted")
+    ids = settle(nodes.join(reps.select(F.col("set_id").alias("node"), "pick"), "node").select("pick", "node"), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,8 +189,10 @@ def fetch_sets(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
                 keep = [i for i, (g, w) in enumerate(zip(got, batch.column(0).slice(a, b - a).to_pylist(), strict=True)) if g == w]
                 yield pa.record_batch([pa.array([got[i] for i in keep], pa.int64()), pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["node", "whole"])
 
-    # A repeated doc_id may bring its other texts along: those have other sets. Equal texts bring the set twice.
-    found = docs.select("doc_id", "text").join(ids, "doc_id").select("node", "text").mapInArrow(run, "node long, whole binary")
+    # A repeated doc_id may bring its other texts along: those have other sets. Equal texts bring the set twice; those without an id are taken once.
+    no_id = docs.where("doc_id IS NULL").select(F.xxhash64(text_of()).alias("pick"), "text").dropDuplicates(["pick"])
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("pick"), "text").union(no_id)
+    found = texts.join(ids, "pick").select("node", "text").mapInArrow(run, "node long, whole binary")
     return settle(found, "sets")
 
 
@@ -284,9 +286,10 @@ def near_duplicates(docs: DataFrame, with_text_id: bool = False) -> DataFrame:
     Only doc_id and text are read.
     """
     rows = settle(sketches(docs).drop("sketch"), "rows")
-    # One row stands for each set. Sketches are made again for these rather than kept for all.
-    firsts = rows.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    reps = settle(sketches(docs).drop("text_id").join(settle(firsts, "firsts"), ["doc_id", "set_id"]).dropDuplicates(["set_id"]), "reps")
+    # One row stands for each set, picked by its id, or by its text where only rows without an id have the set. Sketches are made again for these rather than kept for all.
+    firsts = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.coalesce(F.min("doc_id"), F.min("text_id")).alias("pick"))
+    sketched = sketches(docs).withColumn("pick", F.coalesce("doc_id", "text_id")).drop("doc_id", "text_id")
+    reps = settle(sketched.join(settle(firsts, "firsts"), ["pick", "set_id"]).dropDuplicates(["set_id"]), "reps")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = settle(first_pairs(postings(reps).repartition(n, "key").sortWithinPartitions("key", "set_id")), "pairs")
     pairs = settle(estimated(found.where("key IS NULL").select("a", "b").distinct(), reps), "estimated")

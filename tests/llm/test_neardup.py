@@ -101,3 +101,13 @@ def test_bits_that_coincide_lose_no_link(spark):
         key = int(neardup.keys_of(v)[:1].view(np.int64)[0])
         members = spark.createDataFrame([(key, i, i, 2) for i in range(2)], "key long, node long, label long, size long")
         assert [(r.a, r.b, r.j) for r in neardup.across(members, reps).collect()] == [(0, 1, 0.75)]
+
+
+def test_rows_without_id_link(spark):
+    words = [f"w{i}" for i in range(60)]
+    x, z = [f"x{i}" for i in range(5)], [f"z{i}" for i in range(5)]
+    near = [" ".join(w) for w in (words, [*words[:55], *x], [*z, *words[5:55], *x])]  # neighbours are similar, the ends aren't
+    apart = [" ".join(f"y{k}{i}" for i in range(20)) for k in range(2)]
+    rows = [(5, near[0]), (None, near[1]), (None, near[1]), (9, near[2]), (None, apart[0]), (None, apart[1]), (None, apart[1] + " z")]
+    got = run(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert got == brute(rows) and [r[2:] for r in got if r[0] == 9] == [(5, False)]
