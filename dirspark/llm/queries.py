@@ -28,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_token_counts": tokencounts.ORACLE,
         "op7_warc": warc.ORACLE,
         "op8_quality": quality.ORACLE,
+        "op9_tool_calls": toolcalls.ORACLE,
     }

@@ -145,7 +145,7 @@ def test_calls(spark):
     assert len(out) == 9
     assert [got[(1, k)].level for k in "acb"] == [0, 1, 2] and got[(2, "p")].level == got[(2, "q")].level == -1
     assert got[(1, "a")].problem == "$.n: unknown" and got[(1, "a")].result == "late" and got[(1, None)].problem == "not JSON"
-    assert got[(2, "r")].problem == "unknown tool" and got[(-1, "z")].problem == "$.words: out of range" and got[(1, "b")].status == "linked"
+    assert got[(2, "r")].problem == "unknown tool" and got[(None, "z")].problem == "$.words: out of range" and got[(1, "b")].status == "linked"
     assert got[(1, "a")].position < got[(1, "c")].position < got[(1, "b")].position and got[(2, "p")].position == 2
     text = got[(1, "c")].json
     assert text == json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False) and '"status":"unanswered"' in text
