@@ -22,7 +22,13 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         root = "/tmp/dirspark-checkpoints"
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/dirspark-{uuid.uuid4().hex}"
+    return qualified(spark, f"{root.rstrip('/')}/dirspark-{uuid.uuid4().hex}")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark resolves it to, so that code in executors opens it on the same file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
 
 
 def settle(df: DataFrame, name: str = "part") -> DataFrame:

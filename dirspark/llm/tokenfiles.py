@@ -3,9 +3,11 @@
 A shard is two files. NAME.bin holds the ids of its documents, one after another, as little-endian unsigned
 integers of 16 bits where the vocabulary allows it, else of 32. NAME.idx holds the offsets and a minimal perfect hash of the document keys: levels of bits
 in which each key that is alone in its slot sets a bit, the rest going on to the next level. A key's
-number is the count of bits before its own, so a lookup takes a few bit tests whatever the size. A
-fingerprint of each key is stored at its number, so foreign keys are told apart (but for one in 2^32).
-Documents lie in ascending order of their ids over all shards; offsets of shards come from prefix sums.
+number is the count of bits before its own; counts before each BLOCK words are stored, so a lookup reads a
+block of bits for each level it tests and one entry of each table, whatever the size. A fingerprint of each key is stored at its number, so
+foreign keys are told apart at once; the few that pass (one in 2^32) are told apart by the id stored with the record.
+Documents lie in ascending order of their ids over all shards; offsets of shards come from prefix sums, and the manifest has
+each file's smallest and largest id, so a lookup opens only files that can hold its key.
 
 Files are written under a name of the task attempt and then renamed, and a manifest lists the shards that
 count: a lost or repeated task leaves nothing behind that is read.
@@ -13,7 +15,7 @@ count: a lost or repeated task leaves nothing behind that is read.
 
 from __future__ import annotations
 
-import json
+import os
 import posixpath
 import struct
 import zlib
@@ -27,9 +29,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dirspark.llm.bpe import merges_of, tokenizer_path
-from dirspark.llm.bpe import Encoder as Splitter
-from dirspark.llm.common import documents, settle, shared_dir
+from dirspark.llm.bpe import AMONG_SPACES, merges_of, tokenizer_path
+from dirspark.llm.common import documents, settle, shared_dir, text_of
 
 #: Constants of the 64-bit mixer used for all hashes here.
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
@@ -39,6 +40,10 @@ GAMMA = 2
 LEVELS = 48
 END = 0
 SHARD_BYTES = 64 << 20
+#: Words of 64 bits whose counts are stored together.
+BLOCK = 8
+#: Texts encoded at once.
+ROWS = 512
 
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -129,7 +134,8 @@ class ShardIndex:
 
     def to_bytes(self) -> bytes:
         p = self.phash
-        parts = [np.array([self.width], dtype="u1"), self.offsets, self.ids, self.null, self.first, self.count, p.prints, p.rest.astype("<u8"), *(x.astype("<u8") for x in p.levels)]
+        levels = [x for bits, before in zip(p.levels, p.before, strict=True) for x in (bits.astype("<u8"), before[::BLOCK].astype("<u8"))]
+        parts = [np.array([self.width], dtype="u1"), self.offsets, self.ids, self.null, self.first, self.count, p.prints, p.rest.astype("<u8"), *levels]
         head = MAGIC + struct.pack("<I", len(parts)) + b"".join(struct.pack("<2sQ", x.dtype.str[1:].encode(), x.nbytes) for x in parts)
         return head + b"".join(x.tobytes() for x in parts)
 
@@ -144,7 +150,7 @@ class ShardIndex:
             parts.append(np.frombuffer(data, dtype="<" + kind.decode(), count=size // int(kind[1:]), offset=at))
             at += size
         width, offsets, ids, null, first, count, prints, rest, *levels = parts
-        return cls(offsets, ids, null, PerfectHash(list(levels), rest, prints), first, count, int(width[0]))
+        return cls(offsets, ids, null, PerfectHash(list(levels[::2]), rest, prints), first, count, int(width[0]))
 
     def records(self, ids: np.ndarray, null: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First record and number of records of each key; (-1, 0) for keys that the shard lacks."""
@@ -153,6 +159,62 @@ class ShardIndex:
         return np.where(ok, self.first[at], -1), np.where(ok, self.count[at], 0)
 
 
+class IndexReader:
+    """Lookups in an index file by seeking: a bounded number of bytes is read for each, whatever the size of the file."""
+
+    def __init__(self, file):
+        self.file, self.n_read = file, 0
+        if self.read(0, 8) != MAGIC:
+            raise ValueError("not a token index")
+        (n,) = struct.unpack("<I", self.read(8, 4))
+        head, at = self.read(12, 10 * n), 12 + 10 * n
+        self.parts = []
+        for k in range(n):
+            kind, size = struct.unpack_from("<2sQ", head, 10 * k)
+            self.parts.append((at, np.dtype("<" + kind.decode()), size // int(kind[1:])))
+            at += size
+        self.width = int(self.entry(0, 0))
+
+    def read(self, at: int, size: int) -> bytes:
+        self.file.seek(at)
+        self.n_read += size
+        return self.file.read(size)
+
+    def entry(self, part: int, k: int, count: int = 1) -> np.ndarray | int:
+        at, kind, _ = self.parts[part]
+        got = np.frombuffer(self.read(at + k * kind.itemsize, count * kind.itemsize), dtype=kind)
+        return got if count > 1 else int(got[0])
+
+    def number(self, key: np.ndarray) -> int:
+        for level, part in enumerate(range(8, len(self.parts), 2)):
+            n_words = self.parts[part][2]
+            slot = int(mixed(key, level)[0] % np.uint64(64 * n_words))
+            word, bit = slot >> 6, slot & 63
+            first = word // BLOCK * BLOCK
+            bits = np.atleast_1d(self.entry(part, first, min(BLOCK, n_words - first))).astype(np.uint64)
+            own = int(bits[word - first])
+            if own >> bit & 1:
+                return self.entry(part + 1, word // BLOCK) + int(np.bitwise_count(bits[: word - first]).sum()) + (own & (1 << bit) - 1).bit_count()
+        a, b, want = 0, self.parts[7][2], int(key[0])
+        n_rest = b
+        while a < b:
+            middle = (a + b) // 2
+            a, b = (middle + 1, b) if self.entry(7, middle) < want else (a, middle)
+        return self.parts[6][2] - n_rest + a if a < n_rest and self.entry(7, a) == want else -1
+
+    def find(self, doc_id: int | None) -> list[tuple[int, int]]:
+        """First and end byte in the payload of each record of doc_id."""
+        key = key_of(np.array([doc_id or 0]), np.array([doc_id is None]))
+        number = self.number(key)
+        if number < 0 or self.entry(6, number) != int(fingerprint(key)[0]):
+            return []
+        first, count = self.entry(4, number), self.entry(5, number)
+        if (None if self.entry(3, first) else self.entry(2, first)) != doc_id:
+            return []
+        ends = (self.width * self.entry(1, first, count + 1)).tolist()
+        return list(zip(ends[:-1], ends[1:], strict=True))
+
+
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system that all executors share, and the path on it."""
     if urlparse(uri).scheme in ("", "file"):
@@ -176,71 +238,139 @@ def get(uri: str, name: str) -> bytes:
         return f.read()
 
 
-class LibraryEncoder(Splitter):
-    """Texts cut into words as the transducer cuts them; each word new to a task is encoded by the tokenizers library."""
+class LibraryEncoder:
+    """Texts encoded by the tokenizers library, in batches; ids come as little-endian integers of width bytes.
+
+    What stands before a blank never depends on what follows it, unless the blank stands among other white space. So texts are cut
+    before blanks, and a batch's new stretches go to the library as one text; its ids are dealt to them by the bytes that they stand for. Other
+    texts go to the library whole. Stretches of up to SHORT characters are remembered, two generations of REMEMBERED.
+    """
+
+    REMEMBERED, SHORT, JOINED = 450_000, 64, 1 << 20
 
     def __init__(self, path: str):
-        super().__init__(merges_of(path))
         from tokenizers import Tokenizer
 
+        self.m = merges_of(path)
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-
-    def encode_word(self, word: str) -> bytes:
-        return np.array(self.library.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, text: str | None, chunk: int = 0) -> bytes:
-        out, at, text = [], 0, text or ""
+        self.kind = "<u2" if max(self.m.bytes_of) < 1 << 16 else "<u4"
+        self.width = int(self.kind[2])
+        self.sizes = self.m.token_bytes()[2]
+        self.known, self.old = {}, {}
+
+    def stretches(self, text: str) -> list[str]:
+        """Pieces that can be encoded by themselves; special tokens are pieces of their own."""
+        out, at = [], 0
         for hit in self.m.in_special.finditer(text):
-            out += [self.whole(text[at : hit.start()]), np.array([self.m.special[hit[0]]], dtype="<u4").tobytes()]
+            out += [*self.stretches(text[at : hit.start()]), hit[0]]
             at = hit.end()
-        return b"".join([*out, self.whole(text[at:] if at else text)])
+        if at:
+            return out + self.stretches(text[at:])
+        return [text] if "\0" in text or AMONG_SPACES.search(text) else text.replace(" ", "\0 ").split("\0")
+
+    def by_library(self, pieces: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, dtype=self.kind) for x in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def dealt(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces that each begin with a blank and then none, encoded as one text."""
+        (ids,) = self.by_library(["".join(pieces)])
+        ends, want = np.cumsum(self.sizes[ids]), np.cumsum([len(x.encode()) for x in pieces])
+        at = np.searchsorted(ends, want) + 1
+        if len(ends) < at[-1] or (ends[at - 1] != want).any():
+            raise ValueError("a token crosses the border of two stretches")
+        raw, at = ids.tobytes(), [0, *(self.width * at).tolist()]
+        return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def learn(self, new: list[str]) -> dict[str, bytes]:
+        joined = [x for x in new if x[:1] == " " and x[1:2].strip() and x[1] != "<" and len(x) <= self.SHORT]
+        other = list(set(new).difference(joined))
+        found = dict(zip(other, (x.tobytes() for x in self.by_library(other)), strict=True))
+        for a in range(0, len(joined), step := self.JOINED // self.SHORT):
+            found.update(zip(joined[a : a + step], self.dealt(joined[a : a + step]), strict=True))
+        return found
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text. Null and empty texts have none."""
+        parts = [self.stretches(x or "") for x in texts]
+        new = set().union(*parts) - self.known.keys()
+        found = {x: self.old[x] for x in new & self.old.keys()}
+        found |= self.learn(list(new - found.keys()))
+        if len(self.known) + len(found) > self.REMEMBERED:
+            self.old, self.known = self.known, {}
+            found |= {x: self.old[x] for x in set().union(*parts) & self.old.keys()}
+        ids = self.known
+        ids |= found
+        out = [b"".join([ids[x] for x in part]) for part in parts]
+        for x in found:
+            if len(x) > self.SHORT:
+                del ids[x]
+        return out
 
 
 @lru_cache(maxsize=1)
 def library_encoder(path: str) -> LibraryEncoder:
+    """One for each Python worker; without threads of its own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return LibraryEncoder(path)
 
 
-def encoded(docs: DataFrame, path: str, end: int = END, bounds: list[int] = ()) -> DataFrame:
-    """shard, doc_id and ids of each row, with the end id. Ids are 16-bit integers where all of the tokenizer's fit."""
-    edges = np.array(bounds, dtype=np.int64)
+def token_counts(docs: DataFrame, path: str, carry: list[str]) -> DataFrame:
+    """carry and n_tokens: the number of ids of each row's text, by the library. Null texts have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
+        encoder = library_encoder(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                n = [len(x) // encoder.width for x in encoder.encode_batch(part.column(0).to_pylist())]
+                yield pa.record_batch([*part.columns[1:], pa.array(n, pa.int64())], [*carry, "n_tokens"])
+
+    rows = docs.select("text", *carry)
+    return rows.mapInArrow(run, rows.select(*carry).schema.add("n_tokens", "long"))
+
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, last = library_encoder(path), np.array([end], dtype="<u4").tobytes()
-        kind = "<u2" if max(encoder.m.bytes_of) < 1 << 16 else "<u4"
+def encoded(docs: DataFrame, path: str, end: int = END, bounds: list[int] = (), null_shards: int = 1) -> DataFrame:
+    """shard, doc_id, ids and width of each row, with the end id. Ids are 16-bit integers where all of the tokenizer's fit.
+
+    Rows without an id come first: they are dealt to the first shards by a hash of their text.
+    """
+    edges = np.array(bounds, dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = library_encoder(path)
+        last = np.array([end], dtype=encoder.kind).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 keys = part.column(0).cast(pa.int64())
-                null = np.asarray(keys.is_null())
-                shard = np.where(null, 0, np.searchsorted(edges, np.asarray(keys.fill_null(0)), side="right"))
-                ids = [np.frombuffer(encoder.encode(t) + last, dtype="<u4").astype(kind).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.record_batch([pa.array(shard, pa.int32()), keys, pa.array(ids, pa.binary()), pa.array([int(kind[2])] * len(ids), pa.int32())], ["shard", "doc_id", "ids", "width"])
+                by_text = ((np.asarray(part.column(2)).view(np.uint64) >> np.uint64(32)) * np.uint64(null_shards) >> np.uint64(32)).astype(np.int64)
+                by_id = null_shards - 1 + np.searchsorted(edges, np.asarray(keys.fill_null(0)), side="right")
+                shard = np.where(np.asarray(keys.is_null()), by_text, by_id)
+                ids = [x + last for x in encoder.encode_batch(part.column(1).to_pylist())]
+                yield pa.record_batch([pa.array(shard, pa.int32()), keys, pa.array(ids, pa.binary()), pa.array([encoder.width] * len(ids), pa.int32())], ["shard", "doc_id", "ids", "width"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "shard int, doc_id long, ids binary, width int")
+    return docs.select("doc_id", "text", F.xxhash64(text_of()).alias("text_hash")).mapInArrow(run, "shard int, doc_id long, ids binary, width int")
 
 
-def shard_bounds(docs: DataFrame, n_shards: int) -> list[int]:
-    """Where to cut the range of doc_ids: approximate quantiles, one number for each shard."""
-    if n_shards < 2:
-        return []
-    (found,) = docs.agg(F.percentile_approx("doc_id", [k / n_shards for k in range(1, n_shards)], 10 * n_shards)).first()
-    return sorted(set(found or []))
+def shard_bounds(docs: DataFrame, n_shards: int) -> tuple[list[int], int]:
+    """Where to cut the range of doc_ids (approximate quantiles, one number for each shard), and the number of shards for rows without one."""
+    cuts = [k / n_shards for k in range(1, n_shards)] or [0.5]
+    found, n, n_known = docs.agg(F.percentile_approx("doc_id", cuts, 10 * n_shards), F.count(F.lit(1)), F.count("doc_id")).first()
+    return sorted(set(found or []))[: n_shards - 1], max(1, -(-n_shards * (n - n_known) // max(1, n)))
 
 
 def write(docs: DataFrame, uri: str, path: str, n_shards: int | None = None) -> DataFrame:
-    """Encode docs and write token files below uri; returns a row for each file: shard, part, name, and counts.
+    """Encode docs and write token files below uri; returns a row for each file: shard, part, name, counts, smallest and largest id.
 
     Shards are ranges of doc_id, so shard after shard is in ascending order. Documents are encoded once, before the
-    shuffle. A task cuts a shard into files of about SHARD_BYTES. Null doc_ids come first; equal ones are ordered by their ids' bytes.
+    shuffle. A task cuts a shard into files of about SHARD_BYTES. Null doc_ids come first, by a hash of the text; equal doc_ids are
+    ordered by their ids' bytes.
     """
     n_shards = n_shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = encoded(docs, path, bounds=shard_bounds(docs, n_shards))
+    bounds, null_shards = shard_bounds(docs, n_shards)
+    ids = encoded(docs, path, END, bounds, null_shards)
     dealt = ids.repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +390,8 @@ def write(docs: DataFrame, uri: str, path: str, n_shards: int | None = None) ->
             index = ShardIndex.of(np.asarray(keys.fill_null(0)).astype(np.int64), null, np.array([len(x) // width for x in payload], dtype=np.int64), width)
             put(uri, f"{name}.bin", payload, attempt)
             put(uri, f"{name}.idx", [index.to_bytes()], attempt)
-            told.append((shard, number, name, len(payload), size // width))
+            known = keys.drop_null()
+            told.append((shard, number, name, len(payload), size // width, int(null.sum()), known[0].as_py() if len(known) else None, known[-1].as_py() if len(known) else None))
             held, size, number = [], 0, number + 1
 
         for batch in batches:
@@ -279,9 +410,9 @@ def write(docs: DataFrame, uri: str, path: str, n_shards: int | None = None) ->
         if held:
             flush()
         if told:
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*told, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["shard", "part", "name", "n_docs", "n_ids"])
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*told, strict=True), (pa.int32(), pa.int32(), pa.string(), *[pa.int64()] * 5), strict=True)], ["shard", "part", "name", "n_docs", "n_ids", "n_null", "low", "high"])
 
-    return settle(dealt.mapInArrow(run, "shard int, part int, name string, n_docs long, n_ids long"), "manifest")
+    return settle(dealt.mapInArrow(run, "shard int, part int, name string, n_docs long, n_ids long, n_null long, low long, high long"), "manifest")
 
 
 def placed(manifest: DataFrame) -> DataFrame:
@@ -312,26 +443,26 @@ def scan(manifest: DataFrame, uri: str, fold: Callable[[bytes], int]) -> DataFra
     return files.repartition(n, "name").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def lookup(uri: str, names: list[str], doc_id: int | None) -> list[bytes]:
-    """The payloads of one document: constant time for each file asked."""
-    ids, null = np.array([doc_id or 0]), np.array([doc_id is None])
-    out = []
-    for name in names:
-        index = ShardIndex.from_bytes(get(uri, f"{name}.idx"))
-        (first,), (count,) = index.records(ids, null)
-        fs, path = opened(uri)
+def lookup(spark: SparkSession, uri: str, doc_id: int | None) -> list[bytes]:
+    """The payloads of one document, as 32-bit integers, from the files whose ids can be its own."""
+    known = F.col("n_null") > 0 if doc_id is None else F.lit(doc_id).between(F.col("low"), F.col("high"))
+    out, (fs, path) = [], opened(uri)
+    for (name,) in spark.read.parquet(f"{uri}/manifest").where(known).select("name").orderBy("name").collect():
+        with fs.open_input_file(posixpath.join(path, f"{name}.idx")) as f:
+            index = IndexReader(f)
+            found = index.find(doc_id)
+        if not found:
+            continue
         with fs.open_input_file(posixpath.join(path, f"{name}.bin")) as f:
-            for k in range(first, first + count):
-                f.seek(index.width * int(index.offsets[k]))
-                raw = f.read(index.width * int(index.offsets[k + 1] - index.offsets[k]))
-                out.append(np.frombuffer(raw, dtype=f"<u{index.width}").astype("<u4").tobytes())
+            for a, b in found:
+                f.seek(a)
+                out.append(np.frombuffer(f.read(b - a), dtype=f"<u{index.width}").astype("<u4").tobytes())
     return out
 
 
 def write_manifest(manifest: DataFrame, uri: str) -> None:
-    """manifest.json: the files that count, in order. One short entry for each file."""
-    files = [x.asDict() for x in placed(manifest).orderBy("shard", "part").toLocalIterator()]
-    put(uri, "manifest.json", [json.dumps({"format": "token ids, little-endian unsigned, of the width that each index tells", "files": files}).encode()], "driver")
+    """The table manifest below uri: the files that count, with the number of ids before each."""
+    placed(manifest).write.mode("overwrite").parquet(f"{uri}/manifest")
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
