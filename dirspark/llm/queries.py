@@ -25,7 +25,6 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix": mixing.ORACLE,
-        "op6_token_counts": tokencounts.ORACLE,
         "op7_warc": warc.ORACLE,
         "op8_quality": quality.ORACLE,
         "op9_tool_calls": toolcalls.ORACLE,

@@ -89,6 +89,57 @@ def test_rollup_is_idempotent_and_additive(spark, docs, no_docs):
     assert r.apply("c", tokencounts.deleted(docs, "w", words + 2)) and all(x.n_docs == x.n_tokens == 0 for x in r.totals().collect())
 
 
+def test_two_writers_lose_nothing(spark, docs, monkeypatch):
+    """Another writer commits between the reading of the totals and the claim: the second starts again from the new totals."""
+    folder = f"{shared_dir(spark)}/counts"
+    a, b = tokencounts.Rollup(spark, folder), tokencounts.Rollup(spark, folder)
+    words, claim, n = tokencounts.word_tokens(), tokencounts.Rollup.claim, docs.count()
+
+    def late(self, seq, content):
+        if self is a and seq == 1:
+            assert b.apply("other", tokencounts.inserted(docs, "w", words))
+        return claim(self, seq, content)
+
+    monkeypatch.setattr(tokencounts.Rollup, "claim", late)
+    assert a.apply("mine", tokencounts.inserted(docs, "w", words)) and not b.apply("mine", tokencounts.inserted(docs, "w", words))
+    assert sum(x.n_docs for x in a.totals().collect()) == 2 * n
+    assert sorted((r.seq, r.batch_id) for r in a.committed().collect()) == [(1, "other"), (2, "mine")]
+
+
+def test_null_counts_and_signs_are_nothing(spark):
+    r = tokencounts.Rollup(spark, f"{shared_dir(spark)}/counts")
+    rows = spark.createDataFrame([("a", "en", "w", 1, None), ("a", "en", "w", None, 5), ("a", "en", "w", 1, 7)], "source string, lang string, tokenizer string, sign int, n_tokens long")
+    assert r.apply("x", rows) and [tuple(x) for x in r.totals().collect()] == [("a", "en", "w", 2, 7)]
+
+
+def test_streamed_changes_are_committed_once(spark, tmp_path):
+    schema = "source string, lang string, tokenizer string, sign int, n_tokens long"
+    spark.createDataFrame([("a", "en", "w", 1, 7), ("b", "en", "w", 1, 2)], schema).write.parquet(str(tmp_path / "in"))
+    r = tokencounts.Rollup(spark, f"{shared_dir(spark)}/counts")
+    for _ in range(2):
+        stream = r.follow(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "s", str(tmp_path / f"checkpoint{_}"))
+        stream.processAllAvailable()
+        stream.stop()
+    assert sorted(tuple(x) for x in r.totals().collect()) == [("a", "en", "w", 1, 7), ("b", "en", "w", 1, 2)]
+
+
+def test_token_count_query(spark, tmp_path, docs):
+    from tokenizers import Tokenizer
+
+    labels = [(1, 1, 1), (5, 0, 0), (5, 0, 0), (8, 0, 0), (6, 0, 1), (None, 0, 1), (777, 0, 1), (7, None, None)]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    library, want = Tokenizer.from_file(tokencounts.tokenizer_path()), Counter()
+    for r in docs.collect():
+        sign = r.doc_id not in (1, 6)
+        n = len(library.encode(r.text or "", add_special_tokens=False).ids) + (r.doc_id in (5, 8))
+        for name, count in (("words-1", brute_statistics(r.text)[0]), ("bytes-1", len((r.text or "").encode())), ("byte_bpe_50k-1", n)):
+            want[(r.source, r.lang, name, "docs")] += sign
+            want[(r.source, r.lang, name, "tokens")] += sign * count
+    got = tokencounts.op6_token_counts(spark, str(tmp_path)).collect()
+    assert {(r.source, r.lang, r.tokenizer, k): v for r in got for k, v in (("docs", r.n_docs), ("tokens", r.n_tokens))} == want
+
+
 # WARC
 def brute_revisits(rows):
     out = []
