@@ -1,10 +1,10 @@
 """Quality rules: robust multivariate outliers.
 
 Each document is a vector of transformed statistics. For each language and source the
-minimum-covariance-determinant estimate of centre and scatter is found by concentration steps:
-start from medians and median deviations, keep the three quarters of the rows that lie nearest,
-estimate mean and covariance from them, and repeat. A document is rejected by its Mahalanobis
-distance from the final estimate.
+minimum-covariance-determinant estimate of centre and scatter is found by concentration steps from two deterministic starts:
+medians with median deviations, and the moments of all rows. A step keeps the three quarters of the rows that lie nearest and
+estimates mean and covariance from them; steps go on until no group's sums change (at most MOST_STEPS). Of the two ends the one with the
+smaller determinant counts. A document is rejected by its Mahalanobis distance from it.
 
 Statistics are rounded to thousandths and distances to hundredths, as integers. Sums and
 percentiles are then exact, whatever the partitioning, and a percentile's buffer has a bounded number
@@ -26,13 +26,19 @@ P = len(FLOORS)
 SHARE, CONSISTENT = 0.75, 1.41
 #: Squared distances above this reject: the 0.999999 quantile of chi-square with 5 degrees of freedom.
 CUTOFF = 35.89
-STEPS = 3
-#: Groups with fewer rows have no estimate of their own and reject nothing.
+MOST_STEPS = 10
+#: Groups with fewer rows are pooled by language, pools with fewer over all languages.
 LEAST_ROWS = 8
+#: Group-level tables of up to so many rows are broadcast; larger ones meet the rows in a shuffle.
+MOST_BROADCAST = 100_000
+POOL = "~"
 #: Squared distances are counted in hundredths up to this.
 MOST_BIN = 100_000
 WINDOW = 8
 GROUP = ["lang_key", "source_key"]
+#: The group whose estimate counts for a row, and the start that an estimate comes from.
+POOLED = ["pool_lang", "pool_source"]
+EACH = [*POOLED, "start"]
 
 
 def without(text: Column, characters: str) -> Column:
@@ -128,26 +134,57 @@ def extended(df: DataFrame, levels: list[list[str]]) -> DataFrame:
     return df
 
 
-def first_distance(rows: DataFrame) -> DataFrame:
-    """Adds d_bin: distance from the medians in units of the median deviations, floors included."""
-    medians = settle(rows.groupBy(*GROUP).agg(*[F.percentile(f"x{i}", F.lit(0.5)).alias(f"med{i}") for i in range(P)]), "medians")
-    near = rows.join(medians, GROUP)
-    spread = settle(near.groupBy(*GROUP).agg(*[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"med{i}")), F.lit(0.5)).alias(f"mad{i}") for i in range(P)]), "deviations")
-    return near.join(spread, GROUP).selectExpr(*rows.columns, binned(START) + " AS d_bin")
+def attach(rows: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join a settled table of groups to the rows. Its size is counted first: a small one is broadcast, so that no rows are shuffled."""
+    return rows.join(F.broadcast(small) if small.count() <= MOST_BROADCAST else small, on, how)
+
+
+def pools(rows: DataFrame) -> DataFrame:
+    """The group whose estimate counts for each language and source: its own, its language's small ones together, or all that is then left."""
+    sizes = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"))
+    small = F.col("n") < LEAST_ROWS
+    own = sizes.withColumn("pool_source", F.when(small, POOL).otherwise(F.col("source_key")))
+    pool = own.groupBy("lang_key", "pool_source").agg(F.sum("n").alias("n_pool"))
+    named = own.join(pool, ["lang_key", "pool_source"]).withColumn("pool_lang", F.when(F.col("n_pool") < LEAST_ROWS, POOL).otherwise(F.col("lang_key")))
+    return settle(named.select(*GROUP, *POOLED), "pools")
+
+
+def median_start(rows: DataFrame) -> DataFrame:
+    """d_bin of start 1: distance from the medians in units of the median deviations, floors included."""
+    medians = settle(rows.groupBy(*POOLED).agg(*[F.percentile(f"x{i}", F.lit(0.5)).alias(f"med{i}") for i in range(P)]), "medians")
+    near = attach(rows, medians, POOLED)
+    spread = settle(near.groupBy(*POOLED).agg(*[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"med{i}")), F.lit(0.5)).alias(f"mad{i}") for i in range(P)]), "deviations")
+    return attach(near, spread, POOLED).selectExpr(*rows.columns, "1 AS start", binned(START) + " AS d_bin")
 
 
 START = " + ".join(f"((x{i} - med{i}) / greatest(mad{i} * 1.4826D, {f})) * ((x{i} - med{i}) / greatest(mad{i} * 1.4826D, {f}))" for i, f in enumerate(FLOORS))
+#: The square root of the determinant.
+DETERMINANT = " * ".join(f"l{i}{i}" for i in range(P))
+RAW = ["n_used", *(f"s{i}" for i in range(P)), *(f"q{i}{j}" for i, j in ENTRIES)]
+
+
+def factors_of(used: DataFrame) -> DataFrame:
+    """Sums to means and factors of the scatter."""
+    return extended(used.selectExpr("*", *map(as_double, MOMENTS)), cholesky()).select(*EACH, "n_rows", *RAW, *FACTOR)
+
+
+def distances(rows: DataFrame, factors: DataFrame) -> DataFrame:
+    return extended(attach(rows, factors.select(*EACH, *FACTOR), POOLED), solve()).selectExpr(*rows.columns, "start", binned(DISTANCE) + " AS d_bin")
 
 
 def estimate(rows: DataFrame) -> DataFrame:
-    """The minimum-covariance-determinant estimate of each group: means m and factors l of the scatter."""
-    near, factors = first_distance(rows), None
-    for step in range(STEPS):
-        cut = settle(near.groupBy(*GROUP).agg(F.percentile("d_bin", F.lit(SHARE)).alias("cut"), F.count(F.lit(1)).alias("n_rows")), f"cut{step}")
-        used = near.join(cut, GROUP).where("d_bin <= cut").groupBy(*GROUP).agg(F.min("n_rows").alias("n_rows"), *map(F.expr, SUMS))
-        factors = settle(extended(used.selectExpr("*", *map(as_double, MOMENTS)), cholesky()).select(*GROUP, "n_rows", *FACTOR), f"factors{step}")
-        near = extended(rows.join(factors, GROUP), solve()).selectExpr(*rows.columns, binned(DISTANCE) + " AS d_bin")
-    return factors
+    """The minimum-covariance-determinant estimate of each pool: means m and factors l of the scatter. rows: POOLED and the statistics."""
+    everything = rows.withColumn("start", F.lit(2)).groupBy(*EACH).agg(F.count(F.lit(1)).alias("n_rows"), *map(F.expr, SUMS))
+    near, last = median_start(rows).unionByName(distances(rows, settle(factors_of(everything), "factors"))), None
+    for step in range(MOST_STEPS):
+        cut = settle(near.groupBy(*EACH).agg(F.percentile("d_bin", F.lit(SHARE)).alias("cut"), F.count(F.lit(1)).alias("n_rows")), f"cut{step}")
+        used = attach(near, cut, EACH).where("d_bin <= cut").groupBy(*EACH).agg(F.min("n_rows").alias("n_rows"), *map(F.expr, SUMS))
+        factors = settle(factors_of(used), f"factors{step}")
+        if last is not None and factors.select(*EACH, *RAW).exceptAll(last.select(*EACH, *RAW)).isEmpty():
+            break
+        near, last = distances(rows, factors), factors
+    best = factors.groupBy(*POOLED).agg(F.min(F.struct(F.expr(DETERMINANT).alias("det"), "start", "n_rows", *FACTOR)).alias("b"))
+    return settle(best.select(*POOLED, "b.n_rows", *[f"b.{x}" for x in FACTOR]), "estimate")
 
 
 def quality(docs: DataFrame, carry: list[str]) -> DataFrame:
@@ -156,16 +193,21 @@ def quality(docs: DataFrame, carry: list[str]) -> DataFrame:
     A row that fails the base rules (under 20 words, or over 30 % of its words in repeated
     8-word windows) is not kept and has no part in any estimate. Others are kept unless their
     squared distance exceeds CUTOFF. Null languages and sources form groups of their own. Groups of
-    under LEAST_ROWS rows keep all their rows that pass the base rules. An empty table stays empty.
+    under LEAST_ROWS rows are judged with their language's other small ones, and those with all that is left; if that is still
+    under LEAST_ROWS rows, they are kept. An empty table stays empty.
     """
     judged = docs.select(*carry, "text", nullsafe("lang").alias("lang_key"), nullsafe("source").alias("source_key"))
-    rows = base_statistics(judged, [*carry, *GROUP]).selectExpr("*", *(f"{x} AS x{i}" for i, x in enumerate(STATISTICS)))
-    rows = settle(rows, "statistics")
-    return judge(rows, estimate(rows.where("NOT base_failed")))
+    return judge(base_statistics(judged, [*carry, *GROUP]))
 
 
-def judge(rows: DataFrame, factors: DataFrame) -> DataFrame:
-    far = extended(rows.join(factors, GROUP, "left"), solve()).withColumn("d2", F.expr(DISTANCE))
+def judge(rows: DataFrame) -> DataFrame:
+    """Base statistics with the method's verdict, kept."""
+    rows = settle(rows.selectExpr("*", *(f"{x} AS x{i}" for i, x in enumerate(STATISTICS))), "statistics")
+    clean = rows.where("NOT base_failed").select(*GROUP, *[f"x{i}" for i in range(P)])
+    pooled = pools(clean)
+    factors = estimate(attach(clean, pooled, GROUP).drop(*GROUP))
+    of_group = settle(pooled.join(factors, POOLED).drop(*POOLED), "factors")
+    far = extended(attach(rows, of_group, GROUP, "left"), solve()).withColumn("d2", F.expr(DISTANCE))
     kept = ~F.col("base_failed") & F.coalesce((F.col("n_rows") < LEAST_ROWS) | (F.col("d2") <= CUTOFF), F.lit(True))
     return far.withColumn("kept", kept)
 
@@ -173,18 +215,10 @@ def judge(rows: DataFrame, factors: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that quality() keeps, with the columns of docs.
 
-    Verdicts are found on numbers alone and joined back by id, hash of the text, language and source, so no
-    text is shuffled for an estimate and no filter is pushed down into the statistics.
+    Rows travel with their statistics, in a struct apart from them: they are written once and never shuffled.
     """
-    keys = {"lang_key": nullsafe("lang"), "source_key": nullsafe("source"), "text_id": F.xxhash64(text_of())}
-    judged = docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()])
-    rows = base_statistics(judged, ["doc_id", *keys]).selectExpr("*", *(f"{x} AS x{i}" for i, x in enumerate(STATISTICS)))
-    rows = settle(rows, "statistics")
-    rejected = judge(rows, estimate(rows.where("NOT base_failed"))).where("NOT kept").select("doc_id", *keys).distinct()
-    gone = settle(rejected.toDF("gone_id", "gone_lang", "gone_source", "gone_text"), "rejected")
-    own = lambda c: F.coalesce(F.concat(F.lit("="), docs[c].cast("string")), F.lit(""))
-    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_text"])
-    return docs.join(gone, same & (own("lang") == gone["gone_lang"]) & (own("source") == gone["gone_source"]), "left_anti")
+    judged = docs.select("text", F.struct(*docs.columns).alias("judged_row"), nullsafe("lang").alias("lang_key"), nullsafe("source").alias("source_key"))
+    return judge(base_statistics(judged, ["judged_row", *GROUP])).where("kept").select("judged_row.*")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +228,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle() -> str:
     nullsafes = "coalesce('=' || lang, '') AS lang_key, coalesce('=' || source, '') AS source_key"
-    by = "lang_key, source_key"
+    by, each = ", ".join(POOLED), ", ".join(EACH)
     out = [
         rf"""base AS (
   SELECT doc_id, {nullsafes}, coalesce(text, '') AS whole, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -212,10 +246,13 @@ counted AS (
     CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
   FROM lined LEFT JOIN covered c USING (doc_id)),
 failed AS (SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed FROM counted),
-rows AS (SELECT *, {', '.join(f'{x} AS x{i}' for i, x in enumerate(STATISTICS))} FROM failed)""",
+judged AS (SELECT *, {', '.join(f'{x} AS x{i}' for i, x in enumerate(STATISTICS))} FROM failed),
+sizes AS (SELECT lang_key, source_key, CASE WHEN count(*) < {LEAST_ROWS} THEN '{POOL}' ELSE source_key END AS pool_source, count(*) AS n FROM judged WHERE NOT base_failed GROUP BY lang_key, source_key),
+pools AS (SELECT lang_key, source_key, CASE WHEN sum(n) OVER (PARTITION BY lang_key, pool_source) < {LEAST_ROWS} THEN '{POOL}' ELSE lang_key END AS pool_lang, pool_source FROM sizes),
+rows AS (SELECT j.*, pool_lang, pool_source FROM judged j LEFT JOIN pools USING (lang_key, source_key))""",
         f"medians AS (SELECT {by}, {', '.join(f'quantile_cont(x{i}, 0.5) AS med{i}' for i in range(P))} FROM rows WHERE NOT base_failed GROUP BY ALL)",
         f"spread AS (SELECT {by}, {', '.join(f'quantile_cont(abs(x{i} - med{i}), 0.5) AS mad{i}' for i in range(P))} FROM rows JOIN medians USING ({by}) WHERE NOT base_failed GROUP BY ALL)",
-        f"near0 AS (SELECT rows.*, {binned(START.replace('1.4826D', 'CAST(1.4826 AS DOUBLE)'))} AS d_bin FROM rows JOIN medians USING ({by}) JOIN spread USING ({by}) WHERE NOT base_failed)",
+        f"moments_0 AS (SELECT *, {', '.join(map(as_double, MOMENTS))} FROM (SELECT {by}, {', '.join(SUMS)} FROM rows WHERE NOT base_failed GROUP BY ALL))",
     ]
 
     def levels(name: str, levels: list[list[str]]) -> str:
@@ -224,18 +261,27 @@ rows AS (SELECT *, {', '.join(f'{x} AS x{i}' for i, x in enumerate(STATISTICS))}
             out.append(f"{name}_{k + 1} AS (SELECT *, {', '.join(map(as_double, level))} FROM {name}_{k})")
         return f"{name}_{len(levels)}"
 
-    for step in range(STEPS):
-        out.append(f"cut{step} AS (SELECT {by}, quantile_cont(d_bin, {SHARE}) AS cut, count(*) AS n_rows FROM near{step} GROUP BY ALL)")
-        out.append(f"used{step} AS (SELECT {by}, min(n_rows) AS n_rows, {', '.join(SUMS)} FROM near{step} JOIN cut{step} USING ({by}) WHERE d_bin <= cut GROUP BY ALL)")
+    last = levels("moments", cholesky())
+    out.append(f"begin_0 AS (SELECT rows.*, {', '.join(FACTOR)} FROM rows JOIN {last} USING ({by}) WHERE NOT base_failed)")
+    last = levels("begin", solve())
+    numbers = ", ".join([*POOLED, *(f"x{i}" for i in range(P))])
+    out.append(
+        f"""near0 AS (SELECT {numbers}, 1 AS start, {binned(START.replace('1.4826D', 'CAST(1.4826 AS DOUBLE)'))} AS d_bin FROM rows JOIN medians USING ({by}) JOIN spread USING ({by}) WHERE NOT base_failed
+  UNION ALL SELECT {numbers}, 2, {binned(DISTANCE)} FROM {last})"""
+    )
+    for step in range(MOST_STEPS):
+        out.append(f"cut{step} AS (SELECT {each}, quantile_cont(d_bin, {SHARE}) AS cut, count(*) AS n_rows FROM near{step} GROUP BY ALL)")
+        out.append(f"used{step} AS (SELECT {each}, min(n_rows) AS n_rows, {', '.join(SUMS)} FROM near{step} JOIN cut{step} USING ({each}) WHERE d_bin <= cut GROUP BY ALL)")
         out.append(f"chol{step}_0 AS (SELECT *, {', '.join(map(as_double, MOMENTS))} FROM used{step})")
         last = levels(f"chol{step}", cholesky())
-        out.append(f"factors{step} AS (SELECT {by}, n_rows, {', '.join(FACTOR)} FROM {last})")
-        out.append(f"far{step}_0 AS (SELECT rows.*, {', '.join(FACTOR)} FROM rows JOIN factors{step} USING ({by}) WHERE NOT base_failed)")
+        out.append(f"factors{step} AS (SELECT {each}, n_rows, {', '.join(FACTOR)} FROM {last})")
+        out.append(f"far{step}_0 AS (SELECT {numbers}, start, {', '.join(FACTOR)} FROM rows JOIN factors{step} USING ({by}) WHERE NOT base_failed)")
         last = levels(f"far{step}", solve())
-        out.append(f"near{step + 1} AS (SELECT *, {binned(DISTANCE)} AS d_bin FROM {last})")
-    out.append(f"judged_0 AS (SELECT rows.*, f.n_rows, {', '.join('f.' + x for x in FACTOR)} FROM rows LEFT JOIN factors{STEPS - 1} f USING ({by}))")
+        out.append(f"near{step + 1} AS (SELECT {numbers}, start, {binned(DISTANCE)} AS d_bin FROM {last})")
+    out.append(f"best AS (SELECT * FROM factors{MOST_STEPS - 1} QUALIFY row_number() OVER (PARTITION BY {by} ORDER BY {DETERMINANT}, start) = 1)")
+    out.append(f"judged_0 AS (SELECT rows.*, f.n_rows, {', '.join('f.' + x for x in FACTOR)} FROM rows LEFT JOIN best f USING ({by}))")
     last = levels("judged", solve())
-    return "WITH " + ",\n".join(out) + f"\nSELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(n_rows < {LEAST_ROWS} OR {DISTANCE} <= {CUTOFF}, true) AS kept FROM {last}"
+    return "WITH " + ",\n".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in out) + f"\nSELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(n_rows < {LEAST_ROWS} OR {DISTANCE} <= {CUTOFF}, true) AS kept FROM {last}"
 
 
 ORACLE = oracle()
