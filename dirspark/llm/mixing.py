@@ -61,8 +61,8 @@ def source_budgets(sized: DataFrame, weight: Column | None = None, max_epochs: i
 
 
 def with_key(docs: DataFrame, seed: str) -> DataFrame:
-    """Adds size (words), source_key and the hash-random mix_key (16 hex digits)."""
-    key = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 16)
+    """Adds size (words), source_key and the hash-random mix_key (16 hex digits): of the doc_id, or of the text where that is null."""
+    key = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(text_of()))))), 1, 16)
     return docs.withColumns({"size": word_count(text_of()), "source_key": nullsafe("source"), "mix_key": key})
 
 
@@ -87,8 +87,9 @@ def plan_mix(docs: DataFrame, carry: list[str], weight: Column | None = None, ma
     if set(carry) <= {"doc_id", "source"}:
         rows, tie = sized, []
     else:
-        kept = docs.select(*dict.fromkeys(["doc_id", "text", "source", *carry]))
-        rows, tie = with_key(kept, seed), [F.xxhash64(text_of())]
+        # The text itself goes no further than its count and hash, unless it is carried.
+        kept = with_key(docs.select(*dict.fromkeys(["doc_id", "text", "source", *carry])), seed).withColumn("mix_tie", F.xxhash64(text_of()))
+        rows, tie = kept.select(*dict.fromkeys(["doc_id", "source_key", "size", "mix_key", "mix_tie", *carry])), ["mix_tie"]
     rows = rows.join(sources, "source_key").withColumn("key_range", in_range)
     before = Window.partitionBy("source_key", "key_range").orderBy("mix_key", "doc_id", "size", *tie).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("words_before", F.coalesce(F.sum("size").over(before), F.lit(0)))
@@ -109,18 +110,18 @@ def mix(docs: DataFrame, weight: Column | None = None, max_epochs: int = MAX_EPO
     """
     names = docs.columns
     packed = docs.select("doc_id", "text", "source", F.struct(*names).alias("mixed_row"))
-    plan = plan_mix(packed, ["doc_id", "text", "mixed_row"], weight, max_epochs, seed)
+    plan = plan_mix(packed, ["mixed_row"], weight, max_epochs, seed)
     copies = F.when(F.col("epochs") > 0, F.array_repeat(F.col("size"), F.col("epochs").cast("int"))).otherwise(F.expr("array(cast(null as bigint))"))
     copies = F.filter(F.concat(copies, F.array("part")), lambda n: n > 0)
     rows = plan.where("taken > 0").withColumn("words_taken", F.explode(copies))
     whole = F.col("words_taken") == F.col("size")
-    new = {"text": F.when(whole, F.col("text")).otherwise(first_words()), "n_chars": F.when(whole, F.col("mixed_row")["n_chars"]).otherwise(F.length(first_words())) if "n_chars" in names else None}
+    new = {"text": F.when(whole, F.col("mixed_row")["text"]).otherwise(first_words()), "n_chars": F.when(whole, F.col("mixed_row")["n_chars"]).otherwise(F.length(first_words())) if "n_chars" in names else None}
     return rows.select(*[(new[n] if n in new else F.col("mixed_row")[n]).alias(n) for n in names])
 
 
 def first_words() -> Column:
     """The first words_taken words of text, joined by spaces."""
-    return F.array_join(F.slice(words_of(F.col("text")), 1, F.col("words_taken").cast("int")), " ")
+    return F.array_join(F.slice(words_of(F.col("mixed_row")["text"]), 1, F.col("words_taken").cast("int")), " ")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +132,7 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))) AS k FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) AS r FROM src),
 weighed AS (SELECT *, CAST((r - 1) % 3 + 1 AS DOUBLE) AS w, CAST(3 * source_size AS DOUBLE) AS cap FROM ranked),
