@@ -322,7 +322,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     verdicts = near_duplicates(docs.select("doc_id", "text"), with_text_id=True)
     dropped = settle(verdicts.where("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("text_id").alias("gone_text")).distinct(), "dropped")
     same = docs["doc_id"].eqNullSafe(dropped["gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == dropped["gone_text"])
-    return docs.join(dropped, same, "left_anti")
+    # The same join at every size: what is dropped grows with the input.
+    return docs.join(dropped.hint("merge"), same, "left_anti")
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:

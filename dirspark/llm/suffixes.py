@@ -9,8 +9,8 @@ merged by interleave refinement (see bwt.py): common prefixes of WIDTH or more b
 intervals, and each window learns the smallest doc_id of its interval. The shares that are to go
 come back by document.
 
-Parts are processed in chunks of bounded size at anchors' borders. Only numbers, the shared stretches and, twice, the
-texts are shuffled.
+Parts are sized by bytes and processed in chunks of bounded size at anchors' borders. Equal texts are those with equal 128 bits
+of hash, equal strings those with equal bytes. Only numbers, the shared stretches and, twice, the texts are shuffled.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dirspark.llm.bwt import Shard, repeated_intervals
@@ -31,13 +32,19 @@ WIDTH = 50
 GRAM = 20
 #: Bytes of text worked on at once, bytes that a task gathers before it sends them on, bytes merged at once and in one shard.
 STEP_BYTES, SEND_BYTES, MERGE_BYTES, SHARD_BYTES = 1 << 20, 24 << 20, 2 << 20, 1 << 18
+#: Bytes of text for each part, about: a task holds one part's share at a time.
+PART_BYTES = 64 << 20
 EMPTY = hashlib.sha256(b"").hexdigest()
 LARGEST = np.iinfo(np.int64).max
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text (null as empty) and text_id, a hash of it."""
-    return docs.select("doc_id", text_of().alias("text")).withColumn("text_id", F.xxhash64("text"))
+    """doc_id, text (null as empty) and text_id, 128 bits that stand for it."""
+    return docs.select("doc_id", text_of().alias("text")).withColumn("text_id", id_of(F.col("text")))
+
+
+def id_of(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
 def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -87,7 +94,7 @@ def compound(anchors: np.ndarray, n_parts: int) -> np.ndarray:
 
 
 def anchors_by_part(docs: DataFrame, n_parts: int) -> DataFrame:
-    """part, and for each anchor in it of the texts of a task: 32 bits of the anchor, and the text's id."""
+    """part, and for each anchor in it of the texts of a task: 32 bits of the anchor, and 64 bits of the text's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, met = [], 0, set()
@@ -117,11 +124,11 @@ def anchors_by_part(docs: DataFrame, n_parts: int) -> DataFrame:
         if held:
             yield send()
 
-    return keyed(docs).select("text", "text_id").mapInArrow(run, "part int, high binary, texts binary")
+    return docs.select(text_of().alias("text"), F.xxhash64(text_of()).alias("text_hash")).mapInArrow(run, "part int, high binary, texts binary")
 
 
 def shared_anchors(parts: DataFrame) -> DataFrame:
-    """text_id and the compound anchors (packed) that another text has, too: a row for each text and part."""
+    """text_hash and the compound anchors (packed) that another text has, too: a row for each text and part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, high, texts = None, [], []
@@ -140,7 +147,7 @@ def shared_anchors(parts: DataFrame) -> DataFrame:
             ends = [*at[1:].tolist(), len(t)]
             for k in range(0, len(at), 4096):
                 rows = zip(at[k : k + 4096].tolist(), ends[k : k + 4096], strict=True)
-                yield pa.record_batch([pa.array(t[at[k : k + 4096]]), pa.array([h[a:b].tobytes() for a, b in rows], pa.binary())], ["text_id", "anchors"])
+                yield pa.record_batch([pa.array(t[at[k : k + 4096]]), pa.array([h[a:b].tobytes() for a, b in rows], pa.binary())], ["text_hash", "anchors"])
 
         for batch in batches:
             for p, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -153,7 +160,7 @@ def shared_anchors(parts: DataFrame) -> DataFrame:
         if high:
             yield from found()
 
-    return parts.mapInArrow(run, "text_id long, anchors binary")
+    return parts.mapInArrow(run, "text_hash long, anchors binary")
 
 
 def cut_stretches(wanted: DataFrame, n_parts: int) -> DataFrame:
@@ -223,12 +230,9 @@ def window_minima(data: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.n
 
 
 def distinct_strings(key: np.ndarray, data: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """A number for each string, equal for equal strings under one key."""
-    power, inverse = powers(max(16, int(len(data)).bit_length()))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * power[: len(data)], dtype=np.uint64)])
-    first = np.concatenate([[0], np.cumsum(length)])
-    own = mixed((sums[first[1:]] - sums[first[:-1]]) * inverse[first[:-1]] + length.astype(np.uint64)) ^ key
-    return np.unique(own, return_inverse=True)[1]
+    """A number for each string, the same for equal strings under one key. Strings are compared, not hashes."""
+    raw, ends, seen = data.tobytes(), np.cumsum(length).tolist(), {}
+    return np.array([seen.setdefault((k, raw[b - n : b]), len(seen)) for k, n, b in zip(key.tolist(), length.tolist(), ends, strict=True)], dtype=np.int64)
 
 
 def earlier_windows(key: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -329,22 +333,32 @@ def left_over(text: bytes, ranges: list[bytes]) -> tuple[bytes, int, int]:
     return b"".join([*kept, text[at:]]), int((end - begin).sum()), len(begin)
 
 
+def part_count(n: int, total: int) -> int:
+    """Parts of about PART_BYTES of text, a multiple of the n partitions; fewer where a task's rows for a part would get tiny."""
+    return n * max(1, min(-(-total // (n * PART_BYTES)), SEND_BYTES // (n << 10)))
+
+
+def by_part(rows: DataFrame, n: int) -> DataFrame:
+    """Parts are dealt out evenly; a task takes its parts one after another."""
+    return rows.repartitionById(n, F.col("part") % n).sortWithinPartitions("part")
+
+
 def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_id, n_bytes, sha, first_doc) of each row, and (doc_id, text_id, ranges) of texts that lose bytes."""
-    spark = docs.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    rows = keyed(docs).select("doc_id", "text_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    rows = keyed(docs).select("doc_id", "text_id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     rows = settle(rows, "rows")
+    n_parts = part_count(n, rows.agg(F.sum("n_bytes")).first()[0] or 0)
     # The first document of each text stands for it. Rows without an id come before and after none.
-    firsts = settle(rows.where("doc_id IS NOT NULL").groupBy("text_id").agg(F.min("doc_id").alias("first_doc")), "firsts")
-    parts = anchors_by_part(docs, n_parts).repartition(n_parts, "part").sortWithinPartitions("part")
-    shared = shared_anchors(parts).groupBy("text_id").agg(F.collect_list("anchors").alias("anchors"))
-    shared = settle(shared.join(firsts, "text_id").select(F.col("first_doc").alias("doc_id"), "text_id", "anchors"), "shared")
-    wanted = keyed(docs).join(shared, ["doc_id", "text_id"]).dropDuplicates(["doc_id", "text_id"]).select("doc_id", "text", "anchors")
-    cut = cut_stretches(wanted, n_parts).repartition(n_parts, "part").sortWithinPartitions("part")
+    firsts = settle(rows.where("doc_id IS NOT NULL").groupBy("text_id", "text_hash").agg(F.min("doc_id").alias("first_doc")), "firsts")
+    shared = shared_anchors(by_part(anchors_by_part(docs, n_parts), n)).groupBy("text_hash").agg(F.collect_list("anchors").alias("anchors"))
+    shared = settle(shared.join(firsts, "text_hash").select(F.col("first_doc").alias("doc_id"), "text_id", "anchors"), "shared")
+    # Texts are shuffled the same way at every size: what they are joined with grows with the input.
+    wanted = keyed(docs).join(shared.hint("merge"), ["doc_id", "text_id"]).dropDuplicates(["doc_id", "text_id"]).select("doc_id", "text", "anchors")
+    cut = by_part(cut_stretches(wanted, n_parts), n)
     ranges = found_ranges(cut).join(shared.select("doc_id", "text_id"), "doc_id").groupBy("doc_id", "text_id").agg(F.collect_list("ranges").alias("ranges"))
-    return rows.join(firsts, "text_id", "left"), settle(ranges, "ranges")
+    return rows.drop("text_hash").join(firsts.drop("text_hash"), "text_id", "left"), settle(ranges, "ranges")
 
 
 def edited(docs: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -358,27 +372,33 @@ def edited(docs: DataFrame, ranges: DataFrame) -> DataFrame:
                 kept, n, spans = zip(*got, strict=True) if got else ((), (), ())
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(spans, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()), pa.array(kept, pa.binary())], ["doc_id", "text_id", "n", "spans", "kept", "remaining"])
 
-    texts = keyed(docs).join(ranges, ["doc_id", "text_id"]).dropDuplicates(["doc_id", "text_id"])
-    return texts.select("doc_id", "text_id", "text", "ranges").mapInArrow(cut, "doc_id long, text_id long, n long, spans long, kept string, remaining binary")
+    texts = keyed(docs).join(ranges.hint("merge"), ["doc_id", "text_id"]).dropDuplicates(["doc_id", "text_id"])
+    return texts.select("doc_id", "text_id", "text", "ranges").mapInArrow(cut, "doc_id long, text_id binary, n long, spans long, kept string, remaining binary")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs with the repeated bytes cut out of text, and without the rows of which no word is left.
 
     Characters that a cut splits go with it. n_chars, where there is such a column, follows the text of changed rows.
+    Whole texts meet the verdicts in one join.
     """
-    cut = deduplicate(docs.select("doc_id", "text")).where("n_removed > 0").select(F.col("doc_id").alias("cut_id"), F.col("text_id").alias("cut_text"), "remaining").dropDuplicates(["cut_id", "cut_text"])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left = [x.decode(errors="ignore") for x in batch.column(2).to_pylist()]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(left, pa.string())], ["cut_id", "cut_text", "left_text"])
-
-    cut = settle(cut.mapInArrow(read, "cut_id long, cut_text long, left_text string"), "cut")
-    same = (docs["doc_id"] == cut["cut_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == cut["cut_text"])
-    joined = docs.join(cut, same, "left").where(cut["left_text"].isNull() | F.rlike(cut["left_text"], F.lit(WORD)))
-    new = {"text": F.coalesce(cut["left_text"], docs["text"]), "n_chars": F.when(cut["left_text"].isNull(), docs["n_chars"]).otherwise(F.length(cut["left_text"])) if "n_chars" in docs.columns else None}
-    return joined.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
+    rows, ranges = repeated_ranges(docs.select("doc_id", "text"))
+    gone = rows.where((F.col("doc_id") > F.col("first_doc")) & (F.col("n_bytes") >= WIDTH)).select("doc_id", "text_id").distinct()
+    verdicts = ranges.unionByName(gone.withColumn("ranges", F.array().cast("array<binary>"))).toDF("cut_id", "cut_text", "cut_ranges")
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, ranges: pd.Series) -> pd.Series:
+        """Null where nothing is cut."""
+        return pd.Series([None if r is None else left_over(t.encode(), list(r))[0].decode(errors="ignore") if len(r) else "" for t, r in zip(texts, ranges, strict=True)], dtype=object)
+
+    text = F.coalesce(docs["text"], F.lit(""))
+    joined = docs.join(verdicts.hint("merge"), (docs["doc_id"] == verdicts["cut_id"]) & (id_of(text) == verdicts["cut_text"]), "left")
+    # Not deterministic, as far as the planner knows: it shall not run the cut a second time for the filter.
+    left = cut.asNondeterministic()(F.when(F.col("cut_ranges").isNotNull(), text), F.col("cut_ranges"))
+    joined = joined.select(F.struct(*[docs[c] for c in docs.columns]).alias("cut_row"), left.alias("left_text")).where("left_text IS NULL OR " + f"rlike(left_text, r'{WORD}')")
+    row, changed = F.col("cut_row"), F.col("left_text").isNotNull()
+    new = {"text": F.coalesce("left_text", row["text"]), "n_chars": F.when(changed, F.length("left_text")).otherwise(row["n_chars"]) if "n_chars" in docs.columns else None}
+    return joined.select(*[(new[c] if c in new else row[c]).alias(c) for c in docs.columns])
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
