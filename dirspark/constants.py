@@ -117,14 +117,44 @@ NAME_HINTS = [
     (r"\b(medical|medicals|pharmac\w*|chemist|drug ?house|druggist)\b", "medical-stores-and-pharmacies"),
     (r"\b(hospital|clinic|nursing home|diagnostic|scan cent|polyclinic|dental)\b", "hospitals-and-clinics"),
     (r"\b(bakery|bakers|cake ?shop|sweets?|mithai|confection\w*)\b", "bakeries-and-sweets"),
+    (r"\b(restaurant|hotel ?&? ?restaurant|dhaba|biryani|tiffin|mess|cafe|caf[eé]|food ?court|canteen)\b", "restaurants-and-food"),
     (r"\b(kirana|general ?stores?|provision|super ?market|supermarket|grocery|grocers)\b", "grocery-and-kirana"),
     (r"\b(hardware|sanitary|plywood|building ?material|cement|paints?)\b", "hardware-stores"),
     (r"\b(electric\w*|electrical\w*)\b", "electrical-stores"),
+    (r"\b(electronics|home appliance|appliances)\b", "electronics-stores"),
     (r"\b(mobiles?|mobile ?shop|cell ?point|smart ?phone)\b", "mobile-stores"),
+    (r"\b(computers?|laptops?|systems? ?point)\b", "computer-and-laptop-stores"),
+    (r"\b(furniture|furnitures|sofa|mattress)\b", "furniture-stores"),
+    (r"\b(cloth\w*|garments?|textiles?|sarees?|boutique|fashions?|readymade)\b", "clothing-stores"),
+    (r"\b(footwear|shoes?|chappal)\b", "footwear-stores"),
+    (r"\b(jewell?ers?|jewell?ery|gold ?smith|silvers?)\b", "jewellery-stores"),
+    (r"\b(salon|saloon|beauty ?parlou?r|hair ?(cut|dress)\w*|spa)\b", "salons-and-spas"),
+    (r"\b(gym|fitness|yoga)\b", "beauty-and-wellness"),
+    (r"\b(petrol ?(pump|bunk)|filling ?station|fuel ?station|hp ?petrol|bharat ?petroleum)\b", "petrol-stations"),
+    (r"\b(tyres?|tyre ?works|battery|batteries)\b", "tyre-and-battery-stores"),
+    (r"\b(auto ?(mobiles?|works)|motors?|garage|servicing ?cent|denting|painting ?works)\b", "car-repair"),
+    (r"\b(school|vidyalaya|vidhyalaya|pathshala|convent)\b", "schools"),
+    (r"\b(college|university|institute of|polytechnic|junior ?college)\b", "colleges"),
+    (r"\b(coaching|tuitions?|academy|classes|study ?cent)\b", "tuition-and-coaching"),
     (r"\b(tailors?|tailoring|stitching|darzi)\b", "tailoring-and-boutiques"),
     (r"\b(xerox|photo ?copy|printers?|printing|stationery|book ?(shop|stall|store))\b", "printing-and-stationery"),
+    (r"\b(courier|cargo|packers|movers|logistics|parcel)\b", "courier-and-parcel-services"),
+    (r"\b(travels?|tours ?(and|&) ?travels?|tour ?operator)\b", "travel-services"),
+    (r"\b(real ?estate|properties|realtors?|builders?|constructions?|infra\w*)\b", "property-services"),
+    (r"\b(agencies|enterprises?|traders?|trading|distributors?|suppliers?|marketing)\b", "wholesale-businesses"),
+    (r"\b(industries|engineering ?works|fabrications?|manufacturers?|mills?)\b", "local-manufacturers"),
+    (r"\b(pet ?(shop|store|clinic)|aquarium|veterinary)\b", "pet-stores-and-pet-services"),
+    (r"\b(nursery|seeds?|fertili[sz]ers?|agro|agri\w*)\b", "agricultural-supplies"),
+    (r"\b(studio|photograph\w*|digital ?studio)\b", "event-services"),
+    (r"\b(consultan\w*|associates|advocates?|chartered ?account\w*|law ?firm)\b", "professional-services"),
 ]
 
+# Parts of names and addresses of sources that may never be used.
+DENYLIST = (
+    "google.com", "maps.google", "business.google", "googleapis.com/maps", "justdial", "indiamart", "facebook", "instagram", "linkedin", "sulekha", "zomato", "swiggy", "magicbricks", "99acres", "housing.com", "nobroker",
+    "tripadvisor", "yelp",
+)
+
 # Words by which a name already says what the place is.
 CATEGORY_WORD = (
     r"(medical|pharmac|chemist|clinic|hospital|dental|lab|hotel|restaurant|cafe|bakery|sweet|tiffin|mess|dhaba|kirana|super ?market|store|stores|mart|bazaar|traders?|agencies|hardware|electric|electronic|mobile|computer|furniture|"

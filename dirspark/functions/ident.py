@@ -15,7 +15,8 @@ def character(n: Column) -> Column:
 
 
 def base32(n: Column, width: int = WIDTH) -> Column:
-    """The last width digits of n, so larger numbers lose their first ones."""
+    """The width digits of n; a number that needs more, or is negative, raises an error rather than repeat another's."""
+    n = F.when((n >= 0) & (n < F.lit(1 << 5 * width)), n).when(n.isNotNull(), F.raise_error(F.concat(F.lit("no room for number "), n.cast("string"))).cast("long"))
     return F.concat(*[character(F.shiftright(n, 5 * i).bitwiseAND(31).cast("int")) for i in reversed(range(width))])
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dirspark import constants as C
+from dirspark.functions.geo import KM_PER_DEGREE, haversine
 from dirspark.functions.text import gram_similarity, labelled, tokens, trigrams
 from dirspark.operators.geography import within
-from dirspark.operators.relational import any_of, first_per_key, top_per_key, upsert
+from dirspark.operators.relational import any_of, first_per_key, fixed, top_per_key, upsert
 
 
 # names
@@ -176,8 +179,29 @@ def text_search(rows: DataFrame, query: str, limit: int = 20, offset: int = 0) -
     hits = rows.where(F.lit(bool(words)) & F.expr("true")).where(any_of([F.lit(False)]) if not words else where[0])
     for w in where[1:]:
         hits = hits.where(w)
-    hits = hits.withColumn("rank", rank).withColumn("n_found", F.count(F.lit(1)).over(Window.partitionBy()))
-    return hits.orderBy(F.col("rank").desc(), "external_id").offset(offset).limit(limit).drop("_a", "_b")
+    hits = hits.withColumn("rank", rank)
+    page = hits.orderBy(F.col("rank").desc(), "external_id").offset(offset).limit(limit).drop("_a", "_b")
+    return page.join(F.broadcast(hits.agg(F.count(F.lit(1)).alias("n_found"))))  # one number
+
+
+def radius_search(rows: DataFrame, query: str, lat: float, lon: float, km: float = 10.0, limit: int = 20, least: float = 0.35) -> DataFrame:
+    """Rows within km of a point that hold all words, by rank (4 in the name, 2 in category and locality), nearness and id; where none does, those with a similar name.
+
+    A box around the circle goes to the scan, so only what lies near is measured.
+    """
+    high = km / KM_PER_DEGREE
+    wide = high / max(math.cos(math.radians(min(abs(lat) + high, 89.0))), 1e-3)
+    near = rows.where(F.col("lat").between(lat - high, lat + high) & F.col("lon").between(lon - wide, lon + wide))
+    near = near.withColumn("d_km", haversine(F.lit(lat), F.lit(lon), F.col("lat"), F.col("lon"))).where(F.col("d_km") <= km)
+    words = [w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split() if w]
+    told = near.withColumns({"_a": tokens(F.col("display_name")), "_b": tokens(F.concat_ws(" ", "category", "locality"))})
+    rank = sum((F.when(F.array_contains("_a", w), 4).otherwise(0) + F.when(F.array_contains("_b", w), 2).otherwise(0) for w in words), F.lit(0))
+    hits = told.withColumn("rank", rank.cast("double"))
+    for w in words:
+        hits = hits.where(F.array_contains("_a", w) | F.array_contains("_b", w))
+    alike = told.withColumn("rank", gram_similarity(trigrams(F.col("display_name")), trigrams(F.lit(query)))).where(F.col("rank") >= least)
+    alike = alike.join(F.broadcast(hits.agg(F.count(F.lit(1)).alias("_n")))).where("_n = 0").drop("_n")
+    return hits.unionByName(alike).drop("_a", "_b").orderBy(F.col("rank").desc(), "d_km", "external_id").limit(limit)
 
 
 # enrichment
@@ -204,7 +228,10 @@ def purge_payloads(raw: DataFrame, as_of: str) -> DataFrame:
 def permanent_ids(rows: DataFrame, mint) -> DataFrame:
     """Ids for rows without one: numbers in the order of external_id go on from the largest. Ranges are numbered apart and moved by prefix sums."""
     todo = rows.where("number IS NULL").select("external_id")
-    parts = todo.repartitionByRange("external_id").sortWithinPartitions("external_id").withColumn("_p", F.spark_partition_id()).withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy("external_id")))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written once: the borders of the ranges come from a sample, and both uses must see the same.
+    parts = fixed(todo.repartitionByRange(n, "external_id").withColumn("_p", F.spark_partition_id()))
+    parts = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy("external_id")))
     sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
     last = rows.agg(F.coalesce(F.max("number"), F.lit(0)).alias("_last"))
@@ -214,9 +241,8 @@ def permanent_ids(rows: DataFrame, mint) -> DataFrame:
 
 
 # checks
-def violations(rows: DataFrame, codes: DataFrame, sources: DataFrame, exports: DataFrame, export_rows: DataFrame) -> DataFrame:
-    """check and violations: the directory's rules as counts that should be 0, in one pass over each table."""
-    denied = ("scrape", "crawler-dump", "denylisted")
+def violations(rows: DataFrame, codes: DataFrame, sources: DataFrame, exports: DataFrame, export_rows: DataFrame, leads: DataFrame) -> DataFrame:
+    """check and violations: the directory's rules as counts that should be 0, in one pass over each table. leads: external_id, consent."""
     count = lambda e: F.count_if(F.expr(e)).cast("long")
     by_row = {
         "business_has_source": "source IS NULL", "business_has_attribution": "attribution_text IS NULL", "no_self_verification": "coalesce(verification_status NOT IN ('unverified', 'source_verified'), false)", "nothing_claimed": "coalesce(claim_status <> 'unclaimed', false)",
@@ -226,7 +252,7 @@ def violations(rows: DataFrame, codes: DataFrame, sources: DataFrame, exports: D
     }
     by_code = {"centroid_moved_sanely": "centroid_offset_km > 100", "unverified_not_targetable": "centroid_src = 'unverified' AND targetable"}
     by_source = {
-        "no_denylisted_source": " OR ".join(f"contains(lower(slug), '{d}') OR contains(lower(coalesce(base_url, '')), '{d}')" for d in denied), "enabled_are_approved": "enabled AND status NOT IN ('approved', 'approved_with_restrictions')",
+        "no_denylisted_source": " OR ".join(f"contains(lower(slug), '{d}') OR contains(lower(coalesce(base_url, '')), '{d}')" for d in C.DENYLIST), "enabled_are_approved": "enabled AND status NOT IN ('approved', 'approved_with_restrictions')",
         "enabled_have_licence": "enabled AND licence_name IS NULL", "redistributable_have_attribution": "enabled AND redistribution_allowed AND attribution_text IS NULL",
     }
     by_export = {"exports_have_checksum": "status = 'complete' AND sha256 IS NULL", "exports_have_attribution": "status = 'complete' AND coalesce(attribution, '') = ''"}
@@ -237,9 +263,10 @@ def violations(rows: DataFrame, codes: DataFrame, sources: DataFrame, exports: D
 
     worst = rows.where("public_phone IS NOT NULL").groupBy("public_phone").count().agg(F.lit("phone_shared_by_few").alias("check"), F.count_if(F.col("count") > 3).cast("long").alias("violations"))
     held = export_rows.join(rows.where("tier = 'HELD'").select("external_id"), "external_id").agg(F.lit("held_never_exported").alias("check"), F.count(F.lit(1)).alias("violations"))
+    unasked = export_rows.join(leads.where("consent <> 'granted'").select("external_id"), "external_id").agg(F.lit("leads_never_exported").alias("check"), F.count(F.lit(1)).alias("violations"))
     personal = rows.sparkSession.createDataFrame([("no_personal_columns", sum(any(w in c.lower() for w in ("employer", "proprietor", "owner_name", "aadhaar", "pan_")) for c in rows.columns))], "check string, violations long")
     out = told(rows, by_row)
-    for more in (told(codes, by_code), told(sources, by_source), told(exports, by_export), worst, held, personal):
+    for more in (told(codes, by_code), told(sources, by_source), told(exports, by_export), worst, held, unasked, personal):
         out = out.unionByName(more)
     return out
 

@@ -10,26 +10,28 @@ from dirspark.functions.geo import KM_PER_DEGREE, cell, haversine, neighbours
 from dirspark.operators.relational import first_per_key, mode
 
 
-def nearest(probes: DataFrame, points: DataFrame, key: str, widths: tuple[float, ...] = (0.5, 2.0, 8.0)) -> DataFrame:
+def nearest(probes: DataFrame, points: DataFrame, key: str, widths: tuple[float, ...] = (0.5, 2.0, 8.0, 32.0, 360.0)) -> DataFrame:
     """Each probe (key, lat, lon) with its nearest point (point, p_lat, p_lon) and d_km; ties go to the smallest point.
 
     Points go to the 3 x 3 cells around them, so a probe meets all points within one cell's width by an equal
-    join. A result is final if it is nearer than that; other probes go on to wider cells. What is left at last, far from
-    everything, is compared with all points.
+    join. A result is final if it is nearer than that; other probes go on to wider cells, the last of which hold everything. Each width's
+    result is one aggregate, read from the same exchange by what is final and by what goes on. Probes and points without a position have no result.
+    Cells don't wrap at 180 degrees.
     """
-    open_, done = probes.select(key, F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), None
+    points = points.where("p_lat IS NOT NULL AND p_lon IS NOT NULL")
+    open_, done = probes.where("lat IS NOT NULL AND lon IS NOT NULL").select(key, F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), None
     d = haversine(F.col("_lat"), F.col("_lon"), F.col("p_lat"), F.col("p_lon"))
-    best = F.min_by(F.struct("point", "d_km"), F.struct("d_km", "point")).alias("best")
+    best = F.min_by(F.struct("point", "d_km"), F.when(F.col("point").isNotNull(), F.struct("d_km", "point"))).alias("best")
     for width in widths:
         spread = points.select("point", "p_lat", "p_lon", F.explode(neighbours(F.col("p_lat"), F.col("p_lon"), width)).alias("_cell"))
-        near = open_.withColumn("_cell", cell(F.col("_lat"), F.col("_lon"), width)).join(spread, "_cell").withColumn("d_km", d)
+        near = open_.withColumn("_cell", cell(F.col("_lat"), F.col("_lon"), width)).join(spread, "_cell", "left").withColumn("d_km", d)
         near = near.groupBy(key, "_lat", "_lon").agg(best)
-        sure = F.lit(width * KM_PER_DEGREE) * F.cos(F.radians(F.least(F.abs("_lat") + 2 * width, F.lit(89.0))))
-        final = near.where(F.col("best.d_km") <= sure)
+        reach = F.lit(width * KM_PER_DEGREE) * F.cos(F.radians(F.least(F.abs("_lat") + 2 * width, F.lit(89.0))))
+        sure = F.coalesce(F.col("best.d_km") <= reach, F.lit(False)) if width < widths[-1] else F.col("best").isNotNull()
+        final = near.where(sure)
         done = final if done is None else done.unionByName(final)
-        open_ = open_.join(final.select(key), key, "left_anti")
-    rest = open_.join(F.broadcast(points)).withColumn("d_km", d).groupBy(key, "_lat", "_lon").agg(best)
-    return done.unionByName(rest).select(key, "best.point", "best.d_km")
+        open_ = near.where(~sure).select(key, "_lat", "_lon")
+    return done.select(key, "best.point", "best.d_km")
 
 
 def nearest_by_all(probes: DataFrame, points: DataFrame, key: str) -> DataFrame:
@@ -42,13 +44,19 @@ def nearest_by_all(probes: DataFrame, points: DataFrame, key: str) -> DataFrame:
 def within(left: DataFrame, right: DataFrame, km: float, extra: Column | None = None, how: str = "left_semi") -> DataFrame:
     """Semi, anti or inner join of rows (lat, lon) with rows (r_lat, r_lon) within km and, if given, extra.
 
-    Cells are wide enough for km at 60 degrees; the right side goes to the 3 x 3 cells around, so the join is an equal one.
+    Cells are wide enough for km at 60 degrees; the right side goes to the 3 x 3 cells around, so the join is an equal one. Nearer to the
+    poles rows are dealt by latitude alone.
     """
     width = max(2 * km / KM_PER_DEGREE, 1e-4)
-    spread = right.withColumn("_cell", F.explode(neighbours(F.col("r_lat"), F.col("r_lon"), width)))
-    condition = (F.col("_own") == F.col("_cell")) & (haversine(F.col("lat"), F.col("lon"), F.col("r_lat"), F.col("r_lon")) <= km)
-    out = left.withColumn("_own", cell(F.col("lat"), F.col("lon"), width)).join(spread, condition if extra is None else condition & extra, how)
-    return out.drop("_own", "_cell")
+    near = haversine(F.col("lat"), F.col("lon"), F.col("r_lat"), F.col("r_lon")) <= km
+
+    def met(rows: DataFrame, others: DataFrame, lon: Column, r_lon: Column) -> DataFrame:
+        spread = others.withColumn("_cell", F.explode(neighbours(F.col("r_lat"), r_lon, width)))
+        condition = (F.col("_own") == F.col("_cell")) & near
+        return rows.withColumn("_own", cell(F.col("lat"), lon, width)).join(spread, condition if extra is None else condition & extra, how).drop("_own", "_cell")
+
+    polar = F.coalesce(F.abs("lat") > 60 - width / 2, F.lit(False))
+    return met(left.where(~polar), right, F.col("lon"), F.col("r_lon")).unionByName(met(left.where(polar), right.where(F.abs("r_lat") > 60 - width), F.lit(0.0), F.lit(0.0)))
 
 
 def collapse_codes(offices: DataFrame) -> DataFrame:

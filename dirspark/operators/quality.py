@@ -31,12 +31,13 @@ def hide_phone(rows: DataFrame, when: Column) -> DataFrame:
 def suppress_shared(rows: DataFrame, limit: int = SHARE_LIMIT, only_valid: bool = False) -> DataFrame:
     """A number on more than limit rows is kept in phone_raw, marked shared_number and no longer public.
 
-    Counts are aggregated before they are shuffled, and only shared numbers are joined back, so the rows
-    of a number that half the table has stay where they are.
+    Counts are aggregated before they are shuffled, and only shared numbers are joined back, to rows that have a number: rows
+    without one go past the join, so no null key gathers them. A number that many rows have is left to the planner's skew join.
     """
     counted = rows.where(F.col("public_phone").isNotNull() & (F.col("phone_status").isin(*VALID) if only_valid else F.lit(True)))
     shared = counted.groupBy("public_phone").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select("public_phone", F.lit(True).alias("_shared"))
-    out = rows.join(shared, "public_phone", "left")
+    some = F.col("public_phone").isNotNull()
+    out = rows.where(some).join(shared, "public_phone", "left").select(*rows.columns, "_shared").unionByName(rows.where(~some).withColumn("_shared", F.lit(None).cast("boolean")))
     old_raw = F.col("phone_raw") if "phone_raw" in rows.columns else F.lit(None).cast("string")
     old_status = F.col("phone_status") if "phone_status" in rows.columns else F.lit(None).cast("string")
     out = out.withColumns({"phone_raw": F.when(F.col("_shared"), F.coalesce(old_raw, "public_phone")).otherwise(old_raw), "phone_status": F.when(F.col("_shared"), "shared_number").otherwise(old_status)})

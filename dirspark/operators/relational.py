@@ -72,3 +72,21 @@ def record_filter(codes: list[str] | None = None, city: str | None = None, distr
     conditions += [F.col(c).isin(v) for c, v in (("category", categories), ("tier", tiers)) if v]
     conditions += [F.col(c) >= v for c, v in (least or {}).items()]
     return all_of(conditions)
+
+
+def fixed(df: DataFrame) -> DataFrame:
+    """df written once to the checkpoint folder that all executors share; a local one only where none is set."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/dirspark-checkpoints")
+    return df.checkpoint()
+
+
+def arbitrary_per_key(rows: DataFrame, key: str, column: str) -> DataFrame:
+    """One value of column for each key: the smallest that isn't null, so that reruns agree."""
+    return rows.groupBy(key).agg(F.min(column).alias(column))
+
+
+def missing_keys(required: DataFrame, present: DataFrame, key: str) -> DataFrame:
+    """The required keys that are not present, each once."""
+    return required.select(key).where(F.col(key).isNotNull()).distinct().join(present.select(key).distinct(), key, "left_anti")

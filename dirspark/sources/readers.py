@@ -13,14 +13,26 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from dirspark import constants as C
+from dirspark.functions.contact import looks_residential
 from dirspark.functions.geo import BOX
 
 # Tag values that make a place a business, prefixes and keys of tags that are kept, and kinds of places.
-AMENITIES = ("restaurant", "cafe", "fast_food", "bar", "pub", "pharmacy", "clinic", "hospital", "dentist", "doctors", "veterinary", "bank", "fuel", "school", "college", "university", "kindergarten", "car_wash", "car_rental", "cinema")
-TOURISM = ("hotel", "guest_house", "hostel", "motel", "apartment", "resort")
-LEISURE = ("fitness_centre", "sports_centre", "dance")
+AMENITIES = (
+    "restaurant", "cafe", "fast_food", "bar", "pub", "ice_cream", "food_court", "biergarten", "pharmacy", "clinic", "hospital", "doctors", "dentist", "veterinary", "nursing_home",
+    "bank", "bureau_de_change", "atm", "fuel", "charging_station", "car_wash", "car_rental", "driving_school", "school", "college", "university", "kindergarten", "language_school",
+    "music_school", "library", "cinema", "theatre", "nightclub", "marketplace", "internet_cafe", "coworking_space", "post_office", "courier", "money_transfer", "payment_centre",
+    "vehicle_inspection", "training", "childcare", "studio", "photo_booth", "printer",
+)
+TOURISM = ("hotel", "guest_house", "motel", "hostel", "apartment", "chalet", "resort")
+LEISURE = ("fitness_centre", "sports_centre", "swimming_pool", "dance", "gym", "spa", "amusement_arcade", "bowling_alley", "escape_game", "adult_gaming_centre")
 KEPT_PREFIXES = ("addr:", "contact:", "payment:", "service:", "diet:")
-KEPT_KEYS = ("name", "brand", "operator", "shop", "amenity", "office", "craft", "healthcare", "tourism", "leisure", "cuisine", "phone", "mobile", "email", "website", "url", "opening_hours", "building", "level", "ref")
+KEPT_KEYS = (
+    "name", "name:en", "name:hi", "name:te", "int_name", "alt_name", "old_name", "brand", "brand:wikidata", "operator", "operator:type", "shop", "amenity", "office", "craft",
+    "healthcare", "healthcare:speciality", "tourism", "leisure", "club", "cuisine", "phone", "mobile", "email", "website", "url", "fax", "opening_hours", "opening_hours:covid19",
+    "delivery", "takeaway", "drive_through", "outdoor_seating", "wheelchair", "internet_access", "air_conditioning", "smoking", "organic", "second_hand", "self_service", "wholesale",
+    "building", "building:levels", "level", "description", "note", "source", "check_date", "survey:date", "start_date", "ref", "gst:number", "website:menu", "facebook", "instagram",
+    "whatsapp", "payment:cash", "stars", "rooms", "capacity", "denomination",
+)
 PLACE_KINDS = ("city", "town", "municipality", "suburb", "village", "neighbourhood", "quarter", "hamlet", "locality", "isolated_dwelling")
 ENCODINGS = ("utf-8-sig", "cp1252", "latin-1")
 
@@ -49,24 +61,44 @@ def postal_tsv(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("code", "place", "state", "district", "mandal", F.col("lat").try_cast("double").alias("lat"), F.col("lon").try_cast("double").alias("lon"), F.monotonically_increasing_id().alias("seq"))
 
 
-@pandas_udf(T.StringType())
-def decoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    def one(raw: bytes) -> str:
-        for encoding in ENCODINGS:
-            try:
-                return raw.decode(encoding)
-            except UnicodeDecodeError:
-                continue
-        raise AssertionError("latin-1 decodes anything")
+def decoded(raw: bytes) -> str:
+    for encoding in ENCODINGS:
+        try:
+            return raw.decode(encoding)
+        except UnicodeDecodeError:
+            continue
+    raise AssertionError("latin-1 decodes anything")
 
-    for part in parts:
-        yield part.map(one, na_action="ignore")
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, seq and record (trimmed values by trimmed header, empty ones left out) of CSV files in UTF-8 or a western encoding.
+
+    Each file is decoded and read by itself, with its own header; quoted values may hold line breaks. Row -1 of a file has the place of each
+    name in its header. Files should be of register size: one is read whole. A line longer than the header loses what goes beyond it.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+        import io
+
+        for part in parts:
+            for file, content in zip(part["path"], part["content"], strict=True):
+                lines = csv.reader(io.StringIO(decoded(content), newline=""))
+                header = [x.strip() for x in next(lines, [])]
+                rows = [{h: v.strip() for h, v in zip(header, line, strict=False) if h and v.strip()} for line in lines if any(x.strip() for x in line)]
+                rows.insert(0, {h: str(i) for i, h in enumerate(header) if h})
+                for at in range(0, len(rows), 10_000):
+                    some = rows[at : at + 10_000]
+                    yield pd.DataFrame({"file": [file] * len(some), "seq": range(at - 1, at - 1 + len(some)), "record": some})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "file string, seq long, record map<string,string>")
 
 
 def csv_any_encoding(spark: SparkSession, path: str) -> DataFrame:
-    """CSV files in UTF-8 or a western encoding, each decided by itself; trimmed headers and values. Files should be of register size, not larger."""
-    lines = spark.read.format("binaryFile").load(path).select(F.explode(F.split(decoded("content"), "\r?\n")).alias("line")).where("line <> ''")
-    return trimmed(spark.read.option("header", True).csv(lines.rdd.map(lambda r: r.line)))
+    """The same as columns: one for each name that a header of a file has, in the order of the headers. Only names come to the driver."""
+    rows = csv_records(spark, path)
+    names = rows.where("seq < 0").select(F.explode("record").alias("name", "place")).groupBy("name").agg(F.min(F.col("place").cast("int")).alias("place")).orderBy("place", "name").collect()
+    return rows.where("seq >= 0").select(*[F.col("record")[r.name].alias(r.name) for r in names])
 
 
 def trimmed(df: DataFrame) -> DataFrame:
@@ -107,10 +139,13 @@ def kept_tags(tags: Column) -> Column:
 
 
 def register_activities(df: DataFrame, column: str = "activities") -> DataFrame:
-    """First activity's description and code from a JSON list, and whether the address looks like a home."""
+    """First activity's description and code from a JSON list, and, where there is an address, whether it looks like a home."""
     items = F.from_json(column, "array<struct<Description:string,NIC5DigitId:string>>")
     first = F.try_element_at(items, F.lit(1))
-    return df.withColumns({"trade": first["Description"], "trade_code": first["NIC5DigitId"]})
+    told = {"trade": first["Description"], "trade_code": first["NIC5DigitId"]}
+    if "address" in df.columns:
+        told["residential"] = F.coalesce(looks_residential(F.col("address")), F.lit(False))
+    return df.withColumns(told)
 
 
 def catalogue_files(catalogue: DataFrame, wanted: list[str], each: int) -> DataFrame:

@@ -21,8 +21,8 @@ def geojson_lines(records: DataFrame) -> DataFrame:
     return records.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_records(records: DataFrame, path: str, form: str, single_file: bool = True) -> None:
-    """csv, jsonl, json or geojson. single_file keeps the one-file contract of hand-sized bundles; turn it off at scale."""
+def write_records(records: DataFrame, path: str, form: str, single_file: bool = False) -> None:
+    """csv, jsonl, json or geojson. single_file is for hand-sized bundles that must be one file."""
     ordered = export_order(records)
     one = (lambda d: d.coalesce(1)) if single_file else (lambda d: d)
     if form == "csv":
@@ -56,7 +56,8 @@ def manifest(records: DataFrame, excluded: DataFrame, as_of: str) -> str:
 
 
 def attribution(records: DataFrame) -> str:
-    return "\n".join(records.first().asDict().get("attribution_text") or []) if "attribution_text" in records.columns else ""
+    """The distinct attribution lines of all records, sorted: a line for each source."""
+    return "\n".join(manifest_values(records).first().attribution_text or [])
 
 
 def ledger(records: DataFrame, export_id: str, sha256: str) -> tuple[DataFrame, DataFrame]:
