@@ -31,7 +31,8 @@ LONGEST = max(f[3] for f in FILTERS)
 LEVELS = (-0.4, 0.05, 0.4)
 GRAY = (0, 1, 3, 2)
 MOST_ERRORS = 0.25
-LEAST_FRAMES = 4
+#: Fewer frames would align by chance: 8 have 256 bits, of which 64 may differ.
+LEAST_FRAMES = 8
 #: Frames in a block of queries or classes, about, and pairs of equal frames that are counted at once.
 BLOCK_FRAMES, STEP_HITS = 1 << 21, 1 << 20
 
@@ -223,34 +224,46 @@ def match_recordings(recordings: DataFrame, is_query: str) -> DataFrame:
     return out.select("rec_id", "n_frames", "class_id", F.expr(f"coalesce({is_query}, false)").alias("is_query"), F.coalesce("n_matches", F.lit(0)).alias("n_matches"), F.col("m.query_class").alias("best_query"), F.col("m.offset").alias("best_offset"), F.col("m.bit_errors").alias("bit_errors"), F.crc32("prints").alias("prints_crc32"))
 
 
-def vector_recordings(vectors: DataFrame, seconds: float = 1.6) -> DataFrame:
-    """A short recording of each vector (vec_id, embedding): its values in turn choose notes, which sound one after another.
+def vector_recordings(vectors: DataFrame) -> DataFrame:
+    """A recording of each vector (vec_id, embedding): the tune of its hundred (ids that agree but for the last two digits), behind
+    an intro of its own and with its own hiss.
 
-    The driver's tables hold no audio; this makes real samples, and near vectors sound alike.
+    The driver's tables hold no audio; this makes real samples with a known truth: recordings of one hundred align, at an
+    offset of twice the difference of their ids modulo 5. Null and empty vectors are silent recordings without samples, null ids have a tune of their own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part, sounds = batch.slice(at, 64), []
-                for x in part.column(1):
+                for i, x in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                     v = np.zeros(0) if not x.is_valid else np.nan_to_num(np.array(x.values.fill_null(0.0), dtype=np.float64))
-                    sounds.append(melody(v, seconds))
+                    sounds.append(take(-1 if i is None else i, v))
                 yield pa.record_batch([part.column(0).cast(pa.int64()), pa.array(sounds, pa.list_(pa.float32()))], ["rec_id", "samples"])
 
     return vectors.select("vec_id", "embedding").mapInArrow(run, "rec_id long, samples array<float>")
 
 
-def melody(v: np.ndarray, seconds: float, rate: int = RATE) -> np.ndarray:
-    """Sixteen notes; each of four values gives one voice: the sign and size choose among seven steps."""
+def notes(steps: np.ndarray, samples: int, rate: int = RATE) -> np.ndarray:
+    """Chords of tones (rows of semitones above 220 Hz), each so many samples long."""
+    t = np.arange(samples) / rate
+    return np.sin(2 * np.pi * 220.0 * 2 ** (steps[:, :, None] / 12) * t).sum(axis=1).reshape(-1)
+
+
+@lru_cache(maxsize=64)
+def tune(hundred: int, length: int = 16) -> np.ndarray:
+    return notes(np.random.default_rng(hundred % (1 << 63)).integers(0, 24, (length, 3)), RATE // 8)
+
+
+def take(ident: int, v: np.ndarray) -> np.ndarray:
+    """The intro's notes follow the signs of all values of the vector, and its values, stretched over the whole, are the hiss."""
     if not len(v):
         return np.zeros(0, dtype=np.float32)
-    v = np.resize(v, 64).reshape(16, 4)
-    steps = np.clip(np.round(v / 0.08), -6, 6).astype(int)
-    n = int(seconds * rate) // 16
-    t = np.arange(n) / rate
-    hz = 220.0 * 2 ** ((steps + np.array([0, 7, 12, 16])) / 12)
-    return np.sin(2 * np.pi * hz[:, :, None] * t).sum(axis=1).astype(np.float32).reshape(-1)
+    beats = ident % 5
+    steps = np.array([[np.abs(part).argmax() % 12, (part > 0).sum() % 24] for part in np.array_split(np.resize(v, max(len(v), 5)), 5)])[:beats]
+    whole = np.concatenate([notes(steps, 2 * HOP), tune(ident // 100)]) if beats else tune(ident // 100)
+    hiss = np.interp(np.arange(len(whole)) * 0.37 % len(v), np.arange(len(v)), v)
+    return (whole + 0.3 * hiss).astype(np.float32)
 
 
 def op10_audio(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -246,13 +246,32 @@ def test_index_finds_what_brute_force_finds(spark):
     prints = {i: audio.fingerprint(audio.chroma(x)) for i, x in rows}
     df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in rows], "rec_id long, samples array<float>")
     got = {r.rec_id: r.n_matches for r in audio.match_recordings(df, "rec_id % 50 = 0").collect()}
-    want = hit = 0
-    for i, p in prints.items():
-        for q in (0, 50):
-            if q != i and (prints[q] != p).any() and np.bitwise_count(prints[q] ^ p).sum() <= audio.MOST_ERRORS * 32 * len(p):
-                want += 1
-        hit += got[i]
-    assert want and hit >= 0.9 * want
+    want = {i: sum(q != i and (prints[q] != p).any() and aligned_at_any_offset(prints[q], p) for q in (0, 50)) for i, p in prints.items()}
+    assert sum(want.values()) and sum(min(got[i], want[i]) for i in prints) >= 0.9 * sum(want.values()) and all(got[i] <= want[i] for i in prints)
+
+
+def aligned_at_any_offset(a, b):
+    for offset in range(-len(a), len(b) + 1):
+        x, y = a[max(0, -offset) :], b[max(0, offset) :]
+        n = min(len(x), len(y))
+        if n >= audio.LEAST_FRAMES and np.bitwise_count(x[:n] ^ y[:n]).sum() <= audio.MOST_ERRORS * 32 * n:
+            return True
+    return False
+
+
+def test_vector_recordings_align_with_their_hundred(spark):
+    """Recall against all offsets, right offsets, and no strangers."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.1, 64)]) for i in range(300)] + [(300, None), (301, []), (None, [0.5] * 70)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    recordings = audio.vector_recordings(df)
+    prints = {r.rec_id: np.frombuffer(r.prints, "<u4") for r in audio.prints_of(recordings).collect() if r.rec_id is not None and r.n_frames}
+    got = {r.rec_id: r for r in audio.match_recordings(recordings, "rec_id % 50 = 0").collect()}
+    want = {i: sum(aligned_at_any_offset(prints[q], p) for q in range(0, 300, 50) if q != i) for i, p in prints.items()}
+    assert len(got) == 303 and len(prints) == 300 and sum(want.values()) >= 500
+    assert sum(min(got[i].n_matches, want[i]) for i in prints) >= 0.9 * sum(want.values())
+    right = [got[i].best_query // 100 == i // 100 and got[i].best_offset == 2 * (i % 5 - got[i].best_query % 5) for i in prints if got[i].best_query is not None]
+    assert sum(right) >= 0.95 * len(right) and got[300].class_id is None and got[301].n_frames == 0
 
 
 def brute_alignments(prints, queries):
