@@ -1,7 +1,7 @@
 """MinHash near-dedup with bottom-k sketches from one hash function.
 
 A document's set of shingle hashes is kept as its K smallest values, in order (their first 32 bits). Documents with
-equal sets are one class. Inverted lists of retained values generate candidates: the key of a list is two values that
+equal sets (equal size and 128 bits of two hashes of the set) are one class, a node. Inverted lists of retained values generate candidates: the key of a list is two values that
 follow each other among the LISTED smallest. Two sets of similarity 0.75 or more share such a pair unless no two neighbours
 among the LISTED smallest values of their union are common (chance below 1e-15; for sets that their sketches
 hold whole, never), while documents that only have a common line or passage seldom do.
@@ -33,6 +33,8 @@ BLOCK = 4096
 PERCENT = 75
 #: Pairs whose estimate lies so many standard deviations below 0.75 aren't verified.
 DEVIATIONS = 6.5
+#: Lists that are broadcast at most, of two numbers each; more meet their members in a shuffle.
+MOST_BROADCAST = 1 << 20
 #: Bytes of text hashed at once.
 STEP_BYTES = 1 << 20
 TOP = np.uint32(0xFFFFFFFF)
@@ -53,27 +55,30 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def set_id(s: np.ndarray) -> int:
-    """One number for a set: equal for equal sets."""
-    both = np.array([s.sum(dtype=np.uint64), np.bitwise_xor.reduce(s) if len(s) else 0, len(s)], dtype=np.uint64)
-    return int(mixed((mixed(both + PLACES[:3]) * PLACES[3:6]).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
+SET_KEY = ["set_id", "set_check", "n_shingles"]
+
+
+def set_ids(s: np.ndarray) -> tuple[int, int]:
+    """Two numbers for a set, by different sums over its hashes: equal for equal sets."""
+    both = np.array([s.sum(dtype=np.uint64), np.bitwise_xor.reduce(s) if len(s) else 0, len(s), mixed(s * PLACES[9]).sum(dtype=np.uint64)], dtype=np.uint64)
+    one = lambda k: int(mixed((mixed(both + PLACES[k : k + 4]) * PLACES[k + 4 : k + 8]).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
+    return one(10), one(20)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id (null for empty sets), sketch and text_id (a hash of the text) of each row."""
+    """doc_id, n_shingles, set_id and set_check (null for empty sets), sketch and text_id (a hash of the text) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in in_steps(batch):
                 sets = shingle_sets(texts)
-                ids = [set_id(s) if len(s) else None for s in sets]
-                yield pa.record_batch(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.array([(s[:K] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets], pa.binary()), batch.column(2).slice(a, b - a)],
-                    ["doc_id", "n_shingles", "set_id", "sketch", "text_id"],
-                )
+                first, second = zip(*(set_ids(s) if len(s) else (None, None) for s in sets), strict=True)
+                sketch = [(s[:K] >> np.uint64(32)).astype(np.uint32).tobytes() for s in sets]
+                columns = [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(sketch, pa.binary()), batch.column(2).slice(a, b - a)]
+                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_id", "set_check", "sketch", "text_id"])
 
     rows = docs.select("doc_id", "text", F.xxhash64(text_of()).alias("text_id"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_id long, sketch binary, text_id long")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_id long, set_check long, sketch binary, text_id long")
 
 
 def keys_of(sketch: np.ndarray) -> np.ndarray:
@@ -82,7 +87,7 @@ def keys_of(sketch: np.ndarray) -> np.ndarray:
 
 
 def postings(reps: DataFrame) -> DataFrame:
-    """A row for each key of each set: key, set_id, n_shingles."""
+    """A row for each key of each set: key, node, n (its size)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,16 +95,23 @@ def postings(reps: DataFrame) -> DataFrame:
             counts = [len(x) for x in keys]
             if sum(counts):
                 repeat = lambda c: np.repeat(np.asarray(batch.column(c)), counts)  # noqa: B023, E731
-                yield pa.record_batch([signed(np.concatenate(keys)), pa.array(repeat(0)), pa.array(repeat(1).astype(np.int32))], ["key", "set_id", "n"])
+                yield pa.record_batch([signed(np.concatenate(keys)), pa.array(repeat(0)), pa.array(repeat(1).astype(np.int32))], ["key", "node", "n"])
 
-    return reps.select("set_id", "n_shingles", "sketch").mapInArrow(run, "key long, set_id long, n int")
+    return reps.select("node", "n_shingles", "sketch").mapInArrow(run, "key long, node long, n int")
 
 
 def first_pairs(lists: DataFrame) -> DataFrame:
-    """From sorted lists: pairs (a, b) of each member with the first two, key null; and for lists of over three, each member with its key in a."""
+    """From sorted lists: pairs (a, b) of each member with the first two, key null; and for lists of over three, each member (in a) with its key.
+
+    A list may be cut by the border of two tasks. Each then pairs what it has, and members of a task's first and last list are always told, so that later rounds
+    see the whole list.
+    """
+
+    def told(members: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(members), pa.array(members), pa.array(keys)], ["a", "b", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_key, seen, heads = None, 0, np.zeros((3, 2), dtype=np.int64)
+        open_key, seen, heads, in_first = None, 0, np.zeros((3, 2), dtype=np.int64), True
         for batch in batches:
             key, node, n = (np.asarray(batch.column(i)).astype(np.int64) for i in range(3))
             if not len(key):
@@ -130,8 +142,14 @@ def first_pairs(lists: DataFrame) -> DataFrame:
             keys = np.concatenate([np.tile(key[starts[long_runs]], 3), key[place >= 3]])
             none = pa.nulls(pairs.shape[1], pa.int64())
             yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1]), none], ["a", "b", "key"])
-            yield pa.record_batch([pa.array(members), pa.array(members), pa.array(keys)], ["a", "b", "key"])
+            yield told(members, keys)
+            if in_first and len(starts) > 1:
+                in_first, size = False, int(place[starts[1] - 1]) + 1
+                if size <= 3:
+                    yield told(head[:size, 0, 0], np.full(size, key[0]))
             open_key, seen, heads = key[-1], int(place[-1]) + 1, head[:, -1]
+        if open_key is not None and seen <= 3:
+            yield told(heads[:seen, 0], np.full(seen, open_key))
 
     return lists.mapInArrow(run, "a long, b long, key long")
 
@@ -164,7 +182,7 @@ def union_estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs that pass the union-sketch estimate, with it."""
-    of = lambda c: reps.select(F.col("set_id").alias(c), F.col("sketch").alias(f"s{c}"), F.col("n_shingles").alias(f"n{c}"))
+    of = lambda c: reps.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}"), F.col("n_shingles").alias(f"n{c}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,21 +196,21 @@ def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def fetch_sets(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """set_id and the whole set of each node, from the text of one document that has it."""
-    ids = settle(nodes.join(reps.select(F.col("set_id").alias("node"), "pick"), "node").select("pick", "node"), "wanted")
+    """The whole set of each node, from the text of one document that has it."""
+    ids = settle(nodes.join(reps.select("node", "pick", "set_id", "set_check"), "node").select("pick", "node", "set_id", "set_check"), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in in_steps(batch):
                 sets = shingle_sets(texts)
-                got = [set_id(s) for s in sets]
-                keep = [i for i, (g, w) in enumerate(zip(got, batch.column(0).slice(a, b - a).to_pylist(), strict=True)) if g == w]
-                yield pa.record_batch([pa.array([got[i] for i in keep], pa.int64()), pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["node", "whole"])
+                wanted = zip(*(batch.column(k).slice(a, b - a).to_pylist() for k in (2, 3)), strict=True)
+                keep = [i for i, (s, w) in enumerate(zip(sets, wanted, strict=True)) if set_ids(s) == w]
+                yield pa.record_batch([batch.column(0).slice(a, b - a).take(pa.array(keep, pa.int64())), pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["node", "whole"])
 
     # A repeated doc_id may bring its other texts along: those have other sets. Equal texts bring the set twice; those without an id are taken once.
     no_id = docs.where("doc_id IS NULL").select(F.xxhash64(text_of()).alias("pick"), "text").dropDuplicates(["pick"])
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("pick"), "text").union(no_id)
-    found = texts.join(ids, "pick").select("node", "text").mapInArrow(run, "node long, whole binary")
+    found = texts.join(ids, "pick").select("node", "text", "set_id", "set_check").mapInArrow(run, "node long, whole binary")
     return settle(found, "sets")
 
 
@@ -221,7 +239,7 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
     dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label")
-    rows = dealt.join(reps.select(F.col("set_id").alias("node"), F.col("n_shingles").alias("n"), "sketch"), "node").select("key", "low", "high", "block", "node", "label", "n", "sketch")
+    rows = dealt.join(reps.select("node", F.col("n_shingles").alias("n"), "sketch"), "node").select("key", "low", "high", "block", "node", "label", "n", "sketch")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def pairs_of(key: tuple, in_block: list, nodes: list, labels: list, sizes: list, sk: list) -> Iterator[pa.RecordBatch]:
@@ -287,23 +305,30 @@ def near_duplicates(docs: DataFrame, with_text_id: bool = False) -> DataFrame:
     """
     rows = settle(sketches(docs).drop("sketch"), "rows")
     # One row stands for each set, picked by its id, or by its text where only rows without an id have the set. Sketches are made again for these rather than kept for all.
-    firsts = rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.coalesce(F.min("doc_id"), F.min("text_id")).alias("pick"))
+    firsts = rows.where("set_id IS NOT NULL").groupBy(*SET_KEY).agg(F.coalesce(F.min("doc_id"), F.min("text_id")).alias("pick"))
+    firsts = settle(firsts.withColumn("node", F.monotonically_increasing_id()), "firsts")
     sketched = sketches(docs).withColumn("pick", F.coalesce("doc_id", "text_id")).drop("doc_id", "text_id")
-    reps = settle(sketched.join(settle(firsts, "firsts"), ["pick", "set_id"]).dropDuplicates(["set_id"]), "reps")
+    reps = settle(sketched.join(firsts, ["pick", *SET_KEY]).dropDuplicates(["node"]), "reps")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = settle(first_pairs(postings(reps).repartition(n, "key").sortWithinPartitions("key", "set_id")), "pairs")
+    # Ranges of key and node, so a key with a third of all members is many tasks.
+    found = settle(first_pairs(postings(reps).repartitionByRange(n, "key", "node").sortWithinPartitions("key", "node")), "pairs")
     pairs = settle(estimated(found.where("key IS NULL").select("a", "b").distinct(), reps), "estimated")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = fetch_sets(nodes, reps, docs)
     labels = linked(pairs, sets, None)
     members = found.where("key IS NOT NULL").select("key", F.col("a").alias("node")).join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    members = settle(members, "members")
     open_lists = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y").select("key", "size")
+    open_lists = settle(open_lists, "lists")
+    if open_lists.count() <= MOST_BROADCAST:  # members then stay where they are until their blocks are dealt
+        open_lists = F.broadcast(open_lists)
     late = settle(across(members.join(open_lists, "key"), reps).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "late")
     if not late.isEmpty():
         nodes = late.select(F.col("a").alias("node")).union(late.select("b")).distinct()
         more = sets.unionByName(fetch_sets(nodes.join(sets.select("node"), "node", "left_anti"), reps, docs))
         labels = linked(late, more, labels)
-    named = rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", "n_shingles", "text_id", F.coalesce("label", "set_id").alias("label"))
+    classes = firsts.join(labels, "node", "left").select(*SET_KEY, F.coalesce("label", "node").alias("label"))
+    named = rows.join(classes, SET_KEY, "left").select("doc_id", "n_shingles", "text_id", "label")
     smallest = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest"))
     out = named.join(smallest, "label", "left").select("doc_id", "n_shingles", *["text_id"] * with_text_id, F.coalesce("smallest", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))

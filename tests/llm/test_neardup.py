@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from dirspark.llm import neardup
 from dirspark.llm.neardup import near_duplicates
@@ -97,7 +98,7 @@ def test_bits_that_coincide_lose_no_link(spark):
     assert lists
     for w, v, longer, x in lists:
         rows = [(i, n, values) for i, (n, values) in enumerate([(3, v), (4, x)])]
-        reps = spark.createDataFrame([(i, n, values.tobytes()) for i, n, values in rows], "set_id long, n_shingles long, sketch binary")
+        reps = spark.createDataFrame([(i, n, values.tobytes()) for i, n, values in rows], "node long, n_shingles long, sketch binary")
         key = int(neardup.keys_of(v)[:1].view(np.int64)[0])
         members = spark.createDataFrame([(key, i, i, 2) for i in range(2)], "key long, node long, label long, size long")
         assert [(r.a, r.b, r.j) for r in neardup.across(members, reps).collect()] == [(0, 1, 0.75)]
@@ -111,3 +112,12 @@ def test_rows_without_id_link(spark):
     rows = [(5, near[0]), (None, near[1]), (None, near[1]), (9, near[2]), (None, apart[0]), (None, apart[1]), (None, apart[1] + " z")]
     got = run(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert got == brute(rows) and [r[2:] for r in got if r[0] == 9] == [(5, False)]
+
+
+def test_a_list_that_task_borders_cut_is_told_whole(spark):
+    """Members of a common key, in more tasks than one: each is told with its key, once."""
+    rows = [(5, i, 10) for i in range(10)] + [(1, 100, 10), (1, 101, 10), (9, 200, 10), (9, 201, 10), (7, 300, 10)]
+    lists = spark.createDataFrame(rows, "key long, node long, n int").repartitionByRange(6, "key", "node").sortWithinPartitions("key", "node")
+    assert lists.select(F.spark_partition_id().alias("p"), "key").where("key = 5").select("p").distinct().count() > 1
+    told = [(r.key, r.a) for r in neardup.first_pairs(lists).where("key IS NOT NULL").collect()]
+    assert len(told) == len(set(told)) and {a for k, a in told if k == 5} == set(range(10))
