@@ -4,8 +4,8 @@ A byte-level BPE file gives bytes for tokens and ranks for merges. Encoding is l
 byte position the last token of the encoding of everything before it is unique, and a token may
 follow another exactly if no merge crosses the border between them. So one token is kept for each
 position, and all positions that later text can still build on lie within the longest token of the
-end. As soon as their chains agree on a border, everything before it is stable and is emitted.
-How far behind the end that border can lie follows from the merge list (sufficient_lookahead).
+end. How many bytes behind a border can decide on it follows from the merge list (sufficient_lookahead): tokens are
+emitted as soon as so many bytes behind them are known, and no more than about twice as many are held.
 
 Text comes in chunks of any size. Splitting into words needs a few characters of lookahead, and
 a word of any length is fed to the transducer in parts, so memory doesn't grow with the text.
@@ -166,7 +166,8 @@ class WordTransducer:
 
     def __init__(self, merges: Merges):
         self.m, self.held, self.token = merges, b"", [-1]
-        self.check_at = 4 * merges.longest
+        self.lookahead = merges.sufficient_lookahead()
+        self.check_at = 2 * self.lookahead
 
     def feed(self, part: bytes) -> list[int]:
         m, held, token = self.m, self.held + part, self.token
@@ -191,17 +192,14 @@ class WordTransducer:
         return out
 
     def _emit(self) -> list[int]:
-        """Ids before the last border that all living positions share."""
+        """Ids before the last border that has the sufficient lookahead behind it: no later byte can change them."""
         n = len(self.held)
-        common = set(self._chain(n))
-        for end in range(max(1, n - self.m.longest + 1), n):
-            common &= set(self._chain(end))
-        border = max(common)
+        border = next(end for end in self._chain(n) if end <= n - self.lookahead)
         out = self._ids(border)
         # What comes next may merge across no border that is kept, so the token before it stays known.
         last = self.token[border]
         self.held, self.token = self.held[border:], [last if border else self.token[0], *self.token[border + 1 :]]
-        self.check_at = len(self.held) + 4 * self.m.longest
+        self.check_at = len(self.held) + self.lookahead
         return out
 
     def _ids(self, end: int) -> list[int]:
@@ -246,7 +244,7 @@ class Encoder:
     SHORT = 64
 
     def __init__(self, merges: Merges):
-        self.m = merges
+        self.m, self.lookahead = merges, merges.sufficient_lookahead()
         self.word_ids = Memo(self.encode_word, self.REMEMBERED // 4)
         self.stretches = Memo(self._stretch_ids, self.REMEMBERED)
         self.reset()
@@ -255,9 +253,9 @@ class Encoder:
         self.text, self.open, self.kind = "", None, ""
 
     def encode_word(self, word: str) -> bytes:
-        """A long word goes through the streaming transducer; a short one lies within the lookahead as a whole."""
+        """A word longer than the lookahead streams; before the end of a shorter one nothing is certain, so it is taken whole."""
         data = word.encode()
-        if len(data) > self.SHORT:
+        if len(data) > self.lookahead:
             t = WordTransducer(self.m)
             return self._ids(t.feed(data) + t.finish())
         id_of, bytes_of, may_follow, longest = self.m.id_of, self.m.bytes_of, self.m.may_follow, self.m.longest

@@ -1,9 +1,12 @@
+import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from dirspark.llm import bpe
 from dirspark.llm.bpe import Decoder, Encoder, merges_of, tokenizer_path
 
 
@@ -52,3 +55,29 @@ def test_memory_stays_within_the_lookahead(merges):
         t.feed("".join(rng.choice("theandio") for _ in range(100)).encode())
         most = max(most, len(t.held))
     assert look < 100_000 and most <= 4 * merges.longest + look + 100
+
+
+def test_emission_by_lookahead_equals_the_library():
+    """Words longer than the lookahead, fed in parts: the same ids, and a bounded number of bytes held."""
+    m, library, rng = bpe.merges_of(bpe.tokenizer_path()), Tokenizer.from_file(bpe.tokenizer_path()), random.Random(7)
+    for k in range(30):
+        word = ["".join(rng.choice("abth") for _ in range(1500)), "ing" * rng.randrange(200, 600), "".join(rng.choice("é日本ñ") for _ in range(500)), "-" * rng.randrange(300, 900) + "=" * 300][k % 4]
+        t, data, out, at = bpe.WordTransducer(m), word.encode(), [], 0
+        while at < len(data):
+            end = at + rng.randrange(1, 200)
+            out += t.feed(data[at:end])
+            at = end
+            assert len(t.held) <= 3 * t.lookahead + 200
+        assert out + t.finish() == library.encode(word, add_special_tokens=False).ids
+
+
+def test_digests_of_every_kind_of_row(docs, no_docs):
+    library = Tokenizer.from_file(bpe.tokenizer_path())
+
+    def want(r):
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        return r.doc_id, len(ids), hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(), hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+    got = Counter(map(tuple, bpe.digests(docs).collect()))
+    assert got == Counter(map(want, docs.collect())) and bpe.digests(no_docs).count() == 0
+    assert bpe.encode_rows(no_docs).count() == 0
