@@ -187,7 +187,7 @@ def test_warc_files_and_headers(spark):
 # tool calls
 def test_calls(spark):
     calls = [
-        (1, "c", 3, "search", '{"query":"x","after":"$a"}'), (1, "a", 5, "search", '{"query":"é","n":1}'), (1, "b", 1, "summarise", '{"words": 9, "after": "$c"}'), (1, "b", 2, "summarise", "{}"), (1, None, 4, "search", "nope"),
+        (1, "c", 3, "search", '{"query":"x","after":["$a"]}'), (1, "a", 5, "search", '{"query":"é","n":1}'), (1, "b", 1, "summarise", '{"words": 9, "after": ["$c"]}'), (1, "b", 2, "summarise", "{}"), (1, None, 4, "search", "nope"),
         (2, "p", 1, "search", '{"query":"$q"}'), (2, "q", 2, "search", '{"query":"$p"}'), (2, "r", 3, "other", "{}"), (None, "z", 1, "summarise", '{"words": 3}'), (1, "d", 9, None, None),
     ]
     results = [(1, "a", 6, "late"), (1, "a", 4, "too early"), (1, "a", 8, "later"), (2, "p", 9, None), (3, "c", 9, "elsewhere"), (1, "b", 7, "ok"), (1, None, 9, "x")]
