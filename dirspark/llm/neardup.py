@@ -257,7 +257,11 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
         # Values that fall on a bit another value of the set has: so many common ones may not show at most.
         hidden = held_values - bits.sum(axis=1)
         bits = np.packbits(bits, axis=1).view(np.uint64)
-        this = np.array([key[0]]).view(np.uint64)[0]
+        # Numbers of the keys that come before this list's in each member, and one more for none: keys have the same order in all sketches.
+        known, number = np.unique(keys, return_inverse=True)
+        here = (keys == np.array([key[0]]).view(np.uint64)[0]).argmax(axis=1)
+        before = np.where(np.arange(LISTED) < here[:, None], number.reshape(keys.shape), len(known)).astype(np.int32)
+        marked = np.zeros(len(known) + 1, dtype=bool)
         for i in range(len(node) - 1):
             j = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & ((block[i + 1 :] != block[i]) | (not two)) & (100 * np.minimum(size[i + 1 :], size[i]) >= PERCENT * np.maximum(size[i + 1 :], size[i])))
             for at in range(0, len(j), 4096):
@@ -270,8 +274,9 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
                 if not len(part):
                     continue
                 # Each pair in its first common list only.
-                held = np.isin(keys[part], keys[i][keys[i] != 0])
-                first = keys[part, held.argmax(axis=1)] == this
+                marked[before[i, : here[i]]] = True
+                first = ~marked[before[part]].any(axis=1)
+                marked[before[i, : here[i]]] = False
                 part, least = part[first], least[first]
                 if len(part):
                     estimate = union_estimate(np.repeat(values[i : i + 1], len(part), axis=0), values[part])
@@ -294,7 +299,6 @@ def across(members: DataFrame, reps: DataFrame) -> DataFrame:
     return rows.repartition(n, *order).sortWithinPartitions(*order, "node").mapInArrow(run, "a long, b long, j double").dropDuplicates(["a", "b"])
 
 
-
 def near_duplicates(docs: DataFrame, with_text_id: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of docs.
 
