@@ -210,7 +210,8 @@ def fetch_sets(nodes: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     # A repeated doc_id may bring its other texts along: those have other sets. Equal texts bring the set twice; those without an id are taken once.
     no_id = docs.where("doc_id IS NULL").select(F.xxhash64(text_of()).alias("pick"), "text").dropDuplicates(["pick"])
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("pick"), "text").union(no_id)
-    found = texts.join(ids, "pick").select("node", "text", "set_id", "set_check").mapInArrow(run, "node long, whole binary")
+    # The same join at every size: the sets that are wanted grow with the input.
+    found = texts.join(ids.hint("merge"), "pick").select("node", "text", "set_id", "set_check").mapInArrow(run, "node long, whole binary")
     return settle(found, "sets")
 
 
