@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from dirspark.llm import audio, bpe, mixing, neardup, quality, suffixes, tokencounts, tokenfiles, toolcalls, warc
+from dirspark.llm import alignment, audio, bpe, mixing, neardup, phrases, quality, suffixes, tokencounts, tokenfiles, toolcalls, toxicity, warc
 
 
 def queries() -> dict[str, Callable]:
@@ -19,6 +19,9 @@ def queries() -> dict[str, Callable]:
         "op8_quality": quality.op8_quality,
         "op9_tool_calls": toolcalls.op9_tool_calls,
         "op10_audio": audio.op10_audio,
+        "op11_toxicity": toxicity.op11_toxicity,
+        "op12_alignment": alignment.op12_alignment,
+        "op13_phrases": phrases.op13_phrases,
     }
 
 
@@ -28,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc": warc.ORACLE,
         "op8_quality": quality.ORACLE,
         "op9_tool_calls": toolcalls.ORACLE,
+        "op13_phrases": phrases.ORACLE,
     }
