@@ -26,7 +26,7 @@ from dirspark.llm.common import documents, settle, table, text_of
 #: Rows of each class and windows of each row that training sees at most.
 SAMPLE, WINDOWS = 1500, 24
 WINDOW, STRIDE = 64, 32
-STATE, INPUT, ATTENTION = 16, 24, 16
+STATE, INPUT, ATTENTION = 16, 16, 16
 WORD_ROWS, GRAM_ROWS = 1 << 15, 1 << 16
 GRAMS = range(3, 6)
 ROUNDS, BATCH, RATE, SEED = 6, 64, 0.005, 7
@@ -41,8 +41,8 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of all words' character n-grams one after another, and where each word's begin, and the end."""
+def grams(words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each length, the rows of all words' character n-grams in the words' order, and the words that they belong to."""
     marked = ["^" + w + "$" for w in words]
     text = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + np.uint64(1)
     sizes = np.array([len(w) for w in marked])
@@ -57,9 +57,18 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             rows.append(((x ^ (x >> np.uint64(32))) % np.uint64(GRAM_ROWS)).astype(np.int64))
             owners.append(of[at])
-    rows, owners = np.concatenate(rows), np.concatenate(owners)
-    order = np.argsort(owners, kind="stable")
-    return rows[order], np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(words)))])
+    return rows, owners
+
+
+def grams_by_word(words: list[str], together: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of each word's n-grams, word after word, and where each word's begin, and the end."""
+    found, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for a in range(0, len(words), together):
+        rows, owners = grams(words[a : a + together])
+        rows, owners = np.concatenate(rows), np.concatenate(owners)
+        found.append(rows[np.argsort(owners, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(owners, minlength=len(words[a : a + together])))
+    return np.concatenate(found), np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int64)
 
 
 def word_rows(words: list[str]) -> np.ndarray:
@@ -88,9 +97,13 @@ class Network:
         return cls(words, grams_, draw(INPUT, 6 * STATE), np.zeros(6 * STATE, np.float32), draw(2, STATE, 3 * STATE), draw(2 * STATE, ATTENTION), draw(ATTENTION), draw(2 * STATE), np.array([np.log(prior / (1 - prior))], np.float32))
 
     def word_inputs(self, words: list[str]) -> np.ndarray:
-        rows, begin = grams(words)
-        sums = np.add.reduceat(self.grams[rows], begin[:-1], axis=0) if len(words) else np.zeros((0, INPUT), np.float32)
-        return self.words[word_rows(words)] + sums / np.diff(begin)[:, None]
+        sums, n = np.zeros((len(words), INPUT), np.float32), np.zeros(len(words))
+        for rows, owners in zip(*grams(words), strict=True) if words else ():
+            begin = np.flatnonzero(np.diff(owners, prepend=-1))
+            if len(begin):
+                sums[owners[begin]] += np.add.reduceat(self.grams[rows], begin, axis=0)
+                n += np.bincount(owners, minlength=len(words))
+        return self.words[word_rows(words)] + sums / n[:, None]
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         return (x @ self.inputs + self.bias).astype(np.float32)
@@ -196,24 +209,21 @@ def train(texts: list[list[list[str]]], labels: np.ndarray, weights: np.ndarray,
     net = Network.new(seed, float(np.clip((labels * weights).sum() / weights.sum(), 0.01, 0.99)))
     vocabulary = sorted({w for windows in texts for x in windows for w in x})
     number = {w: i + 1 for i, w in enumerate(vocabulary)}
-    gram_rows, gram_begin = grams(vocabulary) if vocabulary else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+    gram_rows, gram_begin = grams_by_word(vocabulary)
     own_rows = word_rows(vocabulary)
     of = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
-    words, mask = np.zeros((len(of), WINDOW), np.int64), np.zeros((len(of), WINDOW), np.float32)
+    words, mask = np.zeros((len(of), WINDOW), np.int32), np.zeros((len(of), WINDOW), np.float32)
     for i, x in enumerate(w for windows in texts for w in windows):
         words[i, : len(x)], mask[i, : len(x)] = [number[w] for w in x], 1
     first = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
     adam, rng = Adam(net, RATE), np.random.default_rng(seed)
 
-    def gates() -> np.ndarray:
-        x = np.zeros((len(vocabulary) + 1, INPUT), np.float32)
-        if vocabulary:
-            x[1:] = net.words[own_rows] + np.add.reduceat(net.grams[gram_rows], gram_begin[:-1], axis=0) / np.diff(gram_begin)[:, None]
-        return x
-
     for turn in range(rounds):
-        inputs = net.gates(gates())
+        inputs = np.zeros((len(vocabulary) + 1, 6 * STATE), np.float32)
+        for a in range(0, len(vocabulary), 4096):
+            inputs[a + 1 : a + 4097] = net.gates(net.word_inputs(vocabulary[a : a + 4096]))
         scores = np.concatenate([net.run(inputs, words[a : a + TOGETHER], mask[a : a + TOGETHER])[0] for a in range(0, len(of), TOGETHER)])
+        del inputs
         worst = np.array([a + np.argmax(scores[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)])
         any_one = first[:-1] + (rng.random(len(texts)) * np.diff(first)).astype(np.int64)
         # a clean text's windows are all clean; of a toxic one only the worst is known to be, but at first no worst one is known
@@ -321,7 +331,8 @@ def sampled(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[list[list[
     y = np.array([r.toxic for r in rows], dtype=np.float32)
     total = sum(classes.values())
     share = {int(k): (n / total) / max(1, int((y == k).sum())) for k, n in classes.items()}
-    return [[w.split(" ") if w else [] for w in r.windows] for r in rows], y, np.array([share[int(v)] * len(rows) for v in y], dtype=np.float32)
+    one: dict[str, str] = {}
+    return [[[one.setdefault(x, x) for x in w.split(" ")] if w else [] for w in r.windows] for r in rows], y, np.array([share[int(v)] * len(rows) for v in y], dtype=np.float32)
 
 
 def held_out(doc_id: Column) -> Column:
