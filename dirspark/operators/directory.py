@@ -11,7 +11,7 @@ from dirspark import constants as C
 from dirspark.functions.geo import KM_PER_DEGREE, haversine
 from dirspark.functions.text import gram_similarity, labelled, tokens, trigrams
 from dirspark.operators.geography import within
-from dirspark.operators.relational import any_of, first_per_key, fixed, top_per_key, upsert
+from dirspark.operators.relational import any_of, components, first_per_key, fixed, top_per_key, upsert
 
 
 # names
@@ -33,8 +33,15 @@ def resolved_names(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 # duplicates
 def new_by_phone(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Incoming rows whose phone no existing row has."""
-    return incoming.join(existing.where("public_phone IS NOT NULL").select("public_phone").distinct(), "public_phone", "left_anti")
+    """Incoming rows whose phone no existing row has. Rows without a phone go past the join."""
+    return without_phones(incoming, existing)
+
+
+def without_phones(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows but for those whose phone is among the others'. Null phones would all meet in one task of the join, so they don't take part."""
+    known = others.where("public_phone IS NOT NULL").select("public_phone").distinct()
+    told = rows.where("public_phone IS NOT NULL").join(known, "public_phone", "left_anti")
+    return told.select(*rows.columns).unionByName(rows.where("public_phone IS NULL"))
 
 
 def by_name_and_place(incoming: DataFrame, existing: DataFrame, km: float = 0.15, least: float = 0.55, how: str = "left_anti") -> DataFrame:
@@ -47,7 +54,68 @@ def by_name_and_place(incoming: DataFrame, existing: DataFrame, km: float = 0.15
     return within(left, right, km, gram_similarity(F.col("_grams"), F.col("_r_grams")) > least, how).drop("_grams")
 
 
+def duplicate_links(rows: DataFrame, km: float = 0.15, least: float = 0.55) -> DataFrame:
+    """Links (a, b) of rows that are one business, by two causes: one phone, or a similar name nearby. Rows of a phone are linked to its smallest id, not to each other."""
+    phones = rows.where("public_phone IS NOT NULL").select("external_id", "public_phone")
+    by_phone = phones.join(phones.groupBy("public_phone").agg(F.min("external_id").alias("b")), "public_phone").select(F.col("external_id").alias("a"), "b")
+    told = rows.where("canonical_name <> ''").select("external_id", "lat", "lon", "canonical_name")
+    # rows of one name at one position are linked to the smallest of them, and that one meets the others
+    spots = told.groupBy("lat", "lon", "canonical_name").agg(F.min("external_id").alias("b"))
+    at_spot = told.join(spots, ["lat", "lon", "canonical_name"]).select(F.col("external_id").alias("a"), "b")
+    left = spots.select(F.col("b").alias("a"), "lat", "lon", trigrams(F.col("canonical_name")).alias("_grams"))
+    right = spots.select("b", F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"), trigrams(F.col("canonical_name")).alias("_r_grams"))
+    by_place = within(left, right, km, (F.col("a") > F.col("b")) & (gram_similarity(F.col("_grams"), F.col("_r_grams")) > least), "inner").select("a", "b")
+    return by_phone.unionByName(at_spot).unionByName(by_place).where("a <> b").distinct()
+
+
+def merged_duplicates(rows: DataFrame, km: float = 0.15, least: float = 0.55) -> DataFrame:
+    """external_id, survivor and merged_into of each row: links of both causes, and the pointers that rows already have, are followed to their ends.
+
+    The survivor of a group is its most complete row, then the most confident, then the one with the smallest id; merged_into is the survivor for all others and null for itself. Rows without
+    a duplicate survive by themselves. A pointer to an id that no row has still joins those that share it.
+    """
+    old = rows.where("merged_into IS NOT NULL").select(F.col("external_id").alias("a"), F.col("merged_into").alias("b"))
+    labels = components(duplicate_links(rows, km, least).unionByName(old.where("a <> b")))
+    told = rows.select("external_id", "completeness_score", "confidence_score").join(labels.withColumnRenamed("node", "external_id"), "external_id", "left").withColumn("label", F.coalesce("label", "external_id"))
+    order = F.struct((-F.coalesce("completeness_score", F.lit(-1))).alias("x"), (-F.coalesce("confidence_score", F.lit(-1))).alias("y"), F.col("external_id").alias("survivor"))
+    best = told.groupBy("label").agg(F.min(order)["survivor"].alias("survivor"))
+    return told.join(best, "label").select("external_id", "survivor", F.when(F.col("survivor") != F.col("external_id"), F.col("survivor")).alias("merged_into"))
+
+
 # registers
+def similar_names(left: DataFrame, right: DataFrame, least: float = 0.55) -> DataFrame:
+    """Pairs (area, l_name, r_name, similarity) of names of one area whose trigrams are at least so similar; both sides have area and name.
+
+    No radius and no comparison of all with all: trigrams are ordered by how rare they are, and two names as similar as that share one of the first few of either
+    (all but least times their number, and one more), so names meet by an equal join on those, if their numbers of trigrams allow the similarity. Equal names are one row.
+    """
+    def sized(rows: DataFrame, side: str) -> DataFrame:
+        named = rows.where("area IS NOT NULL AND name IS NOT NULL").select("area", "name").distinct().withColumn("grams", trigrams(F.col("name"))).where("size(grams) > 0")
+        return named.select(F.lit(side).alias("side"), "area", "name", "grams")
+
+    names = sized(left, "l").unionByName(sized(right, "r"))
+    each = names.select("side", "area", "name", F.explode("grams").alias("gram"))
+    counts = each.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    ordered = each.join(counts, "gram").groupBy("side", "area", "name").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("x")).select("side", "area", "name", F.col("x.gram").alias("grams"), F.size("x").alias("size"))
+    # 1e-9: what least times a number is as a double may lie above the whole number that it stands for
+    first = ordered.withColumn("gram", F.explode(F.slice("grams", F.lit(1), (F.col("size") - F.ceil(F.lit(least) * F.col("size") - 1e-9) + 1).cast("int"))))
+    one = lambda side: first.where(F.col("side") == side).select("area", "gram", F.col("name").alias(f"{side}_name"), F.col("grams").alias(f"{side}_grams"), F.col("size").alias(f"{side}_size"))
+    fits = (F.col("l_size") >= F.col("r_size") * least - 1e-9) & (F.col("r_size") >= F.col("l_size") * least - 1e-9)
+    pairs = one("l").join(one("r"), ["area", "gram"]).where(fits).withColumn("similarity", gram_similarity(F.col("l_grams"), F.col("r_grams"))).where(F.col("similarity") >= least)
+    return pairs.select("area", "l_name", "r_name", "similarity").distinct()
+
+
+def fuzzy_registry_matches(rows: DataFrame, register: DataFrame, least: float = 0.7, least_length: int = 8) -> DataFrame:
+    """external_id with the register's entry of the most similar name in the same district; of equal ones the smallest registry_id. registry_score is the similarity."""
+    told = rows.where(F.length("canonical_name") >= least_length).select("external_id", F.lower("district").alias("area"), F.col("canonical_name").alias("name"))
+    entries = register.select("registry_id", "trade", F.lower("district").alias("area"), F.col("canonical_name").alias("name"))
+    first = entries.groupBy("area", "name").agg(F.min(F.struct("registry_id", "trade")).alias("entry"))
+    pairs = similar_names(told, entries, least).join(first.withColumnRenamed("name", "r_name"), ["area", "r_name"])
+    best = pairs.groupBy("area", "l_name").agg(F.min(F.struct((-F.col("similarity")).alias("far"), F.col("entry.registry_id").alias("registry_id"), F.col("entry.trade").alias("trade"))).alias("x"))
+    found = told.join(best.withColumnRenamed("l_name", "name"), ["area", "name"])
+    return found.select("external_id", F.col("x.registry_id").alias("registry_match_id"), F.col("x.trade").alias("registry_trade"), (-F.col("x.far")).alias("registry_score"))
+
+
 def registry_matches(rows: DataFrame, register: DataFrame, least_length: int = 8) -> DataFrame:
     """external_id with the smallest registry_id of an entry of the same canonical name in the same district."""
     left = rows.where(F.length("canonical_name") >= least_length).select("external_id", "canonical_name", F.lower("district").alias("_d"))
@@ -90,7 +158,7 @@ def leads(rows: DataFrame, gaps: DataFrame, existing: DataFrame, suppressed: Dat
         "freshness": F.when(c("freshness_score") >= 50, 10).when(c("freshness_score").isNull(), 0).otherwise(3), "coverage_gap": F.least(F.coalesce("gap", F.lit(0)) * 5, F.lit(25)).cast("int"),
     }
     open_ = rows.where("tier <> 'HELD' AND code IS NOT NULL AND category IS NOT NULL").where(F.lit(True) if extra is None else extra)
-    open_ = open_.join(existing.select("external_id"), "external_id", "left_anti").join(suppressed.select("public_phone"), "public_phone", "left_anti")
+    open_ = without_phones(open_.join(existing.select("external_id"), "external_id", "left_anti"), suppressed)
     chosen = open_.withColumn("_order", parts["phone"] + kind + F.when(c("code_confidence") >= 0.90, 20).otherwise(0)).orderBy(c("_order").desc(), "external_id").limit(limit)
     chosen = chosen.join(gaps.select("code", "category", "gap"), ["code", "category"], "left").withColumns({f"_{k}": v.cast("int") for k, v in parts.items()})
     total = sum((c(f"_{k}") for k in parts), F.lit(0))
@@ -184,8 +252,8 @@ def text_search(rows: DataFrame, query: str, limit: int = 20, offset: int = 0) -
     return page.join(F.broadcast(hits.agg(F.count(F.lit(1)).alias("n_found"))))  # one number
 
 
-def radius_search(rows: DataFrame, query: str, lat: float, lon: float, km: float = 10.0, limit: int = 20, least: float = 0.35) -> DataFrame:
-    """Rows within km of a point that hold all words, by rank (4 in the name, 2 in category and locality), nearness and id; where none does, those with a similar name.
+def radius_search(rows: DataFrame, query: str, lat: float, lon: float, km: float = 10.0, limit: int = 20, least: float = 0.3) -> DataFrame:
+    """Rows within km of a point that hold all words, by rank (4 in the name, 2 in category and locality), nearness and id; where none does and the query has four characters or more, those with a similar name.
 
     A box around the circle goes to the scan, so only what lies near is measured.
     """
@@ -199,6 +267,8 @@ def radius_search(rows: DataFrame, query: str, lat: float, lon: float, km: float
     hits = told.withColumn("rank", rank.cast("double"))
     for w in words:
         hits = hits.where(F.array_contains("_a", w) | F.array_contains("_b", w))
+    if len(query) < 4:
+        return hits.drop("_a", "_b").orderBy(F.col("rank").desc(), "d_km", "external_id").limit(limit)
     alike = told.withColumn("rank", gram_similarity(trigrams(F.col("display_name")), trigrams(F.lit(query)))).where(F.col("rank") >= least)
     alike = alike.join(F.broadcast(hits.agg(F.count(F.lit(1)).alias("_n")))).where("_n = 0").drop("_n")
     return hits.unionByName(alike).drop("_a", "_b").orderBy(F.col("rank").desc(), "d_km", "external_id").limit(limit)

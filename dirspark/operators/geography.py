@@ -2,36 +2,44 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dirspark import constants as C
-from dirspark.functions.geo import KM_PER_DEGREE, cell, haversine, neighbours
+from dirspark.functions.geo import EARTH_KM, KM_PER_DEGREE, WIDEST, cell, cube_key, cubes, haversine, neighbours, on_sphere
 from dirspark.operators.relational import first_per_key, mode
 
 
-def nearest(probes: DataFrame, points: DataFrame, key: str, widths: tuple[float, ...] = (0.5, 2.0, 8.0, 32.0, 360.0)) -> DataFrame:
+def nearest(probes: DataFrame, points: DataFrame, key: str) -> DataFrame:
     """Each probe (key, lat, lon) with its nearest point (point, p_lat, p_lon) and d_km; ties go to the smallest point.
 
-    Points go to the 3 x 3 cells around them, so a probe meets all points within one cell's width by an equal
-    join. A result is final if it is nearer than that; other probes go on to wider cells, the last of which hold everything. Each width's
-    result is one aggregate, read from the same exchange by what is final and by what goes on. Probes and points without a position have no result.
-    Cells don't wrap at 180 degrees.
+    Space is halved into cubes, on the sphere's own coordinates, so nothing has to wrap. The smallest cube that holds the probe and a point, of edge w, has that point within
+    w * sqrt(3) < 2 w, so the nearest one lies in the 3 x 3 x 3 cubes of edge 2 w around the probe: cells are small where points are dense, and one
+    equal join by cube finds all candidates. Cubes that the sphere doesn't pass through, or that lie farther than that point can, are left out before the join. Points at one position
+    count once. Probes and points without a position have no result.
     """
-    points = points.where("p_lat IS NOT NULL AND p_lon IS NOT NULL")
-    open_, done = probes.where("lat IS NOT NULL AND lon IS NOT NULL").select(key, F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), None
-    d = haversine(F.col("_lat"), F.col("_lon"), F.col("p_lat"), F.col("p_lon"))
-    best = F.min_by(F.struct("point", "d_km"), F.when(F.col("point").isNotNull(), F.struct("d_km", "point"))).alias("best")
-    for width in widths:
-        spread = points.select("point", "p_lat", "p_lon", F.explode(neighbours(F.col("p_lat"), F.col("p_lon"), width)).alias("_cell"))
-        near = open_.withColumn("_cell", cell(F.col("_lat"), F.col("_lon"), width)).join(spread, "_cell", "left").withColumn("d_km", d)
-        near = near.groupBy(key, "_lat", "_lon").agg(best)
-        reach = F.lit(width * KM_PER_DEGREE) * F.cos(F.radians(F.least(F.abs("_lat") + 2 * width, F.lit(89.0))))
-        sure = F.coalesce(F.col("best.d_km") <= reach, F.lit(False)) if width < widths[-1] else F.col("best").isNotNull()
-        final = near.where(sure)
-        done = final if done is None else done.unionByName(final)
-        open_ = near.where(~sure).select(key, "_lat", "_lon")
-    return done.select(key, "best.point", "best.d_km")
+    x = [F.col(c) for c in ("_x", "_y", "_z")]
+    points = points.where("p_lat IS NOT NULL AND p_lon IS NOT NULL").groupBy("p_lat", "p_lon").agg(F.min("point").alias("point"))
+    told = points.select("point", "p_lat", "p_lon", F.inline(cubes(on_sphere(F.col("p_lat"), F.col("p_lon")))))
+    rows = probes.where("lat IS NOT NULL AND lon IS NOT NULL").select(key, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    sphere = on_sphere(F.col("_lat"), F.col("_lon"))
+    smallest = rows.select(key, "_lat", "_lon", F.inline(cubes(sphere))).join(told.select("cube").distinct(), "cube", "left_semi").groupBy(key, "_lat", "_lon").agg(F.max("level").alias("level"))
+    block = smallest.withColumns({"level": F.greatest(F.col("level") - 1, F.lit(0)), **dict(zip(("_x", "_y", "_z"), sphere, strict=True))}).withColumn("_w", F.lit(WIDEST) / F.pow(F.lit(2.0), "level"))
+    steps = F.array(*[F.struct(*[F.lit(d).alias(a) for d, a in zip(step, "ijk", strict=True)]) for step in itertools.product((-1, 0, 1), repeat=3)])
+    block = block.withColumn("_step", F.explode(steps))
+    indexes = [F.floor(c / F.col("_w")).cast("long") + F.col(f"_step.{a}") for c, a in zip(x, "ijk", strict=True)]
+    middles = [(i + 0.5) * F.col("_w") for i in indexes]
+    apart = sum(F.pow(F.greatest(F.abs(c - m) - F.col("_w") / 2, F.lit(0.0)), F.lit(2.0)) for c, m in zip(x, middles, strict=True))
+    from_centre = F.sqrt(sum(F.pow(m - WIDEST / 2, F.lit(2.0)) for m in middles))
+    half_diagonal = math.sqrt(3) / 2 * F.col("_w") * 1.000001
+    block = block.where((apart <= F.pow(half_diagonal, F.lit(2.0))) & (F.abs(from_centre - EARTH_KM) <= half_diagonal))
+    near = block.select(key, "_lat", "_lon", cube_key(F.col("level"), indexes).alias("cube")).join(told, "cube")
+    near = near.withColumn("d_km", haversine(F.col("_lat"), F.col("_lon"), F.col("p_lat"), F.col("p_lon")))
+    best = near.groupBy(key, "_lat", "_lon").agg(F.min(F.struct("d_km", "point")).alias("best"))
+    return best.select(key, "best.point", "best.d_km")
 
 
 def nearest_by_all(probes: DataFrame, points: DataFrame, key: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -75,13 +76,41 @@ def record_filter(codes: list[str] | None = None, city: str | None = None, distr
 
 
 def fixed(df: DataFrame) -> DataFrame:
-    """df written once to the checkpoint folder that all executors share; a local one only where none is set."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/dirspark-checkpoints")
+    """df written once to the checkpoint folder that all executors share."""
+    shared_root(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that all executors share (spark.checkpoint.dir); a local one only where none is set, as in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/dirspark-checkpoints"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
+    return root
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below it."""
+    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node and label, the smallest node reachable, for all nodes of links(a, b).
+
+    Each round a node takes the smallest label next to it, and then its label's own label, so paths halve. Rounds are checkpointed.
+    """
+    both = fixed(links.select("a", "b").union(links.select("b", "a")).toDF("node", "near").distinct())
+    labels = fixed(both.groupBy("node").agg(F.min("near").alias("m")).select("node", F.least("node", "m").alias("label")))
+    while True:
+        near = both.join(labels.select(F.col("node").alias("near"), F.col("label").alias("m")), "near").groupBy("node").agg(F.min("m").alias("m"))
+        lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        done = fixed(lower.join(jump, "label", "left").select("node", "old", F.coalesce(F.least("label", "further"), "label").alias("label")))
+        labels = done.select("node", "label")
+        if done.where("label <> old").isEmpty():
+            return labels
+
+
 def arbitrary_per_key(rows: DataFrame, key: str, column: str) -> DataFrame:
     """One value of column for each key: the smallest that isn't null, so that reruns agree."""
     return rows.groupBy(key).agg(F.min(column).alias(column))

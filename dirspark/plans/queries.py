@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dirspark import constants as C
 from dirspark.functions import contact, geo, ident, text
-from dirspark.operators import categorise, directory, geography, quality, relational
+from dirspark.operators import categorise, directory, geography, quality, relational, searchindex
 from dirspark.plans.entity import AS_OF, ENTITY, entity, read
 from dirspark.sources import readers
 from dirspark.streaming import incremental
@@ -121,13 +121,6 @@ def name_rules(spark, sf):
     return categorise.mark_utilities(categorise.fold_name_rules(rows)).select("external_id", "category", "subcategory", "business_type")
 
 
-@query("o9_script_rules", "SELECT doc_id, CASE WHEN regexp_matches(text, 'ß|ü') THEN 'german' WHEN regexp_matches(text, 'ñ|ó') THEN 'spanish' WHEN regexp_matches(text, 'ê|ç') THEN 'french' ELSE lang END AS category FROM documents")
-def script_rules(spark, sf):
-    rows = read(spark, sf, "documents").select("doc_id", F.col("text").alias("display_name"), F.col("lang").alias("category"), F.lit("").alias("subcategory"), F.lit("").alias("business_type"))
-    rules = [("ê|ç", "french", "", ""), ("ñ|ó", "spanish", "", ""), ("ß|ü", "german", "", "")]
-    return categorise.fold_name_rules(rows, C.SCRIPT_RULES + rules, ignore_case=False).select("doc_id", "category")
-
-
 #: SQL that Spark and the oracle share: a name with two of the trade words that the script rules know, or with fewer.
 SCRIPT_WORDS = "|".join(r[0] for r in C.SCRIPT_RULES)
 SCRIPT_NAME = f"concat(display_name, ' ', split_part('{SCRIPT_WORDS}', '|', CAST(1 + k % 160 AS INT)), ' ', split_part('{SCRIPT_WORDS}', '|', CAST(1 + k * 7 % 310 AS INT)))"
@@ -293,7 +286,9 @@ def share(spark, sf):
 
 @query("w3_page", "SELECT o_orderkey, count(*) OVER () AS n FROM orders WHERE o_totalprice > 200000 ORDER BY o_orderkey LIMIT 20 OFFSET 40")
 def page(spark, sf):
-    return read(spark, sf, "orders").where("o_totalprice > 200000").select("o_orderkey", F.count(F.lit(1)).over(Window.partitionBy()).alias("n")).orderBy("o_orderkey").offset(40).limit(20)
+    rows = read(spark, sf, "orders").where("o_totalprice > 200000").select("o_orderkey")
+    total = rows.agg(F.count(F.lit(1)).alias("n"))  # counted where the rows are, not by a window in one task
+    return rows.orderBy("o_orderkey").offset(40).limit(20).join(F.broadcast(total))
 
 
 @query("w4_first_per_key", "SELECT c_nationkey, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer) WHERE r = 1")
@@ -747,7 +742,7 @@ def radius_found(spark, sf):
     return directory.radius_search(entity(spark, sf), "hotel furniture", 20.0, 80.0, 900.0).select("external_id", F.round("d_km", 6).alias("d_km"), "rank")
 
 
-@query("g7_radius_fallback", f"$ENTITY, e AS (SELECT entity.*, {HAVERSINE.format(a='p.', b='entity.')} AS d_km FROM entity, (SELECT 20.0 AS lat, 80.0 AS lon) p), s AS (SELECT *, {SIM.format(a=GRAMS.format(x='display_name'), b=GRAMS.format(x=chr(39) + 'royl hotell' + chr(39)))} AS rank FROM e WHERE d_km <= 500) SELECT external_id, round(rank, 9) AS rank FROM s WHERE s.rank >= 0.35 ORDER BY s.rank DESC, d_km, external_id LIMIT 20")
+@query("g7_radius_fallback", f"$ENTITY, e AS (SELECT entity.*, {HAVERSINE.format(a='p.', b='entity.')} AS d_km FROM entity, (SELECT 20.0 AS lat, 80.0 AS lon) p), s AS (SELECT *, {SIM.format(a=GRAMS.format(x='display_name'), b=GRAMS.format(x=chr(39) + 'royl hotell' + chr(39)))} AS rank FROM e WHERE d_km <= 500) SELECT external_id, round(rank, 9) AS rank FROM s WHERE s.rank >= 0.3 ORDER BY s.rank DESC, d_km, external_id LIMIT 20")
 def radius_fallback(spark, sf):
     return directory.radius_search(entity(spark, sf), "royl hotell", 20.0, 80.0, 500.0).select("external_id", F.round("rank", 9).alias("rank"))
 
@@ -805,3 +800,116 @@ def sets(spark, sf):
 @query("x_rollup", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
 def rollup(spark, sf):
     return read(spark, sf, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+# a persisted index
+def indexed(spark, sf) -> searchindex.SearchIndex:
+    """The index of the entities, written below the shared folder."""
+    path = relational.shared_folder(spark, "search-index")
+    searchindex.build_index(entity(spark, sf), path, 8)
+    return searchindex.SearchIndex(spark, path, 8)
+
+
+def words_sql(words: list[str], source: str = "entity") -> str:
+    rank = " + ".join(f"CASE WHEN list_contains(a, '{w}') THEN 4 ELSE 0 END + CASE WHEN list_contains(b, '{w}') THEN 2 ELSE 0 END" for w in words)
+    have = " AND ".join(f"(list_contains(a, '{w}') OR list_contains(b, '{w}'))" for w in words)
+    return f"SELECT *, CAST({rank} AS DOUBLE) AS rank FROM (SELECT *, string_split_regex(lower(display_name), '[^a-z0-9]+') AS a, string_split_regex(lower(concat_ws(' ', category, locality)), '[^a-z0-9]+') AS b FROM {source}) WHERE {have}"
+
+
+FROM_POINT = f"e AS (SELECT entity.*, {HAVERSINE.format(a='p.', b='entity.')} AS d_km FROM entity, (SELECT 20.0 AS lat, 80.0 AS lon) p)"
+PAGE = "SELECT external_id, display_name, rank FROM ({hits}) ORDER BY rank DESC, external_id LIMIT {n} OFFSET {at}"
+
+
+@query("x1_index_one_word", "$ENTITY " + PAGE.format(hits=words_sql(["hotel"]), n=20, at=10))
+def index_one_word(spark, sf):
+    index = indexed(spark, sf)
+    return index.shown(index.search("Hotel!", 20, 10)).select("external_id", "display_name", "rank")
+
+
+@query("x1_index_words", "$ENTITY " + PAGE.format(hits=words_sql(["hotel", "furniture"]), n=20, at=5))
+def index_words(spark, sf):
+    index = indexed(spark, sf)
+    return index.shown(index.search("hotel, furniture", 20, 5)).select("external_id", "display_name", "rank")
+
+
+@query("x1_index_fallback", f"$ENTITY, s AS (SELECT *, {SIM.format(a=GRAMS.format(x='display_name'), b=GRAMS.format(x=chr(39) + 'royl hotell' + chr(39)))} AS r FROM entity) SELECT external_id, display_name, round(r, 9) AS rank FROM s WHERE r >= 0.3 ORDER BY r DESC, external_id LIMIT 30")
+def index_fallback(spark, sf):
+    index = indexed(spark, sf)
+    return index.shown(index.search("royl hotell", 30)).select("external_id", "display_name", F.round("rank", 9).alias("rank"))
+
+
+@query("x1_index_radius", f"$ENTITY, {FROM_POINT}, near AS (SELECT * FROM e WHERE d_km <= 400) SELECT external_id, rank, round(d_km, 6) AS d_km FROM ({words_sql(['hotel'], 'near')}) h ORDER BY rank DESC, h.d_km, external_id LIMIT 25")
+def index_radius(spark, sf):
+    return indexed(spark, sf).search("hotel", 25, 0, (20.0, 80.0), 400.0).select("external_id", "rank", F.round("d_km", 6).alias("d_km"))
+
+
+@query("x1_index_total", "$ENTITY SELECT count(*) AS n_found FROM (" + words_sql(["hotel", "furniture"]) + ")")
+def index_total(spark, sf):
+    return indexed(spark, sf).found("hotel furniture")
+
+
+# duplicates, near in earnest
+#: Rows in a town of 3 x 3 km, with pointers of earlier merges, some of them in chains.
+DENSE = {
+    **{c: c for c in ("k", "external_id", "display_name", "canonical_name", "public_phone")}, "lat": "8 + CAST(k * 7919 % 29 AS DOUBLE) / 1000", "lon": "69 + CAST(k * 104729 % 31 AS DOUBLE) / 1000",
+    "completeness_score": "CAST(k * 31 % 100 AS INT)", "confidence_score": "CAST(k * 17 % 100 AS INT)", "merged_into": "CASE WHEN k % 50 IN (6, 7) THEN concat('c:', CAST(k - 1 AS {s})) END",
+}
+
+
+def dense(s: str) -> list[str]:
+    return [f"{x.format(s=s)} AS {c}" for c, x in DENSE.items()]
+
+
+TOWN = NAMED + f", town AS (SELECT {', '.join(dense('VARCHAR'))} FROM named), g AS (SELECT *, {GRAMS.format(x='canonical_name')} AS g FROM town)"
+
+
+def town(spark, sf):
+    return named(spark, sf).selectExpr(*dense("STRING"))
+
+
+def apart_sql(km: float, least: float, found: bool) -> str:
+    return TOWN + f", i AS (SELECT * FROM g WHERE k % 3 = 1), x AS (SELECT * FROM g WHERE k % 3 = 0) SELECT external_id FROM i WHERE {'' if found else 'NOT '}EXISTS (SELECT 1 FROM x WHERE {HAVERSINE.format(a='i.', b='x.')} <= {km} AND {SIM.format(a='i.g', b='x.g')} > {least})"
+
+
+@query("j7_apart_at_150m", apart_sql(0.15, 0.55, False))
+def apart_150(spark, sf):
+    rows = town(spark, sf)
+    return directory.by_name_and_place(rows.where("k % 3 = 1"), rows.where("k % 3 = 0")).select("external_id")
+
+
+@query("j7_apart_at_100m", apart_sql(0.1, 0.5, False))
+def apart_100(spark, sf):
+    rows = town(spark, sf)
+    return directory.by_name_and_place(rows.where("k % 3 = 1"), rows.where("k % 3 = 0"), 0.1, 0.5).select("external_id")
+
+
+@query("j8_duplicates_at_150m", apart_sql(0.15, 0.55, True))
+def duplicates_150(spark, sf):
+    rows = town(spark, sf)
+    return directory.by_name_and_place(rows.where("k % 3 = 1"), rows.where("k % 3 = 0"), how="left_semi").select("external_id")
+
+
+@query("d3_merged_duplicates", TOWN.replace("$ENTITY", ENTITY).replace("WITH ", "WITH RECURSIVE ", 1) + f""", links AS (
+  SELECT a.external_id AS a, b.external_id AS b FROM town a JOIN town b USING (public_phone) WHERE a.k <> b.k
+  UNION SELECT a.external_id, b.external_id FROM g a JOIN g b ON abs(a.lat - b.lat) < 0.003 AND abs(a.lon - b.lon) < 0.003 AND a.k <> b.k WHERE {HAVERSINE.format(a='a.', b='b.')} <= 0.15 AND {SIM.format(a='a.g', b='b.g')} > 0.55
+  UNION SELECT external_id, merged_into FROM town WHERE merged_into IS NOT NULL UNION SELECT merged_into, external_id FROM town WHERE merged_into IS NOT NULL),
+reach AS (SELECT external_id AS a, external_id AS b FROM town UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+label AS (SELECT a AS external_id, min(b) AS label FROM reach GROUP BY 1),
+best AS (SELECT external_id, label, first_value(external_id) OVER (PARTITION BY label ORDER BY completeness_score DESC, confidence_score DESC, external_id) AS survivor FROM town JOIN label USING (external_id))
+SELECT external_id, survivor, CASE WHEN survivor <> external_id THEN survivor END AS merged_into FROM best""")
+def merged_duplicates(spark, sf):
+    return directory.merged_duplicates(town(spark, sf))
+
+
+@query("o31_fuzzy_matches", NAMED + REGISTER + f", l AS (SELECT external_id, lower(district) AS area, {GRAMS.format(x='canonical_name')} AS g FROM named WHERE length(canonical_name) >= 8), r AS (SELECT registry_id, trade, lower(district) AS area, {GRAMS.format(x='canonical_name')} AS g FROM reg), p AS (SELECT external_id, registry_id, trade, {SIM.format(a='l.g', b='r.g')} AS s FROM l JOIN r USING (area)), b AS (SELECT *, row_number() OVER (PARTITION BY external_id ORDER BY s DESC, registry_id) AS n FROM p WHERE s >= 0.5) SELECT external_id, registry_id AS registry_match_id, trade AS registry_trade, round(s, 9) AS registry_score FROM b WHERE n = 1")
+def fuzzy_matches(spark, sf):
+    return directory.fuzzy_registry_matches(named(spark, sf), register(spark, sf), 0.5).withColumn("registry_score", F.round("registry_score", 9))
+
+
+PLACE_VALUES = "city,town,village,suburb,neighbourhood,hamlet,quarter,borough,municipality,locality,isolated_dwelling,farm,island"
+
+
+@query("o4_place_filter", "$ENTITY SELECT k FROM entity WHERE k % 13 < 10 AND k % 7 > 0")
+def place_filter(spark, sf):
+    tags = F.create_map(F.lit("place"), F.expr(f"split_part('{PLACE_VALUES}', ',', CAST(1 + k % 13 AS INT))"), F.lit("name"), F.expr("CASE WHEN k % 7 > 0 THEN display_name ELSE '' END"))
+    return entity(spark, sf).where(readers.is_place(tags)).select("k")

@@ -33,7 +33,7 @@ KEPT_KEYS = (
     "building", "building:levels", "level", "description", "note", "source", "check_date", "survey:date", "start_date", "ref", "gst:number", "website:menu", "facebook", "instagram",
     "whatsapp", "payment:cash", "stars", "rooms", "capacity", "denomination",
 )
-PLACE_KINDS = ("city", "town", "municipality", "suburb", "village", "neighbourhood", "quarter", "hamlet", "locality", "isolated_dwelling")
+PLACE_KINDS = ("city", "town", "municipality", "suburb", "village", "neighbourhood", "quarter", "hamlet", "borough", "locality")
 ENCODINGS = ("utf-8-sig", "cp1252", "latin-1")
 
 TAGGED = "osm_type string, osm_id long, lat double, lon double, timestamp timestamp, tags map<string,string>"
@@ -81,6 +81,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
         import csv
         import io
 
+        csv.field_size_limit(1 << 31)
         for part in parts:
             for file, content in zip(part["path"], part["content"], strict=True):
                 lines = csv.reader(io.StringIO(decoded(content), newline=""))
