@@ -164,26 +164,26 @@ def shared_anchors(parts: DataFrame) -> DataFrame:
 
 
 def cut_stretches(wanted: DataFrame, n_parts: int) -> DataFrame:
-    """From (doc_id, text, anchors of each part): the stretches with these anchors, packed by part."""
+    """From (doc_id, text, anchors of each part, text_hash): the stretches with these anchors, packed by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def send() -> Iterator[pa.RecordBatch]:
-            key, doc, start, length = (np.concatenate([x[i] for x in held]) for i in range(4))
-            data = np.concatenate([x[4] for x in held])
+            key, doc, start, length, text = (np.concatenate([x[i] for x in held]) for i in range(5))
+            data = np.concatenate([x[5] for x in held])
             part = (key % np.uint64(n_parts)).astype(np.int64)
             first = np.concatenate([[0], np.cumsum(length)])
             order = np.argsort(part, kind="stable")
             at = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1]])) if len(part) else []
             for a, b in zip(at, [*at[1:], len(part)], strict=False):
                 o = order[a:b]
-                packed = [key[o].tobytes(), doc[o].tobytes(), start[o].astype("<u4").tobytes(), length[o].astype("<u4").tobytes(), b"".join([data[i:j].tobytes() for i, j in zip(first[o].tolist(), first[o + 1].tolist(), strict=True)])]
-                yield pa.record_batch([pa.array([part[o[0]]], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], ["part", "key", "doc", "start", "length", "bytes"])
+                packed = [key[o].tobytes(), doc[o].tobytes(), text[o].tobytes(), start[o].astype("<u4").tobytes(), length[o].astype("<u4").tobytes(), b"".join([data[i:j].tobytes() for i, j in zip(first[o].tolist(), first[o + 1].tolist(), strict=True)])]
+                yield pa.record_batch([pa.array([part[o[0]]], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], ["part", "key", "doc", "text", "start", "length", "bytes"])
 
         for batch in batches:
             for a, b, texts in in_steps(batch, 1):
-                docs = np.asarray(batch.column(0).slice(a, b - a))
+                docs, hashes = (np.asarray(batch.column(k).slice(a, b - a)) for k in (0, 3))
                 mine = [np.frombuffer(b"".join(x), dtype=np.uint64) for x in batch.column(2).slice(a, b - a).to_pylist()]
                 anchors, of, start, count, data = stretches(texts)
                 sent, keep = compound(anchors, n_parts), np.zeros(len(anchors), dtype=bool)
@@ -195,7 +195,7 @@ def cut_stretches(wanted: DataFrame, n_parts: int) -> DataFrame:
                 if not len(begin):
                     continue
                 take = np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
-                held.append((anchors[keep], docs[of[keep]].astype(np.int64), start[keep], length, data[take]))
+                held.append((anchors[keep], docs[of[keep]].astype(np.int64), start[keep], length, hashes[of[keep]].astype(np.int64), data[take]))
                 size += int(length.sum())
                 if size >= SEND_BYTES:
                     yield from send()
@@ -203,7 +203,7 @@ def cut_stretches(wanted: DataFrame, n_parts: int) -> DataFrame:
         if held:
             yield from send()
 
-    return wanted.mapInArrow(run, "part int, key binary, doc binary, start binary, length binary, bytes binary")
+    return wanted.mapInArrow(run, "part int, key binary, doc binary, text binary, start binary, length binary, bytes binary")
 
 
 def window_minima(data: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -236,7 +236,7 @@ def distinct_strings(key: np.ndarray, data: np.ndarray, length: np.ndarray) -> n
 
 
 def earlier_windows(key: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc, first and last-but-one start of runs of windows that a smaller doc has, too. All strings of a key are given."""
+    """String, first and last-but-one start of runs of windows that a smaller doc has, too. All strings of a key are given."""
     same = distinct_strings(key, data, length)
     n = int(same.max()) + 1
     least = np.full(n, LARGEST)
@@ -274,19 +274,19 @@ def earlier_windows(key: np.ndarray, doc: np.ndarray, start: np.ndarray, length:
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     # A run of hits never crosses strings: the last WIDTH - 1 offsets of each are no windows.
     string = np.searchsorted(first, begin, side="right") - 1
-    return doc[string], start[string] + begin - first[string], start[string] + end - first[string]
+    return string, start[string] + begin - first[string], start[string] + end - first[string]
 
 
 def found_ranges(parts: DataFrame) -> DataFrame:
-    """doc_id and packed pairs of 32-bit integers: bytes from the first up to the second are to go."""
+    """doc_id, text_hash and packed pairs of 32-bit integers: bytes from the first up to the second are to go. Texts of one doc_id have rows of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = None, [[], [], [], [], []]
-        kinds = (np.uint64, np.int64, "<u4", "<u4", np.uint8)
+        part, held = None, [[], [], [], [], [], []]
+        kinds = (np.uint64, np.int64, np.int64, "<u4", "<u4", np.uint8)
 
         def found() -> Iterator[pa.RecordBatch]:
             """In chunks of whole keys, so that what is worked on has a bounded size."""
-            key, doc, start, length, data = (np.concatenate(x) for x in held)
+            key, doc, text, start, length, data = (np.concatenate(x) for x in held)
             length = length.astype(np.int64)
             first, order = np.cumsum(length) - length, np.argsort(key, kind="stable")
             size, keys, a = np.cumsum(length[order]), key[order], 0
@@ -295,28 +295,29 @@ def found_ranges(parts: DataFrame) -> DataFrame:
                 b = int(np.searchsorted(keys, keys[b - 1], side="right"))
                 o = order[a:b]
                 part = np.concatenate([data[i : i + n] for i, n in zip(first[o].tolist(), length[o].tolist(), strict=True)])
-                yield told(*earlier_windows(key[o], doc[o], start[o].astype(np.int64), length[o], part))
+                string, begin, end = earlier_windows(key[o], doc[o], start[o].astype(np.int64), length[o], part)
+                yield told(doc[o][string], text[o][string], begin, end)
                 a = b
 
-        def told(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            order = np.argsort(doc, kind="stable")
-            doc, pairs = doc[order], np.stack([a, b + WIDTH - 1], axis=1)[order].astype("<u4")
-            at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, dtype=np.int64)
+        def told(doc: np.ndarray, text: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            order = np.lexsort([text, doc])
+            doc, text, pairs = doc[order], text[order], np.stack([a, b + WIDTH - 1], axis=1)[order].astype("<u4")
+            at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])) if len(doc) else np.zeros(0, dtype=np.int64)
             ends = [*at[1:].tolist(), len(doc)]
-            return pa.record_batch([pa.array(doc[at]), pa.array([pairs[i:j].tobytes() for i, j in zip(at.tolist(), ends, strict=False)], pa.binary())], ["doc_id", "ranges"])
+            return pa.record_batch([pa.array(doc[at]), pa.array(text[at]), pa.array([pairs[i:j].tobytes() for i, j in zip(at.tolist(), ends, strict=False)], pa.binary())], ["doc_id", "text_hash", "ranges"])
 
         for batch in batches:
             for p, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if p != part and part is not None:
                     yield from found()
-                    held = [[], [], [], [], []]
+                    held = [[], [], [], [], [], []]
                 part = p
                 for x, v, kind in zip(held, packed, kinds, strict=True):
                     x.append(np.frombuffer(v, dtype=kind))
         if held[0]:
             yield from found()
 
-    return parts.mapInArrow(run, "doc_id long, ranges binary")
+    return parts.mapInArrow(run, "doc_id long, text_hash long, ranges binary")
 
 
 def left_over(text: bytes, ranges: list[bytes]) -> tuple[bytes, int, int]:
@@ -353,11 +354,11 @@ def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # The first document of each text stands for it. Rows without an id come before and after none.
     firsts = settle(rows.where("doc_id IS NOT NULL").groupBy("text_id", "text_hash").agg(F.min("doc_id").alias("first_doc")), "firsts")
     shared = shared_anchors(by_part(anchors_by_part(docs, n_parts), n)).groupBy("text_hash").agg(F.collect_list("anchors").alias("anchors"))
-    shared = settle(shared.join(firsts, "text_hash").select(F.col("first_doc").alias("doc_id"), "text_id", "anchors"), "shared")
+    shared = settle(shared.join(firsts, "text_hash").select(F.col("first_doc").alias("doc_id"), "text_id", "text_hash", "anchors"), "shared")
     # Texts are shuffled the same way at every size: what they are joined with grows with the input.
-    wanted = keyed(docs).join(shared.hint("merge"), ["doc_id", "text_id"]).dropDuplicates(["doc_id", "text_id"]).select("doc_id", "text", "anchors")
+    wanted = keyed(docs).join(shared.hint("merge"), ["doc_id", "text_id"]).dropDuplicates(["doc_id", "text_id"]).select("doc_id", "text", "anchors", "text_hash")
     cut = by_part(cut_stretches(wanted, n_parts), n)
-    ranges = found_ranges(cut).join(shared.select("doc_id", "text_id"), "doc_id").groupBy("doc_id", "text_id").agg(F.collect_list("ranges").alias("ranges"))
+    ranges = found_ranges(cut).join(shared.select("doc_id", "text_id", "text_hash"), ["doc_id", "text_hash"]).groupBy("doc_id", "text_id").agg(F.collect_list("ranges").alias("ranges"))
     return rows.drop("text_hash").join(firsts.drop("text_hash"), "text_id", "left"), settle(ranges, "ranges")
 
 

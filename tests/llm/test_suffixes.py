@@ -74,5 +74,16 @@ def test_nulls_ties_and_other_columns(docs):
     assert run(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_texts_of_one_id_lose_their_own_bytes(spark):
+    rng = random.Random(8)
+    new = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    p, q = new(120), new(120)
+    rows = [(1, new(40) + p + new(30)), (2, q), (8, p + new(60)), (8, new(35) + p), (8, new(60)), (8, new(70) + q + new(20)), (8, "zzzz " + q), (9, new(60) + p[:80]), (9, q[20:90]), (7, p + q), (7, q + new(55))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert run(df) == brute(rows)
+    left = sorted((r.doc_id, len(r.text)) for r in suffixes.without_repeats(df).collect())
+    assert left == sorted((d, n - gone) for d, n, gone, _, _ in brute(rows) if n > gone)
+
+
 def test_empty(no_docs):
     assert run(no_docs) == []
