@@ -167,6 +167,19 @@ TIER1 = ("hardware-stores", "electrical-stores", "furniture-stores", "mobile-sto
 TIER2 = ("plumbing-services", "electrical-services", "repair-services", "home-services", "cleaning-services", "salons-and-spas", "beauty-and-wellness", "tuition-and-coaching", "courier-and-parcel-services", "car-repair", "bike-repair")
 
 # Ranks of place kinds for centroid matches (absent kinds rank 0).
+# What a category is called behind a name that doesn't tell.
+LABELS = {
+    "medical-stores-and-pharmacies": "Medical Store", "hospitals-and-clinics": "Clinic", "restaurants-and-food": "Restaurant", "bakeries-and-sweets": "Bakery", "hotels-and-accommodation": "Hotel",
+    "grocery-and-kirana": "Kirana Store", "hardware-stores": "Hardware Store", "electrical-stores": "Electrical Store", "electronics-stores": "Electronics Store", "mobile-stores": "Mobile Store",
+    "computer-and-laptop-stores": "Computer Store", "furniture-stores": "Furniture Store", "clothing-stores": "Clothing Store", "footwear-stores": "Footwear Store", "jewellery-stores": "Jewellery Store",
+    "beauty-and-wellness": "Beauty & Wellness", "salons-and-spas": "Salon", "automobile-services": "Automobile Services", "bike-repair": "Bike Repair", "car-repair": "Car Repair",
+    "tyre-and-battery-stores": "Tyre & Battery", "petrol-stations": "Petrol Station", "ev-charging-stations": "EV Charging", "schools": "School", "colleges": "College",
+    "tuition-and-coaching": "Coaching Centre", "education-and-training": "Training Centre", "repair-services": "Repair Service", "home-services": "Home Service", "plumbing-services": "Plumbing",
+    "electrical-services": "Electrician", "cleaning-services": "Cleaning Service", "tailoring-and-boutiques": "Tailor", "home-businesses": "Home Business", "home-food-sellers": "Home Food",
+    "pet-stores-and-pet-services": "Pet Store", "printing-and-stationery": "Printing & Stationery", "gift-stores": "Gift Store", "travel-services": "Travel Services",
+    "courier-and-parcel-services": "Courier", "property-services": "Property Services", "professional-services": "Professional Services", "event-services": "Event Services",
+    "agricultural-supplies": "Agri Supplies", "wholesale-businesses": "Wholesaler", "local-manufacturers": "Manufacturer", "other-local-businesses": "Local Business",
+}
 KIND_RANK = {"city": 6, "town": 5, "municipality": 5, "suburb": 4, "village": 3, "neighbourhood": 2, "quarter": 2, "hamlet": 1, "locality": 1}
 
 # Column names that hold personal data.

@@ -111,15 +111,6 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
 
 
-def keyword_hit(key: str, hay: Column, toks: Column) -> Column:
-    """Keys with _ or blank match anywhere, keys of 4 or more at a token's start, short keys whole tokens."""
-    if "_" in key or " " in key:
-        return F.contains(hay, F.lit(key))
-    if len(key) >= 4:
-        return F.exists(toks, lambda t: F.startswith(t, F.lit(key)))
-    return F.array_contains(toks, key)
-
-
 def first_hint(name: Column, hints: list[tuple[str, str]]) -> Column:
     """struct(slug, evidence) of the first pattern that matches; null if none does."""
     out = F.lit(None).cast("struct<slug:string,evidence:string>")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dirspark import constants as C
-from dirspark.functions.text import keyword_hit, tokens
+from dirspark.functions.text import tokens
 from dirspark.operators.relational import any_of
 
 # Tag keys in the order of their weight, and values that say nothing.
@@ -30,16 +33,31 @@ def by_tag(rows: DataFrame, tag_map: DataFrame, tags: str = "tags") -> tuple[Dat
     return hit.drop("key", "value"), missed.orderBy(F.col("n").desc(), "key", "value").limit(400)
 
 
+def once(value: Column, told: Callable[[Column], Column]) -> Column:
+    """told(value), with value worked out once however often told refers to it."""
+    return F.transform(F.array(value), told)[0]
+
+
+def any_key(keys: tuple[str, ...]) -> Callable[[Column], Column]:
+    """Whether a text (hay, and padded: its tokens between blanks) has one of the keys: one pattern for keys that begin or are a token, and substrings for those with _ or a blank."""
+    inner = [k for k in keys if "_" in k or " " in k]
+    starts = "|".join(re.escape(k) + ("" if len(k) >= 4 else " ") for k in keys if k not in inner)
+    return lambda s: any_of([F.contains(s["hay"], F.lit(k)) for k in inner] + ([F.rlike(s["padded"], F.lit(f" (?:{starts})"))] if starts else []))
+
+
 def resolve(text: Column, rules: list[tuple[tuple[str, ...], str | None]] | None = None) -> Column:
     """The category of one category text: DROPPED if excluded, else by whole tokens, else by the first rule, else null."""
-    hay, toks = F.lower(text), tokens(text)
-    out = F.lit(None).cast("string")
-    for keys, slug in reversed(C.KEYWORD_RULES if rules is None else rules):
-        out = F.when(any_of([keyword_hit(k, hay, toks) for k in keys]), F.lit(slug)).otherwise(out)
-    for token, slug in reversed(C.EXTRA_TOKENS.items()):
-        out = F.when(F.array_contains(toks, token), F.lit(slug)).otherwise(out)
-    excluded = any_of([keyword_hit(k, hay, toks) for k in C.EXCLUDED])
-    return F.when(text.isNotNull() & (text != ""), F.when(excluded, F.lit(DROPPED)).otherwise(out))
+
+    def told(s: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for keys, slug in reversed(C.KEYWORD_RULES if rules is None else rules):
+            out = F.when(any_key(keys)(s), F.lit(slug)).otherwise(out)
+        for token, slug in reversed(C.EXTRA_TOKENS.items()):
+            out = F.when(F.contains(s["padded"], F.lit(f" {token} ")), F.lit(slug)).otherwise(out)
+        return F.when(any_key(C.EXCLUDED)(s), F.lit(DROPPED)).otherwise(out)
+
+    padded = F.concat(F.lit(" "), F.array_join(tokens(text), " "), F.lit(" "))
+    return F.when(text.isNotNull() & (text != ""), once(F.struct(F.lower(text).alias("hay"), padded.alias("padded")), told))
 
 
 def by_keywords(rows: DataFrame, primary: str, alternates: str, rules: list | None = None) -> DataFrame:
@@ -57,11 +75,15 @@ def by_keywords(rows: DataFrame, primary: str, alternates: str, rules: list | No
 
 def by_joined_text(primary: Column, alternates: Column, rules: list | None = None) -> Column:
     """The older rule: substrings in all texts together; first hit wins."""
-    hay = F.lower(F.concat_ws(" ", primary, alternates))
-    out = F.lit(None).cast("string")
-    for keys, slug in reversed(C.KEYWORD_RULES if rules is None else rules):
-        out = F.when(any_of([F.contains(hay, F.lit(k)) for k in keys]), F.lit(slug)).otherwise(out)
-    return F.when(any_of([F.contains(hay, F.lit(k)) for k in C.EXCLUDED]), F.lit(None).cast("string")).otherwise(out)
+    has = lambda hay, keys: F.rlike(hay, F.lit("|".join(map(re.escape, keys))))
+
+    def told(hay: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for keys, slug in reversed(C.KEYWORD_RULES if rules is None else rules):
+            out = F.when(has(hay, keys), F.lit(slug)).otherwise(out)
+        return F.when(has(hay, C.EXCLUDED), F.lit(None).cast("string")).otherwise(out)
+
+    return once(F.lower(F.concat_ws(" ", primary, alternates)), told)
 
 
 def fold_name_rules(rows: DataFrame, rules: list[tuple[str, str, str, str]] | None = None, ignore_case: bool = True) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dirspark import constants as C
 from dirspark.functions.geo import KM_PER_DEGREE, haversine
-from dirspark.functions.text import gram_similarity, labelled, tokens, trigrams
+from dirspark.functions.text import first_hint, gram_similarity, labelled, tokens, trigrams
+from dirspark.operators.categorise import DROPPED, resolve
 from dirspark.operators.geography import within
 from dirspark.operators.relational import any_of, components, first_per_key, fixed, top_per_key, upsert
 
@@ -21,6 +22,32 @@ def ambiguous_names(rows: DataFrame) -> DataFrame:
     return named.groupBy("canonical_name", "code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def labels_of(spark: SparkSession, labels: dict[str, str] | None = None) -> DataFrame:
+    """category and label; by default those of the constants."""
+    return spark.createDataFrame(list((C.LABELS if labels is None else labels).items()), "category string, label string")
+
+
+def unresolved_names(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows without a resolved_name get name_reason and one; rows that have one stay as they are, but count where names are compared."""
+    whole = resolved_names(rows.withColumnsRenamed({"resolved_name": "_old_name", "name_reason": "_old_reason"}), labels)
+    done = F.col("_old_name").isNotNull()
+    told = whole.withColumns({"name_reason": F.when(done, F.col("_old_reason")).otherwise(F.col("name_reason")), "resolved_name": F.coalesce("_old_name", "resolved_name")})
+    return told.select(*rows.columns)
+
+
+def review_queue(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows for a human to decide: no category at all, a position, a name that hints at one, and an id that known doesn't have.
+
+    rows: external_id, display_name, category, category_alt, lat, lon, phones, address, postcode. A primary category, or an alternate that the rules know, keeps a row out.
+    """
+    hint = first_hint(F.col("display_name"), C.NAME_HINTS)
+    mapped = F.exists(F.coalesce("category_alt", F.expr("cast(array() as array<string>)")), lambda a: F.coalesce(resolve(a), F.lit(DROPPED)) != DROPPED)
+    open_ = rows.where(F.col("category").isNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull() & (F.coalesce("display_name", F.lit("")) != "") & ~mapped)
+    open_ = open_.join(known.select("external_id"), "external_id", "left_anti").withColumn("h", hint).where("h IS NOT NULL")
+    payload = F.to_json(F.struct("lat", "lon", F.coalesce("phones", F.expr("cast(array() as array<string>)")).alias("phones"), F.col("address").alias("addr"), "postcode"), {"ignoreNullFields": "false"})
+    return open_.select("external_id", F.lit("null_category_name_hint").alias("reason"), "display_name", F.col("h.slug").alias("suggested_category"), F.col("h.evidence").alias("evidence"), payload.alias("payload"), F.lit("pending").alias("status"))
+
+
 def resolved_names(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Adds name_reason and resolved_name: a label and locality are appended where a name alone doesn't tell (labels: category, label)."""
     out = rows.join(ambiguous_names(rows).select("canonical_name", "code", F.lit(True).alias("_twice")), ["canonical_name", "code"], "left").join(labels, "category", "left")

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from dirspark import constants as C
 from dirspark.functions import contact, geo, ident, text
-from dirspark.operators import categorise, directory, geography, quality, relational, searchindex
+from dirspark.operators import categorise, directory, geography, push, quality, relational, searchindex
 from dirspark.plans.entity import AS_OF, ENTITY, entity, read
 from dirspark.sources import readers
-from dirspark.streaming import incremental
+from dirspark.streaming import incremental, upkeep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -163,17 +163,23 @@ def hints(spark, sf):
     return entity(spark, sf).select("external_id", text.first_hint(F.col("display_name"), C.NAME_HINTS).alias("h")).where("h IS NOT NULL").select("external_id", "h.slug", "h.evidence")
 
 
-def keyword_sql() -> str:
+def slug_sql() -> str:
+    """The category of a text by its hay and toks."""
     def hit(k: str) -> str:
         if "_" in k or " " in k:
             return f"contains(hay, '{k}')"
         return f"len(list_filter(toks, lambda t: starts_with(t, '{k}'))) > 0" if len(k) >= 4 else f"list_contains(toks, '{k}')"
 
     whens = f"WHEN {' OR '.join(map(hit, C.EXCLUDED))} THEN '__EXCLUDED__' " + " ".join(f"WHEN list_contains(toks, '{t}') THEN '{s}'" for t, s in C.EXTRA_TOKENS.items())
-    whens += " " + " ".join(f"WHEN {' OR '.join(map(hit, ks))} THEN {repr(s) if s else 'NULL'}" for ks, s in C.KEYWORD_RULES)
-    return f"""WITH texts AS (SELECT DISTINCT p_type AS t FROM part UNION SELECT DISTINCT p_name FROM part UNION SELECT 'steel market' UNION SELECT 'city park'),
-toks AS (SELECT t, lower(t) AS hay, list_filter(string_split_regex(lower(t), '[^a-z0-9]+'), lambda x: x <> '') AS toks FROM texts),
-r AS (SELECT t, CASE {whens} END AS slug FROM toks),
+    return f"CASE {whens} " + " ".join(f"WHEN {' OR '.join(map(hit, ks))} THEN {repr(s) if s else 'NULL'}" for ks, s in C.KEYWORD_RULES) + " END"
+
+
+TOKENISED = "toks AS (SELECT t, lower(t) AS hay, list_filter(string_split_regex(lower(t), '[^a-z0-9]+'), lambda x: x <> '') AS toks FROM texts)"
+
+
+def keyword_sql() -> str:
+    return f"""WITH texts AS (SELECT DISTINCT p_type AS t FROM part UNION SELECT DISTINCT p_name FROM part UNION SELECT 'steel market' UNION SELECT 'city park'), {TOKENISED},
+r AS (SELECT t, {slug_sql()} AS slug FROM toks),
 p AS (SELECT p_partkey, p_type, p_name, CASE WHEN p_partkey % 11 = 0 THEN 'city park' WHEN p_partkey % 5 = 0 THEN 'steel market' END AS extra FROM part)
 SELECT p_partkey, nullif(coalesce(a.slug, b.slug, c.slug), '__EXCLUDED__') AS category FROM p JOIN r a ON a.t = p_type JOIN r b ON b.t = p_name LEFT JOIN r c ON c.t = extra"""
 
@@ -851,7 +857,7 @@ def index_total(spark, sf):
 # duplicates, near in earnest
 #: Rows in a town of 3 x 3 km, with pointers of earlier merges, some of them in chains.
 DENSE = {
-    **{c: c for c in ("k", "external_id", "display_name", "canonical_name", "public_phone")}, "lat": "8 + CAST(k * 7919 % 29 AS DOUBLE) / 1000", "lon": "69 + CAST(k * 104729 % 31 AS DOUBLE) / 1000",
+    **{c: c for c in ("k", "external_id", "display_name", "canonical_name", "public_phone")}, "lat": "8 + CAST(k % 80 * 37 % 60 + CAST(floor(k / 80.0) AS BIGINT) % 5 AS DOUBLE) / 1000", "lon": "69 + CAST(k % 80 * 53 % 60 + CAST(floor(k / 400.0) AS BIGINT) % 7 AS DOUBLE) / 1000",
     "completeness_score": "CAST(k * 31 % 100 AS INT)", "confidence_score": "CAST(k * 17 % 100 AS INT)", "merged_into": "CASE WHEN k % 50 IN (6, 7) THEN concat('c:', CAST(k - 1 AS {s})) END",
 }
 
@@ -913,3 +919,67 @@ PLACE_VALUES = "city,town,village,suburb,neighbourhood,hamlet,quarter,borough,mu
 def place_filter(spark, sf):
     tags = F.create_map(F.lit("place"), F.expr(f"split_part('{PLACE_VALUES}', ',', CAST(1 + k % 13 AS INT))"), F.lit("name"), F.expr("CASE WHEN k % 7 > 0 THEN display_name ELSE '' END"))
     return entity(spark, sf).where(readers.is_place(tags)).select("k")
+
+
+#: Texts out of all keys of the rules, the exclusions and the extra tokens, so that every rule decides some row.
+EVERY_KEY = "|".join([*(k for keys, _ in C.KEYWORD_RULES for k in keys), *C.EXCLUDED, *C.EXTRA_TOKENS])
+N_KEYS = EVERY_KEY.count("|") + 1
+KEY_TEXT = f"concat(split_part('{EVERY_KEY}', '|', CAST(1 + k % {N_KEYS} AS INT)), CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN 's shop' ELSE '-x' END)"
+OTHER_KEY = f"split_part('{EVERY_KEY}', '|', CAST(1 + k * 7 % {N_KEYS} AS INT))"
+
+
+@query("o7_every_rule", f"$ENTITY, w AS (SELECT external_id, {KEY_TEXT} AS a, {OTHER_KEY} AS b FROM entity), texts AS (SELECT a AS t FROM w UNION SELECT b FROM w), {TOKENISED}, r AS (SELECT t, {slug_sql()} AS slug FROM toks) SELECT external_id, nullif(coalesce(x.slug, y.slug), '__EXCLUDED__') AS category FROM w JOIN r x ON x.t = a JOIN r y ON y.t = b")
+def every_rule(spark, sf):
+    rows = entity(spark, sf).select("external_id", F.expr(KEY_TEXT).alias("first"), F.array(F.expr(OTHER_KEY)).alias("others"))
+    return categorise.by_keywords(rows, "first", "others").select("external_id", "category")
+
+
+LABEL_SLUGS = "|".join(C.LABELS)
+LABEL_CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.LABELS.items())
+LABEL_SLUG = f"CASE WHEN k % 48 < 47 THEN split_part('{LABEL_SLUGS}', '|', CAST(1 + k % 48 AS INT)) END"
+OLD_NAME = "CASE WHEN k % 9 = 0 THEN concat(display_name, ' (old)') END"
+
+
+@query("o29_all_labels", COARSE + f", amb AS (SELECT canonical_name, code FROM coarse WHERE code IS NOT NULL AND canonical_name <> '' GROUP BY ALL HAVING count(*) > 1), r AS (SELECT n.* REPLACE ({LABEL_SLUG} AS category), {OLD_NAME} AS old, CASE WHEN a.code IS NOT NULL THEN 'ambiguous_in_code' WHEN brand_name IS NOT NULL AND lower(brand_name) = lower(display_name) THEN 'chain_branch' WHEN NOT regexp_matches(display_name, '{WORD_RE}', 'i') THEN 'generic_name' END AS reason FROM coarse n LEFT JOIN amb a ON a.canonical_name = n.canonical_name AND a.code = n.code) SELECT external_id, CASE WHEN old IS NULL THEN reason END AS name_reason, CASE WHEN old IS NOT NULL THEN old WHEN reason IS NULL THEN display_name ELSE display_name || coalesce(' — ' || CASE category {LABEL_CASES} END, '') || coalesce(', ' || locality, '') END AS resolved_name FROM r")
+def all_labels(spark, sf):
+    rows = coarse(spark, sf).withColumns({"category": F.expr(LABEL_SLUG), "resolved_name": F.expr(OLD_NAME), "name_reason": F.lit(None).cast("string")})
+    return directory.unresolved_names(rows, directory.labels_of(spark)).select("external_id", "name_reason", "resolved_name")
+
+
+REVIEW_ALT = "CASE k % 4 WHEN 0 THEN 'bakery' WHEN 1 THEN 'zzz' END"
+
+
+@query("o11_review_queue", hint_sql().replace("SELECT * FROM h WHERE slug IS NOT NULL", "").rstrip() + f" SELECT external_id, 'null_category_name_hint' AS reason, display_name, slug AS suggested_category, evidence, lat, round(lon, 6) AS lon, coalesce(public_phone, '') AS phone, address AS addr, code AS postcode FROM h JOIN entity USING (external_id) WHERE slug IS NOT NULL AND k % 5 > 0 AND k % 4 > 0 AND k % 7 <> 1")
+def review(spark, sf):
+    rows = entity(spark, sf).selectExpr("external_id", "display_name", "CASE WHEN k % 5 = 0 THEN category END AS category", f"array({REVIEW_ALT}) AS category_alt", "lat", "lon", "CASE WHEN public_phone IS NOT NULL THEN array(public_phone) END AS phones", "address", "code AS postcode")
+    queue = directory.review_queue(rows, entity(spark, sf).where("k % 7 = 1"))
+    told = F.from_json("payload", "lat double, lon double, phones array<string>, addr string, postcode string")
+    return queue.withColumn("p", told).select("external_id", "reason", "display_name", "suggested_category", "evidence", "p.lat", F.round("p.lon", 6).alias("lon"), F.array_join("p.phones", ",").alias("phone"), "p.addr", "p.postcode")
+
+
+@query("te_flags_by_batches", COARSE + ", f AS (SELECT * REPLACE (CASE WHEN k % 10 = 4 THEN 'moved' ELSE code END AS code) FROM coarse WHERE k % 15 <> 3) SELECT external_id, public_phone IS NOT NULL AND count(*) OVER (PARTITION BY public_phone) > 3 AS shared, code IS NOT NULL AND canonical_name <> '' AND count(*) OVER (PARTITION BY canonical_name, code) > 1 AS ambiguous FROM f")
+def flags_by_batches(spark, sf):
+    """Three batches; the last one changes rows of the others and takes some away."""
+    rows = coarse(spark, sf).select("k", "external_id", "public_phone", "canonical_name", "code")
+    flags = upkeep.DerivedFlags(spark, relational.shared_folder(spark, "flags"), "external_id string, public_phone string, canonical_name string, code string", "external_id", {"shared": (["public_phone"], 4), "ambiguous": (["canonical_name", "code"], 2)})
+    changed = rows.withColumns({"code": F.when(F.col("k") % 10 == 4, "moved").otherwise(F.col("code")), "deleted": F.col("k") % 15 == 3})
+    for number, batch in enumerate((rows.where("k % 3 = 0"), rows.where("k % 3 = 1"), changed.where("k % 3 = 2 OR k % 10 = 4 OR k % 15 = 3"))):
+        flags.apply(batch, number)
+    return flags.current().select("external_id", "shared", "ambiguous")
+
+
+KINDS = "split_part('RETAIL_STORE,HOME_BUSINESS,SERVICE_PROVIDER,WHOLESALER,MANUFACTURER,FOOD_SERVICE,HOSPITALITY,INSTITUTION,PUBLIC_SERVICE', ',', CAST(1 + k % 9 AS INT))"
+
+
+@query("k9_pushed_chunks", f"$ENTITY, p AS (SELECT *, k % 10 = 0 OR k % 14 = 0 AS kept, k % 2 = 0 AS first, k % 3 = 0 AS second FROM entity WHERE k % 2 = 0 OR k % 3 = 0) SELECT external_id, CASE WHEN second AND NOT (first AND kept) THEN concat('new ', display_name) ELSE display_name END AS name, CASE WHEN k % 9 < 5 THEN {KINDS} ELSE 'OTHER' END AS business_type, CASE WHEN first THEN public_phone END AS public_phone, CASE WHEN first AND k % 10 = 0 THEN 'CLAIMED' END AS claim_status, coalesce(address, locality) AS line FROM p")
+def pushed_chunks(spark, sf):
+    """Two chunks, of which the second brings new names and no phones; claimed and verified rows keep theirs."""
+    rows = entity(spark, sf)
+    chunk = lambda df, name, phone, claim, verified: df.select(F.col("source").alias("source_name"), F.col("external_id").alias("source_record_id"), F.expr(name).alias("name"), F.expr(KINDS).alias("business_type"), F.expr(phone).alias("public_phone"), "website", F.expr(claim).alias("claim_status"), F.expr(verified).alias("verification_status"), "address", "locality", "code", "lat", "lon")
+    table = push.VersionedTable(spark, relational.shared_folder(spark, "platform"))
+    outbox = relational.shared_folder(spark, "outbox")
+    null = "CAST(NULL AS STRING)"
+    for part in (chunk(rows.where("k % 2 = 0"), "display_name", "public_phone", "CASE WHEN k % 10 = 0 THEN 'CLAIMED' END", "CASE WHEN k % 14 = 0 THEN 'VERIFIED' END"), chunk(rows.where("k % 3 = 0"), "concat('new ', display_name)", null, null, null)):
+        push.receive(table, *push.send(part, outbox))
+    told = table.read("businesses").join(table.read("addresses").select("address_id", "line"), "address_id", "left")
+    return told.select(F.col("source_record_id").alias("external_id"), "name", "business_type", "public_phone", "claim_status", "line")
