@@ -857,7 +857,7 @@ def index_total(spark, sf):
 # duplicates, near in earnest
 #: Rows in a town of 3 x 3 km, with pointers of earlier merges, some of them in chains.
 DENSE = {
-    **{c: c for c in ("k", "external_id", "display_name", "canonical_name", "public_phone")}, "lat": "8 + CAST(k % 80 * 37 % 60 + CAST(floor(k / 80.0) AS BIGINT) % 5 AS DOUBLE) / 1000", "lon": "69 + CAST(k % 80 * 53 % 60 + CAST(floor(k / 400.0) AS BIGINT) % 7 AS DOUBLE) / 1000",
+    **{c: c for c in ("k", "external_id", "display_name", "canonical_name", "public_phone")}, "lat": "8 + CAST(k % 80 * 37 % 60 + CAST(floor(k / 80.0) AS BIGINT) % 5 AS DOUBLE) / 1200", "lon": "69 + CAST(k % 80 * 53 % 60 + CAST(floor(k / 400.0) AS BIGINT) % 7 AS DOUBLE) / 1200",
     "completeness_score": "CAST(k * 31 % 100 AS INT)", "confidence_score": "CAST(k * 17 % 100 AS INT)", "merged_into": "CASE WHEN k % 50 IN (6, 7) THEN concat('c:', CAST(k - 1 AS {s})) END",
 }
 
