@@ -229,15 +229,16 @@ def window_minima(data: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.n
     return out[offset < length[string]]
 
 
-def distinct_strings(key: np.ndarray, data: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """A number for each string, the same for equal strings under one key. Strings are compared, not hashes."""
-    raw, ends, seen = data.tobytes(), np.cumsum(length).tolist(), {}
-    return np.array([seen.setdefault((k, raw[b - n : b]), len(seen)) for k, n, b in zip(key.tolist(), length.tolist(), ends, strict=True)], dtype=np.int64)
+def distinct_strings(data: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A number for each string, the same for equal strings; these have one key, which follows from the bytes. Strings are compared, not hashes."""
+    raw, ends, seen = data.tobytes(), np.cumsum(length), {}
+    number = seen.setdefault
+    return np.array([number(raw[a:b], len(seen)) for a, b in zip((ends - length).tolist(), ends.tolist(), strict=True)], dtype=np.int64)
 
 
 def earlier_windows(key: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """String, first and last-but-one start of runs of windows that a smaller doc has, too. All strings of a key are given."""
-    same = distinct_strings(key, data, length)
+    same = distinct_strings(data, length)
     n = int(same.max()) + 1
     least = np.full(n, LARGEST)
     np.minimum.at(least, same, doc)
@@ -303,8 +304,9 @@ def found_ranges(parts: DataFrame) -> DataFrame:
             order = np.lexsort([text, doc])
             doc, text, pairs = doc[order], text[order], np.stack([a, b + WIDTH - 1], axis=1)[order].astype("<u4")
             at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (text[1:] != text[:-1])])) if len(doc) else np.zeros(0, dtype=np.int64)
-            ends = [*at[1:].tolist(), len(doc)]
-            return pa.record_batch([pa.array(doc[at]), pa.array(text[at]), pa.array([pairs[i:j].tobytes() for i, j in zip(at.tolist(), ends, strict=False)], pa.binary())], ["doc_id", "text_hash", "ranges"])
+            ends = (8 * np.append(at, len(doc))).astype(np.int32)  # eight bytes a pair
+            ranges = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(pairs.tobytes())])
+            return pa.record_batch([pa.array(doc[at]), pa.array(text[at]), ranges], ["doc_id", "text_hash", "ranges"])
 
         for batch in batches:
             for p, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
