@@ -16,8 +16,8 @@ import numpy as np
 class Shard:
     """The suffix order of strings, each with an end mark of its own (earlier strings' marks are smaller)."""
 
-    def __init__(self, data: np.ndarray, lengths: np.ndarray):
-        """data: the strings' bytes, one after another. An end mark is put behind each."""
+    def __init__(self, data: np.ndarray, lengths: np.ndarray, depth: int | None = None):
+        """data: the strings' bytes, one after another. An end mark is put behind each. With depth, rows are in the order of their first depth bytes only, which is all that merging to that depth asks of them."""
         n, ends = len(data) + len(lengths), np.cumsum(lengths + 1) - 1
         text = np.zeros(n, dtype=np.uint64)
         inside = np.ones(n, dtype=bool)
@@ -26,9 +26,9 @@ class Shard:
         self.text, self.n = text.astype(np.uint16), n
         self.start_of = np.repeat(ends - lengths, lengths + 1)
         self.end_of = np.repeat(ends, lengths + 1)
-        self.order = self._sorted(text)
+        self.order = self._sorted(text, depth)
 
-    def _sorted(self, text: np.ndarray) -> np.ndarray:
+    def _sorted(self, text: np.ndarray, depth: int | None) -> np.ndarray:
         """Prefix doubling, from 7 bytes on."""
         n, left = self.n, self.end_of - np.arange(self.n)
         key = np.zeros(n, dtype=np.uint64)
@@ -45,7 +45,7 @@ class Shard:
             new[1:] = (sorted_key[1:] != sorted_key[:-1]) | ended[order][1:] if ended is not None else sorted_key[1:] != sorted_key[:-1]
             rank = np.empty(n, dtype=np.uint64)
             rank[order] = np.cumsum(new) - 1
-            if new.all():
+            if new.all() or (depth is not None and h >= depth):
                 return order
             after = np.zeros(n, dtype=np.uint64)
             after[: max(0, n - h)] = rank[h:]

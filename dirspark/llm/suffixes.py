@@ -213,7 +213,7 @@ def window_minima(data: np.ndarray, length: np.ndarray, doc: np.ndarray) -> np.n
     for i in range(len(length)):
         if first[i + 1] - first[cuts[-1]] > SHARD_BYTES and i > cuts[-1]:
             cuts.append(i)
-    shards = [Shard(data[first[a] : first[b]], length[a:b]) for a, b in zip(cuts, [*cuts[1:], len(length)], strict=True)]
+    shards = [Shard(data[first[a] : first[b]], length[a:b], WIDTH) for a, b in zip(cuts, [*cuts[1:], len(length)], strict=True)]
     rows, starts = repeated_intervals(shards, WIDTH)
     # Rows to bytes of data: an end mark follows each string.
     place, base = [], 0
