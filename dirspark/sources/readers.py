@@ -15,6 +15,7 @@ from pyspark.sql.functions import pandas_udf
 from dirspark import constants as C
 from dirspark.functions.contact import looks_residential
 from dirspark.functions.geo import BOX
+from dirspark.functions.wkb import wkb_centroid
 
 # Tag values that make a place a business, prefixes and keys of tags that are kept, and kinds of places.
 AMENITIES = (
@@ -46,12 +47,16 @@ def json_lines(spark: SparkSession, path: str, schema: str = TAGGED) -> DataFram
 
 
 def places_parquet(spark: SparkSession, path: str, country: str = "IN", box: tuple[float, float, float, float] = BOX) -> DataFrame:
-    """Nested place records: filters on the bounding box and fields read reach the Parquet scan."""
+    """Nested place records: filters on the bounding box and fields read reach the Parquet scan. A place lies at its geometry's centroid; the middle of its box stands in for a geometry that is missing or broken."""
     rows = spark.read.parquet(path).where(F.col("bbox.ymin").between(box[0], box[1]) & F.col("bbox.xmin").between(box[2], box[3]) & F.col("names.primary").isNotNull())
     first = F.try_element_at("addresses", F.lit(1))
+    lat, lon = (F.col("bbox.ymin") + F.col("bbox.ymax")) / 2, (F.col("bbox.xmin") + F.col("bbox.xmax")) / 2
+    if "geometry" in rows.columns:
+        centre = wkb_centroid("geometry")
+        lat, lon = F.coalesce(centre["lat"], lat), F.coalesce(centre["lon"], lon)
     return rows.where(first["country"] == country).select(
         "id", F.col("names.primary").alias("name"), F.col("categories.primary").alias("category"), F.col("categories.alternate").alias("category_alt"), "phones", "websites", "confidence",
-        first["freeform"].alias("address"), first["locality"].alias("locality"), first["postcode"].alias("postcode"), ((F.col("bbox.ymin") + F.col("bbox.ymax")) / 2).alias("lat"), ((F.col("bbox.xmin") + F.col("bbox.xmax")) / 2).alias("lon"),
+        first["freeform"].alias("address"), first["locality"].alias("locality"), first["postcode"].alias("postcode"), lat.alias("lat"), lon.alias("lon"),
     )
 
 
