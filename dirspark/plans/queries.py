@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dirspark import constants as C
@@ -12,6 +12,7 @@ from dirspark.functions import contact, geo, ident, text
 from dirspark.operators import categorise, directory, geography, push, quality, relational, searchindex
 from dirspark.plans.entity import AS_OF, ENTITY, entity, read
 from dirspark.sources import readers
+from dirspark.sources import web as webpages
 from dirspark.streaming import incremental, upkeep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -714,11 +715,44 @@ def provenance(spark, sf):
     return directory.enrich(rows, found)[1]
 
 
-@query("f42_page_contacts", "SELECT CAST(page_id AS VARCHAR) AS external_id, CASE WHEN page_id % 2 = 0 THEN '+919' || lpad(CAST(page_id AS VARCHAR), 9, '847') END AS public_phone, CASE WHEN page_id % 2 = 0 THEN 'Mo,Tu 09:00-18:00' END AS hours, CASE WHEN page_id % 2 = 0 THEN 'a@example.com' END AS email FROM pages")
+@query(
+    "f42_page_contacts",
+    """SELECT CAST(page_id AS VARCHAR) AS external_id, CASE WHEN page_id % 8 IN (0, 2, 3, 4, 5) THEN '+919' || lpad(CAST(page_id AS VARCHAR), 9, '847') END AS public_phone,
+    CASE WHEN page_id % 8 = 0 THEN 'Mo,Tu 09:00-18:00' WHEN page_id % 8 IN (2, 5) THEN 'Mo-Sa 10:00-20:00' END AS hours, CASE WHEN page_id % 8 IN (0, 5) THEN 'a@example.com' END AS email FROM pages""",
+)
 def contacts(spark, sf):
-    blob = F.concat(F.lit('<script type="application/ld+json">{"@graph":[{"@type":"Store","telephone":"+91 9'), F.lpad(F.col("page_id").cast("string"), 9, "847"), F.lit('","email":"a@example.com","openingHoursSpecification":[{"dayOfWeek":["https://schema.org/Monday","https://schema.org/Tuesday"],"opens":"09:00","closes":"18:00"}]}]}</script>'))
-    pages = read(spark, sf, "pages").select(F.col("page_id").cast("string").alias("external_id"), F.when(F.col("page_id") % 2 == 0, F.concat("html", blob)).otherwise(F.col("html")).alias("html"))
-    return readers.from_pages(pages)
+    """Each page gets one of eight endings: a business in a graph, a person, a type without quotes, a link, a link behind a number that won't do, a business behind a person, one in a comment, and JSON cut off."""
+    number = F.concat(F.lit("+91 9"), F.lpad(F.col("page_id").cast("string"), 9, "847"))
+
+    def script(start: str, body: str) -> Column:
+        before, after = body.split("NUMBER")
+        return F.concat(F.lit(start + before), number, F.lit(after + "</script>"))
+
+    quoted, bare = '<script type="application/ld+json">', "<SCRIPT\n async type=application/ld+json\n>"
+    endings = [
+        script(quoted, '{"@graph":[{"@type":"Store","telephone":"NUMBER","email":"a@example.com","openingHoursSpecification":[{"dayOfWeek":["https://schema.org/Monday","https://schema.org/Tuesday"],"opens":"09:00","closes":"18:00"}]}]}'),
+        script(quoted, '{"@type":"Person","telephone":"NUMBER","email":"p@example.com"}'),
+        script(bare, '{"@type":["Thing","Hotel"],"phone":["NUMBER"],"openingHours":["Mo-Sa 10:00-20:00"]}'),
+        F.concat(F.lit("<p title='a>b'><a class=x href=TEL:"), F.replace(number, F.lit(" "), F.lit("&#45;")), F.lit(">call</a>")),
+        F.concat(F.lit('<a href="tel:1800 123 456"></a><a data-x href = "tel:'), number, F.lit('"/>')),
+        script(quoted, '[{"@type":"Person","telephone":"+91 9000000001"},{"@type":"Dentist","telephone":"NUMBER","openingHours":"Mo-Sa 10:00-20:00","email":["a@example.com"]}]'),
+        F.concat(F.lit("<!-- "), script(quoted, '{"@type":"Store","telephone":"NUMBER"}'), F.lit(" -->")),
+        script(quoted, '{"@type":"Store","telephone":"NUMBER",'),
+    ]
+    ending = F.element_at(F.array(*endings), (F.col("page_id") % 8 + 1).cast("int"))
+    return webpages.from_pages(read(spark, sf, "pages").select(F.col("page_id").cast("string").alias("external_id"), F.concat("html", ending).alias("html")), None)
+
+
+@query(
+    "s13_page_marks",
+    r"""WITH seen AS (SELECT page_id, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(<script[^>]*>).*?</script>', '\1</script>', 'gs') AS h FROM pages)
+    SELECT CAST(page_id AS VARCHAR) AS external_id, replace(regexp_extract(h, '<title>([^<]*)', 1), '&amp;', '&') AS title, CAST(len(regexp_extract_all(h, '<a[\s>]')) AS INT) AS n_links, CAST(len(regexp_extract_all(h, '<p[\s>]')) AS INT) AS n_paragraphs,
+    CAST(len(regexp_extract_all(h, '<script[\s>]')) AS INT) AS n_scripts, array_to_string(regexp_extract_all(h, '<a href="([^"]*)"', 1), ' ') AS targets FROM seen""",
+)
+def page_marks(spark, sf):
+    told = webpages.page_marks(read(spark, sf, "pages").select(F.col("page_id").cast("string").alias("external_id"), "html"), None)
+    counted = [F.coalesce(F.col("elements")[k], F.lit(0)).alias(n) for k, n in (("a", "n_links"), ("p", "n_paragraphs"), ("script", "n_scripts"))]
+    return told.select("external_id", "title", *counted, F.array_join("links", " ").alias("targets"))
 
 
 @query("o45_purge", "SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '{}' ELSE props END AS payload FROM events")

@@ -1,4 +1,4 @@
-"""Sources: JSON lines, nested Parquet, postal TSV, CSV of unknown encoding, tag maps and web pages."""
+"""Sources: JSON lines, nested Parquet, postal TSV, CSV of unknown encoding and tag maps."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 from dirspark import constants as C
 from dirspark.functions.contact import looks_residential
@@ -162,70 +160,3 @@ def catalogue_files(catalogue: DataFrame, wanted: list[str], each: int) -> DataF
     hit = F.try_element_at(F.filter(names, lambda w: F.contains(F.lower("title"), F.lower(w))), F.lit(1))
     rows = catalogue.where(F.lower("format") == "csv").withColumn("dataset", hit).where("dataset IS NOT NULL")
     return top_per_key(rows, ["dataset"], [F.col("url").asc()], each)
-
-
-CONTACTS = T.StructType([T.StructField(n, T.StringType()) for n in ("phone", "hours", "email")] + [T.StructField("tels", T.ArrayType(T.StringType()))])
-
-
-@pandas_udf(CONTACTS)
-def page_contacts(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """What a page's JSON-LD nodes (of any depth) and tel: links say. HTML and its nesting are beyond built-in functions."""
-    import html
-    import json
-
-    script = re.compile(r"<script[^>]*application/ld\+json[^>]*>(.*?)</script>", re.S | re.I)
-    tel = re.compile(r"""<a[^>]+href=["']tel:([^"']+)""", re.I)
-
-    def nodes(x: object) -> Iterator[dict]:
-        stack = [x]
-        while stack:
-            x = stack.pop()
-            if isinstance(x, list):
-                stack += x[::-1]
-            elif isinstance(x, dict):
-                if "@type" in x:
-                    yield x
-                stack += [v for v in x.values() if isinstance(v, (dict, list))][::-1]
-
-    def text(v: object) -> str | None:
-        v = v[0] if isinstance(v, list) and v else v
-        return v if isinstance(v, str) else None
-
-    def hours(node: dict) -> str | None:
-        told = node.get("openingHours") or node.get("openingHoursSpecification")
-        if isinstance(told, str):
-            return told[:120]
-        if isinstance(told, list) and told and isinstance(told[0], str):
-            return "; ".join(told)[:120]
-        out = []
-        for spec in told[:7] if isinstance(told, list) else []:
-            days = spec.get("dayOfWeek")
-            days = ",".join(str(d).split("/")[-1][:2] for d in (days if isinstance(days, list) else [days]))
-            if spec.get("opens") and spec.get("closes"):
-                out.append(f"{days} {spec['opens']}-{spec['closes']}")
-        return "; ".join(out)[:120] or None
-
-    def one(page: str | None) -> tuple:
-        phone = opening = email = None
-        for blob in script.findall(page or ""):
-            try:
-                tree = json.loads(html.unescape(blob))
-            except ValueError:
-                continue
-            for node in nodes(tree):
-                phone = phone or text(node.get("telephone")) or text(node.get("phone"))
-                opening = opening or hours(node)
-                email = email or (text(node.get("email")) or "")[:180] or None
-        return phone, opening, email, tel.findall(page or "")[:5]
-
-    for part in parts:
-        yield pd.DataFrame([one(p) for p in part], columns=["phone", "hours", "email", "tels"])
-
-
-def from_pages(pages: DataFrame) -> DataFrame:
-    """external_id, public_phone, hours and email from pages (external_id, html)."""
-    from dirspark.functions.contact import first_phone
-
-    told = pages.select("external_id", page_contacts("html").alias("c"))
-    numbers = F.filter(F.concat(F.array("c.phone"), F.coalesce("c.tels", F.expr("cast(array() as array<string>)"))), lambda x: x.isNotNull())
-    return told.select("external_id", first_phone(numbers)["phone"].alias("public_phone"), F.col("c.hours").alias("hours"), F.col("c.email").alias("email"))
