@@ -9,6 +9,8 @@ REPEATED = r"(\d)\1{5,}"
 COUNTRY = "+91"
 # Opening hours that are implausible for a shop.
 IMPLAUSIBLE_HOURS = ("sunrise-sunset", "dawn-dusk", "sunset-sunrise")
+# Fixed value: what makes an address read as a home.
+HOME_WORDS = r"(?i)\b(h\.?no|house\s*no|door\s*no|flat|apartment|apt|residency|residence|nagar\s+colony|colony|quarters|villa|behind\s+house)\b"
 
 
 def digits(raw: Column) -> Column:
@@ -88,7 +90,7 @@ def population(raw: Column) -> Column:
 
 
 def looks_residential(address: Column) -> Column:
-    return F.rlike(address, F.lit(r"(?i)\b(h\.? ?no|house no|flat|plot no|d\.? ?no|door no|residence)\b"))
+    return F.rlike(address, F.lit(HOME_WORDS))
 
 
 def host(url: Column) -> Column:

@@ -17,7 +17,7 @@ CANON_DROPS = {
     "names": "the|and|shop|store|stores|centre|center",
     "companies": "the|and|shop|store|stores|centre|center|pvt|ltd|private|limited",
     "register": "the|and|shop|store|stores|centre|center|pvt|ltd|private|limited|m s|ms|sri|shri|new",
-    "udyam": "the|and|pvt|ltd|private|limited|enterprise|enterprises|trader|traders|trading",
+    "udyam": "the|and|m s|ms|sri|shri|new|pvt|ltd|private|limited|enterprises?|enterprise|traders?|trading",
 }
 # Letters with marks and the letter that NFKD leaves (the mark itself becomes a blank).
 MARKED = {"a": "àáâãäåāăą", "c": "çćĉċč", "d": "ď", "e": "èéêëēĕėęě", "g": "ĝğġģ", "h": "ĥ", "i": "ìíîïĩīĭįİ", "j": "ĵ", "k": "ķ", "l": "ĺļľ", "n": "ñńņň", "o": "òóôõöōŏő", "r": "ŕŗř", "s": "śŝşš", "t": "ţť", "u": "ùúûüũūŭůűų", "w": "ŵ", "y": "ýÿŷ", "z": "źżž"}

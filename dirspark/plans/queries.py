@@ -13,7 +13,7 @@ from dirspark.operators import categorise, directory, geography, push, quality,
 from dirspark.plans.entity import AS_OF, ENTITY, entity, read
 from dirspark.sources import readers
 from dirspark.sources import web as webpages
-from dirspark.streaming import incremental, upkeep
+from dirspark.streaming import incremental, paged, upkeep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -755,6 +755,32 @@ def page_marks(spark, sf):
     return told.select("external_id", "title", *counted, F.array_join("links", " ").alias("targets"))
 
 
+@query(
+    "s9_register_pages",
+    """SELECT 'udyam_offset_' || CAST(s_suppkey // 100 * 100 AS VARCHAR) AS source_file, CAST(s_suppkey % 100 AS INT) AS place, 'M/s. ' || s_name || ' Traders' AS name, 'supplier ' || substr(s_name, 10) AS canonical_name,
+    CASE WHEN s_suppkey % 5 < 3 THEN 'trade ' || s_nationkey END AS nature, CASE WHEN s_suppkey % 5 < 3 THEN lpad(CAST(s_nationkey AS VARCHAR), 5, '0') END AS category_hint, n_name AS district,
+    CASE WHEN s_suppkey % 3 = 0 THEN CAST(500000 + s_suppkey % 1000 AS VARCHAR) END AS code, CASE WHEN s_suppkey % 4 = 0 THEN 'House no 7, Main Road' ELSE 'Shop 7, Main Road' END AS address, s_suppkey % 4 = 0 AS home
+    FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey % 7 <> 6 AND s_suppkey % 11 <> 10""",
+)
+def register_pages(spark, sf):
+    """Suppliers as pages of a register (100 records each, some without a name, of another state, or with a code that is none), loaded by two runs: the second finds the pages that came after the first."""
+    k, place = F.col("s_suppkey"), (F.col("s_suppkey") % 100)
+    item = F.struct(F.concat(F.lit("trade "), F.col("s_nationkey")).alias("Description"), F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("NIC5DigitId"))
+    record = F.struct(
+        F.when(k % 7 != 6, F.concat(F.lit("M/s.  "), F.col("s_name"), F.lit(" Traders "))).alias("EnterpriseName"), F.when(k % 11 == 10, "Elsewhere").otherwise("Telangana").alias("State"), F.col("n_name").alias("District"),
+        F.when(k % 3 == 0, F.concat((k % 1000 + 500000).cast("string"), F.lit(".0"))).when(k % 3 == 1, "50001").alias("Pincode"), F.when(k % 4 == 0, "House  no 7, Main Road").otherwise("Shop 7, Main Road").alias("CommunicationAddress"),
+        F.when(k % 5 < 3, F.to_json(F.array(item))).when(k % 5 == 3, "none").alias("Activities"),
+    )
+    rows = read(spark, sf, "supplier").join(read(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).select((k - place).alias("offset"), place.alias("place"), F.to_json(record).alias("value"))
+    folder = relational.shared_folder(spark, "register")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    for late in (False, True):
+        some = rows.where((F.col("offset") % 300 == 0) != F.lit(late))
+        some.repartition(int(parts), "offset").sortWithinPartitions("offset", "place").select("offset", "value").write.mode("append").partitionBy("offset").text(f"{folder}/pages")
+        out = paged.load_register(spark, f"{folder}/pages", f"{folder}/entries", f"{folder}/checkpoint", 100, ["telangana"])
+    return out.select("source_file", "place", "name", "canonical_name", "nature", "category_hint", "district", "code", "address", F.get_json_object("extra", "$.home_address_suspected").cast("boolean").alias("home"))
+
+
 @query("o45_purge", "SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '{}' ELSE props END AS payload FROM events")
 def purge(spark, sf):
     raw = read(spark, sf, "events").select("event_id", F.col("props").alias("payload"), F.col("ts").alias("purge_after"))
