@@ -11,7 +11,7 @@ from dirspark import constants as C
 from dirspark.functions import contact, geo, ident, text
 from dirspark.operators import categorise, directory, geography, push, quality, relational, searchindex
 from dirspark.plans.entity import AS_OF, ENTITY, entity, read
-from dirspark.sources import readers
+from dirspark.sources import readers, sinks
 from dirspark.sources import web as webpages
 from dirspark.streaming import incremental, paged, upkeep
 
@@ -654,6 +654,15 @@ def records(spark, sf):
     return directory.export_records(directory.eligible(export_rows(spark, sf))).select("external_directory_id", "pincode", "display_name", "resolved_name", "category", "country", "tier", "publication_type", "offers_disabled")
 
 
+@query("k6_document", SQL["o38_export_records"])
+def document(spark, sf):
+    """The export as one file of lines with its checksum, read back."""
+    rows = records(spark, sf).withColumn("confidence_score", F.lit(None).cast("double"))
+    path = relational.shared_folder(spark, "export") + "/data.jsonl"
+    sinks.write_document(rows, path, "jsonl")
+    return spark.read.schema(rows.drop("confidence_score").schema).json(path)
+
+
 @query("a14_o39_manifest", EXPORT + f" SELECT source AS source_name, 'licence ' || source AS licence_name, 'by ' || source AS attribution_text, count(*) AS n FROM y WHERE NOT ({ANY}) GROUP BY ALL")
 def manifest(spark, sf):
     return directory.manifest_sources(directory.export_records(directory.eligible(export_rows(spark, sf))))
@@ -666,9 +675,7 @@ def manifest_lists(spark, sf):
 
 @query("k5_geojson", EXPORT + f" SELECT count(*) AS n, count(*) AS features FROM y WHERE NOT ({ANY})")
 def geojson(spark, sf):
-    from dirspark.sources.sinks import geojson_lines
-
-    lines = geojson_lines(directory.export_records(directory.eligible(export_rows(spark, sf))))
+    lines = sinks.geojson_lines(directory.export_records(directory.eligible(export_rows(spark, sf))))
     return lines.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.get_json_object("value", "$.geometry.coordinates[1]").isNotNull()).alias("features"))
 
 

@@ -137,12 +137,13 @@ def test_export_bundle(spark, tmp_path):
     for form in ("csv", "jsonl", "json", "geojson"):
         sinks.write_records(rows, str(tmp_path / form), form)
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == rows.count()
-    document = json.loads(sinks.json_document(spark.read.text(str(tmp_path / "geojson")), "geojson"))
+    sinks.write_document(rows, str(tmp_path / "data.geojson"), "geojson")
+    document = json.loads((tmp_path / "data.geojson").read_text(encoding="utf-8"))
     assert document["features"][0]["geometry"]["coordinates"] == [2.0, 1.0] and "latitude" not in document["features"][0]["properties"]
     (sums,) = sinks.checksums(spark, str(tmp_path / "csv")).collect()
     head, each = sinks.ledger(rows, "e1", sums.sha256)
     assert len(sums.sha256) == 64 and head.first().n == each.count() == rows.count()
-    assert json.loads(sinks.manifest(rows, spark.sql("SELECT 3 AS tier_held"), "2024"))["records"] == rows.count()
+    assert json.loads(sinks.manifest(rows, spark.sql("SELECT 3 AS tier_held"), "2024"))["record_count"] == rows.count()
     with pytest.raises(ValueError):
         sinks.write_records(rows, str(tmp_path / "x"), "x")
 
