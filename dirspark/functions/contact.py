@@ -28,10 +28,10 @@ def line_type(n: Column) -> Column:
     return F.when(F.rlike(n, F.lit("^[6-9]")), "mobile").otherwise("landline")
 
 
-def strict_phone(raw: Column, double_zero: bool = True, reject: str = "^(1800|1860|1900|140)") -> Column:
-    """struct(phone, line_type) of an acceptable number, else null: ten digits, no service prefix, no digit six times."""
+def strict_phone(raw: Column, double_zero: bool = True, reject: str = "^(1800|1860|1900|140)", repeats: bool = False) -> Column:
+    """struct(phone, line_type) of an acceptable number, else null: ten digits, no service prefix, no digit six times (unless repeats are allowed)."""
     n = national(digits(raw), double_zero)
-    ok = F.rlike(n, F.lit("^[1-9][0-9]{9}$")) & ~F.rlike(n, F.lit(reject)) & ~F.rlike(n, F.lit(REPEATED))
+    ok = F.rlike(n, F.lit("^[1-9][0-9]{9}$")) & ~F.rlike(n, F.lit(reject)) & (F.lit(repeats) | ~F.rlike(n, F.lit(REPEATED)))
     return F.when(ok, F.struct(F.concat(F.lit(COUNTRY), n).alias("phone"), line_type(n).alias("line_type")))
 
 
@@ -39,9 +39,9 @@ def charging_phone(raw: Column) -> Column:
     return strict_phone(raw, double_zero=False, reject="^(1800|1860)")
 
 
-def first_phone(raws: Column) -> Column:
+def first_phone(raws: Column, repeats: bool = False) -> Column:
     """The first acceptable number of an array."""
-    return F.try_element_at(F.filter(F.transform(raws, lambda x: strict_phone(x)), lambda p: p.isNotNull()), F.lit(1))
+    return F.try_element_at(F.filter(F.transform(raws, lambda x: strict_phone(x, repeats=repeats)), lambda p: p.isNotNull()), F.lit(1))
 
 
 def loose_phone(*values: Column) -> Column:

@@ -1,9 +1,11 @@
 import random
 from html.parser import HTMLParser
 
+import duckdb
 import pytest
 
 from dirspark.functions.markup import tokens
+from dirspark.plans.queries import QUERIES, SQL
 from dirspark.sources import web
 
 
@@ -68,3 +70,25 @@ def test_contacts(spark):
     assert web.from_pages(df.where("false")).count() == 0
     assert web.page_marks(df.where("external_id = 'e'")).first().links == ["tel:04027000001"]
     assert web.from_pages(df.drop("content_type").where("external_id = 'b'")).first().public_phone == "+919847000001"
+
+
+def twin(spark, name, folder, tables):
+    """Rows of a query and of its SQL over the given tables."""
+    for table, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{table}.parquet")
+    got = QUERIES[name](spark, str(folder))
+    with duckdb.connect() as con:
+        for table in tables:
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet/*.parquet')")
+        found = con.execute(f"SELECT {', '.join(got.columns)} FROM ({SQL[name]})").fetchall()
+    return sorted(map(tuple, got.collect()), key=str), sorted(found, key=str)
+
+
+def test_contacts_of_made_up_numbers_agree_with_sql(spark, tmp_path):
+    """Page 88888 makes 9847888888: the operator refuses six equal digits, unless they are allowed."""
+    pages = [(88888, "<p>"), (111112, "<p>"), (3333330, None), (88889, "<p>"), (12, "<p>")]
+    got, want = twin(spark, "f42_page_contacts", tmp_path, {"pages": spark.createDataFrame(pages, "page_id long, html string")})
+    assert got == want and ("88888", "+919847888888", "Mo,Tu 09:00-18:00", "a@example.com") in got
+    df = spark.createDataFrame([("a", "<a href='tel:9847888888'><a href='tel:1800123456'>"), ("b", "<a href='tel:1800123456'>")], "external_id string, html string")
+    assert [r.public_phone for r in web.from_pages(df).collect()] == [None, None]
+    assert [r.public_phone for r in web.from_pages(df, repeats=True).collect()] == ["+919847888888", None]
