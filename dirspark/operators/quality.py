@@ -62,7 +62,8 @@ def charging_confidence() -> Column:
 def freshness(updated_at: Column, as_of: str) -> Column:
     """100 for today, 0 after three years, null without a time; rounded before it is cut to a whole number."""
     days = (F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp(updated_at)).cast("double") / 86400
-    return F.greatest(F.lit(0), F.least(F.lit(100), F.lit(100) - F.round(days / 1095 * 100).cast("int"))).cast("int")
+    score = F.greatest(F.lit(0), F.least(F.lit(100), F.lit(100) - F.round(days / 1095 * 100).cast("int"))).cast("int")
+    return F.when(days.isNotNull(), score)  # greatest and least pass over nulls
 
 
 def tier(with_confidence: bool = True) -> Column:

@@ -241,3 +241,8 @@ def test_suppression_keeps_rows_without_a_number(spark):
 def test_residential_flag(spark):
     rows = spark.createDataFrame([('[{"Description":"d","NIC5DigitId":"1"}]', "H.No 5"), (None, "Main Road"), ("x", None)], "activities string, address string")
     assert [(r.trade, r.residential) for r in readers.register_activities(rows).collect()] == [("d", True), (None, False), (None, False)]
+
+
+def test_freshness_without_a_time_is_null(spark):
+    times = "SELECT k, CAST(t AS timestamp) AS t FROM VALUES (1, '1999-01-01'), (2, NULL), (3, '1980-01-01'), (4, '2001-01-01'), (5, '1998-07-02') AS v(k, t)"
+    assert [r[0] for r in spark.sql(times).orderBy("k").select(quality.freshness(F.col("t"), "1999-01-01")).collect()] == [100, None, 0, 100, 83]
