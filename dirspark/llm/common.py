@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,30 @@ def qualified(spark: SparkSession, path: str) -> str:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
 
 
+class Noting(threading.local):
+    """The list that takes the folders of tables that this thread settles, if there is one."""
+
+    folders: list[str] | None = None
+
+
+noting = Noting()
+
+
+@contextmanager
+def noted(folders: list[str]) -> Iterator[None]:
+    """The folders of tables that are settled inside are added to folders."""
+    before, noting.folders = noting.folders, folders
+    try:
+        yield
+    finally:
+        noting.folders = before
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def settle(df: DataFrame, name: str = "part") -> DataFrame:
     """Write df below the shared folder and read it back.
 
@@ -38,7 +65,10 @@ def settle(df: DataFrame, name: str = "part") -> DataFrame:
     result that depends on row order inside a task is fixed once.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), name)
+    folder = shared_dir(spark)
+    if noting.folders is not None:
+        noting.folders.append(folder)
+    path = os.path.join(folder, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

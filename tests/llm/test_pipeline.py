@@ -1,3 +1,4 @@
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -46,6 +47,24 @@ def test_stages_follow_each_other(spark):
     assert Counter(r.text for r in encoded.collect()) == Counter(r.text for r in mixed.collect())
 
 
+def test_a_stage_removes_what_the_one_before_settled(spark, tmp_path):
+    """Its own tables stay until its rows are written, and those that the next stage's input still reads stay longer."""
+    docs, root = corpus(spark), spark.conf.get("spark.checkpoint.dir")
+    others = set(os.listdir(root)) if os.path.isdir(root) else set()
+    settled = lambda: {x for x in os.listdir(root) if x not in others and os.listdir(f"{root}/{x}")}
+    steps = [f for _, f in corpus_pipeline.STAGES[:3]]
+    steps[0](spark, docs, "").write.parquet(f"{tmp_path}/0")
+    first = settled()
+    steps[1](spark, spark.read.parquet(f"{tmp_path}/0"), "").write.parquet(f"{tmp_path}/1")
+    second = settled()
+    steps[2](spark, spark.read.parquet(f"{tmp_path}/1"), "").write.parquet(f"{tmp_path}/2")
+    assert first and second and not first & second and not settled() & (first | second)
+    lazy = docs
+    for f in steps:
+        lazy = f(spark, lazy, "")
+    assert Counter(lazy.select("doc_id", "text").collect()) == Counter(spark.read.parquet(f"{tmp_path}/2").select("doc_id", "text").collect())
+
+
 def test_empty(spark, tmp_path):
     corpus(spark).where("false").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
