@@ -242,11 +242,11 @@ class LibraryEncoder:
     """Texts encoded by the tokenizers library, in batches; ids come as little-endian integers of width bytes.
 
     What stands before a blank never depends on what follows it, unless the blank stands among other white space. So texts are cut
-    before blanks, and a batch's new stretches go to the library as one text; its ids are dealt to them by the bytes that they stand for. Other
+    before blanks, and a batch's new stretches go to the library as one text; its ids are dealt to them by the blanks that tokens begin with. Other
     texts go to the library whole. Stretches of up to SHORT characters are remembered, two generations of REMEMBERED.
     """
 
-    REMEMBERED, SHORT, JOINED = 450_000, 64, 1 << 20
+    REMEMBERED, SHORT, JOINED = 900_000, 64, 1 << 20
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -257,7 +257,11 @@ class LibraryEncoder:
         self.library.no_padding()
         self.kind = "<u2" if max(self.m.bytes_of) < 1 << 16 else "<u4"
         self.width = int(self.kind[2])
-        self.sizes = self.m.token_bytes()[2]
+        sizes = self.m.token_bytes()[2]
+        #: By id: whether a token begins with a blank, and whether it has one further on.
+        self.begins, self.inside = np.zeros((2, len(sizes)), dtype=bool)
+        for i, x in self.m.bytes_of.items():
+            self.begins[i], self.inside[i] = x[:1] == b" ", b" " in x[1:]
         self.known, self.old = {}, {}
 
     def stretches(self, text: str) -> list[str]:
@@ -274,18 +278,18 @@ class LibraryEncoder:
         return [np.array(x.ids, dtype=self.kind) for x in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def dealt(self, pieces: list[str]) -> list[bytes]:
-        """The ids of pieces that each begin with a blank and then none, encoded as one text."""
+        """The ids of pieces that each begin with a blank and have no other, encoded as one text: a piece's first token is one that begins with a blank."""
         (ids,) = self.by_library(["".join(pieces)])
-        ends, want = np.cumsum(self.sizes[ids]), np.cumsum([len(x.encode()) for x in pieces])
-        at = np.searchsorted(ends, want) + 1
-        if len(ends) < at[-1] or (ends[at - 1] != want).any():
+        at = np.flatnonzero(self.begins[ids])
+        if len(at) != len(pieces) or at[0] or self.inside[ids].any():
             raise ValueError("a token crosses the border of two stretches")
-        raw, at = ids.tobytes(), [0, *(self.width * at).tolist()]
+        raw, at = ids.tobytes(), [*(self.width * at).tolist(), self.width * len(ids)]
         return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
     def learn(self, new: list[str]) -> dict[str, bytes]:
-        joined = [x for x in new if x[:1] == " " and x[1:2].strip() and x[1] != "<" and len(x) <= self.SHORT]
-        other = list(set(new).difference(joined))
+        joined, other = [], []
+        for x in new:
+            (joined if not x.rfind(" ") and len(x) <= self.SHORT and x[1:2].strip() and x[1] != "<" else other).append(x)
         found = dict(zip(other, (x.tobytes() for x in self.by_library(other)), strict=True))
         for a in range(0, len(joined), step := self.JOINED // self.SHORT):
             found.update(zip(joined[a : a + step], self.dealt(joined[a : a + step]), strict=True))
@@ -294,15 +298,15 @@ class LibraryEncoder:
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text. Null and empty texts have none."""
         parts = [self.stretches(x or "") for x in texts]
-        new = set().union(*parts) - self.known.keys()
+        new = set().union(*parts).difference(self.known)
         found = {x: self.old[x] for x in new & self.old.keys()}
-        found |= self.learn(list(new - found.keys()))
+        found |= self.learn(list(new.difference(found)))
         if len(self.known) + len(found) > self.REMEMBERED:
             self.old, self.known = self.known, {}
             found |= {x: self.old[x] for x in set().union(*parts) & self.old.keys()}
         ids = self.known
         ids |= found
-        out = [b"".join([ids[x] for x in part]) for part in parts]
+        out = [b"".join(map(ids.__getitem__, part)) for part in parts]
         for x in found:
             if len(x) > self.SHORT:
                 del ids[x]

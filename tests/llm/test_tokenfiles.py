@@ -95,3 +95,17 @@ def test_empty_table(spark, no_docs):
     manifest = tf.write(no_docs, uri, tokenizer_path(), 3)
     tf.write_manifest(manifest, uri)
     assert tf.scan(manifest, uri, zlib.crc32).count() == 0
+
+
+def test_stretches_are_dealt_by_their_blanks():
+    """Texts with several blanks are dealt whole, and what is known isn't gone through again for each batch."""
+    encoder, library = tf.LibraryEncoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    texts = [" a  b", " c d", " a\n", " e", " a ", " ", "  x", " <|endoftext|> y", "a<|endoftext|> b", None, "", " x\0y z", " " + "q" * 70 + " r", " é ü", "\n b c"]
+    for _ in range(2):
+        got = [np.frombuffer(x, dtype=encoder.kind).tolist() for x in encoder.encode_batch(texts)]
+        assert got == [library.encode(x or "", add_special_tokens=False).ids for x in texts]
+    # A dealt piece's own bytes are never counted: its ids are those up to the next blank.
+    encoder.m = encoder.sizes = None
+    assert [len(x) // encoder.width for x in encoder.dealt([" the", " of", " the"])] == [1, 1, 1]
+    with pytest.raises(ValueError):
+        encoder.dealt([" the of", " a"])
